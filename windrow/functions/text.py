@@ -15,7 +15,7 @@ MIN_SOURCE_CHARS = 500
 PREVIEW_CHARS = 300
 
 # Unicode white space, listed: Java's \s is ASCII-only and its (?U) form leaves out U+001C-1F.
-SPACE = r"[\t-\r\x1c- \x85\xa0  -     　]"
+SPACE = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 BODY_START = r"(?iu)\*{3}" + SPACE + r"*START OF[^\n]*\n"
 BODY_END = r"(?iu)\*{3}" + SPACE + r"*END OF"
 
