@@ -45,7 +45,7 @@ def argmax(p) -> Column:
 
 
 def label_at(labels: Sequence[str], code) -> Column:
-    return F.array(*[F.lit(x) for x in labels]).getItem(_col(code))
+    return F.array(*[F.lit(x) for x in labels])[_col(code)]
 
 
 def prob_map(labels: Sequence[str], p) -> Column:
@@ -59,7 +59,7 @@ def percent_text(p) -> Column:
 
 def percent_value(s) -> Column:
     """'83.4%' -> 0.834."""
-    return F.rtrim(F.lit("%"), _col(s)).cast("double") / 100
+    return F.rtrim(_col(s), F.lit("%")).cast("double") / 100
 
 
 def vote(margins, pairs: Sequence[tuple[int, int]], n_classes: int) -> Column:

@@ -10,6 +10,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from windrow.scale import ship
+
 
 def group_means(df: DataFrame, vec: str, group: str) -> DataFrame:
     """``(group, center)``: mean vector of every group, combined on the map side."""
@@ -27,6 +29,7 @@ def nearest_centroid(df: DataFrame, vec: str, centers: list[tuple[int, list[floa
     Works per Arrow batch: one small matrix product, no row pairs, no shuffle. Ties go to
     the first centre.
     """
+    ship(df.sparkSession)
     ids = np.array([c for c, _ in centers], dtype=np.int32)
     mat = np.array([v for _, v in centers], dtype=np.float64)
 

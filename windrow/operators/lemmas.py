@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.scale import BROADCAST_ROWS
+from windrow.scale import BROADCAST_ROWS, ship
 
 # Published noun suffix rules, tried in this order.
 NOUN_SUFFIXES = [
@@ -67,7 +67,7 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame | N
 
 def lemmatize(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame) -> DataFrame:
     """Replace tokens by lemmas with joins only; any table size. Returns ``(id, tokens)``."""
-    cells = df.select(id_col, F.posexplode(tokens).alias("_p", "surface"))
+    cells = df.select(id_col, F.posexplode_outer(tokens).alias("_p", "surface")).filter("surface IS NOT NULL")
     found = cells.join(lemmas, "surface", "left").select(
         id_col, "_p", F.coalesce("lemma", "surface").alias("_t")
     )
@@ -83,6 +83,7 @@ def lemma_lookup(lemmas: DataFrame):
 
     Returns None when the table is larger than the broadcast bound.
     """
+    ship(lemmas.sparkSession)
     head = lemmas.limit(BROADCAST_ROWS + 1).select("surface", "lemma").collect()
     if len(head) > BROADCAST_ROWS:
         return None

@@ -114,6 +114,6 @@ def weighted_cross_entropy(df: DataFrame, label: str, probs: str, weights: dict[
     w = F.lit(1.0)
     if weights:
         table = F.create_map(*[F.lit(x) for kv in sorted(weights.items()) for x in kv])
-        w = F.coalesce(table.getItem(F.col(label)), F.lit(1.0))
-    terms = df.select(w.alias("w"), (-F.log(F.col(probs).getItem(F.col(label)))).alias("nll"))
+        w = F.coalesce(table[F.col(label)], F.lit(1.0))
+    terms = df.select(w.alias("w"), (-F.log(F.col(probs)[F.col(label)])).alias("nll"))
     return terms.agg((F.sum(F.col("w") * F.col("nll")) / F.sum("w")).alias("loss"))

@@ -27,10 +27,13 @@ MIN_DF = 5
 MAX_DF = 0.60
 
 
-def terms_column(tokens: str, stop: list[str] = (), ngrams=NGRAMS):
-    """All n-grams of a token list after the second stop list."""
+def with_terms(df: DataFrame, tokens: str = "tokens", stop=(), ngrams=NGRAMS, out: str = "terms") -> DataFrame:
+    """Add all n-grams of a token list, taken after the second stop list.
+
+    The filtered list is a column of its own, so it is computed once and not per n-gram length.
+    """
     kept = T.drop_words(tokens, list(stop)) if stop else F.col(tokens)
-    return T.all_ngrams(kept, *ngrams)
+    return df.withColumn("_kept", kept).withColumn(out, T.all_ngrams("_kept", *ngrams)).drop("_kept")
 
 
 def term_stats(df: DataFrame, terms: str = "terms") -> DataFrame:
@@ -40,7 +43,8 @@ def term_stats(df: DataFrame, terms: str = "terms") -> DataFrame:
     ``df``. So one aggregation gives both numbers, without a shuffle per (row, term).
     """
     rows = df.select(F.sort_array(terms).alias("_s"))
-    cells = rows.select("_s", F.posexplode("_s").alias("_p", "term"))
+    # The outer form keeps the optimiser from computing the list a second time in a size filter.
+    cells = rows.select("_s", F.posexplode_outer("_s").alias("_p", "term")).filter("term IS NOT NULL")
     first = (F.col("_p") == 0) | (F.col("term") != F.get("_s", F.col("_p") - 1))
     return (
         cells.select("term", F.when(first, 1).otherwise(0).cast("bigint").alias("_f"))
@@ -98,7 +102,7 @@ class TfidfModel:
         (1 + ln tf) * idf, divided by the row's L2 norm. A row without a known term gets
         two empty arrays.
         """
-        ready = self._counter().transform(df.withColumn("_terms", terms_column(tokens, self.stop, self.ngrams)))
+        ready = self._counter().transform(with_terms(df, tokens, self.stop, self.ngrams, out="_terms"))
         # A sparse vector column has a JSON form; reading it back gives its two arrays
         # without leaving the JVM.
         cells = F.from_json(
@@ -166,7 +170,7 @@ def fit_tfidf(
     if max_features > BROADCAST_ROWS:
         raise ValueError("vocabulary above the broadcast bound: use vocabulary() and transform_by_join()")
     n_rows = df.count()
-    terms = df.select(terms_column(tokens, stop, ngrams).alias("terms"))
+    terms = with_terms(df.select(tokens), tokens, stop, ngrams)
     vocab = vocabulary(term_stats(terms), n_rows, max_features, min_df, max_df)
     rows = vocab.orderBy("term_idx").collect()
     if not rows:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,23 @@ def share(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="windrow-code-")) / "windrow_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path(root.name) / f.relative_to(root))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint when the proven row bound allows it; otherwise let Spark decide."""
     return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df

@@ -21,10 +21,3 @@ def write_edge_cases(cases: DataFrame, path: str) -> None:
 def append_metrics(metrics: DataFrame, path: str) -> None:
     """One more training run in the metrics history."""
     metrics.write.mode("append").parquet(path)
-
-
-def stamp_text(ts) -> "F.Column":
-    """UTC time text of a timestamp column."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    utc = F.to_utc_timestamp(c, F.current_timezone())
-    return F.concat(F.date_format(utc, "yyyy-MM-dd HH:mm"), F.lit(" UTC"))
