@@ -75,8 +75,10 @@ def fit_pca_wide(df: DataFrame, width: int, k: int = COMPONENTS, extra: int = 4,
         values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
         found = (values, q @ vectors)
         miss = np.linalg.norm(aq @ vectors - found[1] * values, axis=0)
-        if (miss <= tol * np.maximum(values, 1e-30)).all() or q.shape[1] + block > width:
+        left = width - q.shape[1]
+        if (miss <= tol * np.maximum(values, 1e-30)).all() or left <= 0:
             break
+        image = image[:, :left]
         fresh = image - q @ (q.T @ image)
         fresh -= q @ (q.T @ fresh)
         v = np.linalg.qr(fresh)[0]
