@@ -48,6 +48,9 @@ def test_network_gradient():
     y1, y2, cw = rng.randint(0, 2, 9), rng.randint(0, 3, 9), np.array([1.0, 1.4, 1.0])
     rows = sparse(x)
     _, g = N.loss_and_slopes(w, rows, y1, y2, cw)
+    cols, part = g["w1"]
+    g["w1"] = np.zeros_like(w["w1"])
+    g["w1"][cols] = part
     for k in w:
         at = tuple(rng.randint(0, s) for s in w[k].shape)
         keep, h = w[k][at], 1e-5
@@ -59,6 +62,22 @@ def test_network_gradient():
         assert g[k][at] == pytest.approx((up - down) / (2 * h), rel=1e-3, abs=1e-6)
 
 
+def test_adamw_against_its_formula():
+    rng = np.random.RandomState(4)
+    w = {"w1": rng.rand(700, 3), "b1": rng.rand(3)}
+    want, m, v = w["w1"].copy(), np.zeros((700, 3)), np.zeros((700, 3))
+    opt = N.AdamW({k: np.zeros_like(x) for k, x in w.items()}, {k: np.zeros_like(x) for k, x in w.items()}, 0)
+    for t in (1, 2, 3):
+        cols = np.sort(rng.choice(700, 50, replace=False))
+        g = rng.rand(50, 3)
+        full = np.zeros((700, 3))
+        full[cols] = g
+        opt.step(w, {"w1": (cols, g), "b1": np.zeros(3)})
+        m, v = 0.9 * m + 0.1 * full, 0.999 * v + 0.001 * full**2
+        want = want * (1 - 5e-4 * 0.02) - 5e-4 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    assert np.allclose(w["w1"], want, rtol=1e-10)
+
+
 def test_many_partials_are_reduced(spark):
     def run(batches):
         for b in batches:

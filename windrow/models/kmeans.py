@@ -33,7 +33,7 @@ class KMeansFit:
 
 def fit_kmeans(
     df: DataFrame, width: int, k: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED,
-    max_iter: int = 50, threads: int = 4,
+    max_iter: int = 50, threads: int = 5,
 ) -> KMeansFit:
     """Fit on rows with ``idx`` and ``val``. Restarts run concurrently on one cached input."""
     data, _ = packed(with_vector(df.select("idx", "val"), width), ["features"], df.count())

@@ -89,15 +89,22 @@ class Rows:
             out += strip.T @ dense[a : a + len(part)]
         return out
 
+    def compact(self, dtype) -> tuple[np.ndarray, np.ndarray]:
+        """The columns that occur and the rows as a dense matrix over just those; for small batches."""
+        cols, at = np.unique(self.idx, return_inverse=True)
+        dense = np.zeros((len(self), len(cols)), dtype=dtype)
+        dense[self.row_ids(), at] = self.val
+        return cols, dense
+
     def squared_norms(self) -> np.ndarray:
         return np.bincount(self.row_ids(), weights=self.val * self.val, minlength=len(self))
 
 
-def part_rows(arrays: dict[str, np.ndarray], weight: float):
-    """Cut float64 arrays into blocks for :func:`reduce_parts`."""
+def part_rows(arrays: dict[str, np.ndarray], weight: float, dtype=np.float64):
+    """Cut arrays into blocks for :func:`reduce_parts`, carried as ``dtype``."""
     names, blocks, data = [], [], []
     for name, array in arrays.items():
-        flat = np.ascontiguousarray(array, dtype=np.float64).ravel()
+        flat = np.ascontiguousarray(array, dtype=dtype).ravel()
         for b in range(0, max(1, len(flat)), BLOCK):
             names.append(name)
             blocks.append(b // BLOCK)
@@ -110,7 +117,7 @@ def part_rows(arrays: dict[str, np.ndarray], weight: float):
 
 
 def reduce_parts(
-    parts: DataFrame, shapes: dict[str, tuple], partitions: int, mean: bool = False
+    parts: DataFrame, shapes: dict[str, tuple], partitions: int, mean: bool = False, dtype=np.float64
 ) -> dict[str, np.ndarray]:
     """Sum (or weighted mean) of the partial arrays that ``partitions`` tasks emit.
 
@@ -123,7 +130,7 @@ def reduce_parts(
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total, weight = None, 0.0
         for d, w in zip(pdf["data"], pdf["weight"]):
-            x = np.frombuffer(d, dtype=np.float64)
+            x = np.frombuffer(d, dtype=dtype)
             total = x.copy() if total is None else total + x
             weight += w
         head = pdf.iloc[0]
@@ -131,23 +138,22 @@ def reduce_parts(
                              "data": [total.tobytes()]})
 
     if partitions <= FEW_PARTS:
-        return _assemble(_add_rows(parts.collect()), shapes, mean)
+        return _assemble(_add_rows(parts.toArrow(), dtype), shapes, mean)
     if fan > 2:
         keyed = parts.withColumn("fan", F.pmod(F.xxhash64("name", "block", "weight", "data"), F.lit(fan)))
         parts = keyed.groupBy("name", "block", "fan").applyInPandas(add, PART_SCHEMA)
-    done = parts.groupBy("name", "block").applyInPandas(add, PART_SCHEMA).collect()
-    return _assemble(_add_rows(done), shapes, mean)
+    done = parts.groupBy("name", "block").applyInPandas(add, PART_SCHEMA).toArrow()
+    return _assemble(_add_rows(done, dtype), shapes, mean)
 
 
-def _add_rows(rows) -> dict[tuple, list]:
+def _add_rows(table: pa.Table, dtype) -> dict[tuple, list]:
     out: dict[tuple, list] = {}
-    for r in rows:
-        x, key = np.frombuffer(r["data"], dtype=np.float64), (r["name"], r["block"])
+    for name, block, weight, data in zip(*(table.column(c) for c in ("name", "block", "weight", "data"))):
+        x, key, w = np.frombuffer(data.as_buffer(), dtype=dtype), (name.as_py(), block.as_py()), weight.as_py()
         if key in out:
-            out[key][0] = out[key][0] + x
-            out[key][1] += r["weight"]
+            out[key] = [out[key][0] + x, out[key][1] + w]
         else:
-            out[key] = [x, r["weight"]]
+            out[key] = [x, w]
     return out
 
 

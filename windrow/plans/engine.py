@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -180,15 +182,22 @@ def fit_engine(corpus: DataFrame, taxonomy: DataFrame, params: Params, lemmas: D
     fast_km = fast_subset(x, "chunk_id", params.seed + 1)
     svm = dict(width=tfidf.width, features=params.svm_features, seed=params.seed)
     km = dict(width=tfidf.width, k=params.clusters, restarts=params.restarts, seed=params.seed)
-    engine = Engine(
-        labels, params, tfidf,
-        svm_slow=fit_svm(x, "t1_idx", **svm), svm_fast=fit_svm(fast_svm, "t1_idx", **svm),
-        mlp=fit_mlp(x, tfidf.width, len(labels.t1), len(labels.t2), "chunk_id", epochs=params.epochs,
-                    batch=params.batch, class_weights=params.t2_loss_weights, seed=params.seed),
-        kmeans_slow=fit_kmeans(x, **km), kmeans_fast=fit_kmeans(fast_km, **km),
-        pca=fit_pca_wide(x, tfidf.width, seed=params.seed), lemmas=lemmas,
-    )
-    return engine, x
+    fits = {
+        "mlp": lambda: fit_mlp(x, tfidf.width, len(labels.t1), len(labels.t2), "chunk_id", epochs=params.epochs,
+                               batch=params.batch, class_weights=params.t2_loss_weights, seed=params.seed),
+        "svm_slow": lambda: fit_svm(x, "t1_idx", **svm),
+        "svm_fast": lambda: fit_svm(fast_svm, "t1_idx", **svm),
+        "kmeans_slow": lambda: fit_kmeans(x, **km),
+        "kmeans_fast": lambda: fit_kmeans(fast_km, **km),
+        "pca": lambda: fit_pca_wide(x, tfidf.width, seed=params.seed),
+    }
+    # The fits are independent chains of short jobs on the same shared rows: run side by side,
+    # one chain's driver step overlaps another's tasks.
+    threaded = inheritable_thread_target(x.sparkSession)
+    with ThreadPoolExecutor(len(fits)) as pool:
+        running = {name: pool.submit(threaded(fn)) for name, fn in fits.items()}
+        models = {name: f.result() for name, f in running.items()}
+    return Engine(labels, params, tfidf, lemmas=lemmas, **models), x
 
 
 def build(books: DataFrame, catalog: DataFrame, taxonomy: DataFrame, params: Params | None = None,
