@@ -45,9 +45,8 @@ SIZES = [
 
 @pytest.mark.parametrize("sizes", SIZES)
 @pytest.mark.parametrize("quota", [1, 5, 100])
-@pytest.mark.parametrize("range_rows", [2, 1 << 16])
-def test_fill_and_parity(spark, monkeypatch, sizes, quota, range_rows):
-    monkeypatch.setattr(ordering, "RANGE_ROWS", range_rows)
+def test_fill_and_parity(spark, monkeypatch, sizes, quota):
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 2)
     books, catalog, tax = make(spark, sizes)
     counts = balance.source_counts(books, catalog, size=3)
     pools = brute(sizes, quota)
@@ -62,6 +61,9 @@ def test_fill_and_parity(spark, monkeypatch, sizes, quota, range_rows):
 
     got = rows(balance.quota_fill(books, counts, tax, quota, size=3))
     assert {k: got[k] for k in pools} == pools
+    early = balance.counts_until_full(books, catalog, quota, size=3, first=1, growth=2)
+    got = rows(balance.quota_fill(books, early, tax, quota, size=3))
+    assert {k: got[k] for k in pools} == pools
     even = rows(balance.balanced(books, counts, tax, quota, size=3))
     assert {k: even[k] for k in pools} == {k: v[:least] for k, v in pools.items()}
     audit = {r["t2"]: r for r in balance.audit_table(balance.pool_sizes(counts, tax, quota), quota).collect()}
@@ -69,6 +71,14 @@ def test_fill_and_parity(spark, monkeypatch, sizes, quota, range_rows):
     assert audit["a1"]["note"] == (f"DEGRADED to {least}" if least < quota else f"TARGET MET: {least}")
 
 
+def test_a_small_quota_reads_few_sources(spark):
+    books, catalog, tax = make(spark, {"a1": [1] * 50, "a2": [3] * 50, "b1": [0, 2] * 25})
+    counts = balance.counts_until_full(books, catalog, 2, size=3, first=2, growth=2)
+    assert {r["t2"]: r["count"] for r in counts.groupBy("t2").count().collect()} == {"a1": 2, "a2": 2, "b1": 2}
+    plan = balance.quota_fill(books, counts, tax, 2, size=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "source_id" in plan and ">=" in plan and "<=" in plan
+
+
 def test_numbering_of_a_hot_group(spark, monkeypatch):
     monkeypatch.setattr(ordering, "RANGE_ROWS", 16)
     rows = [("hot", i * i) for i in range(400)] + [("cold", i) for i in range(5)]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from windrow.functions import text as T
 from windrow.operators.chunking import chunk_counts, window_at
 from windrow.operators.ordering import running_before
-from windrow.scale import broadcast_if
+from windrow.scale import BROADCAST_ROWS, broadcast_if, share
 
 # Windows wanted per class in training and in evaluation.
 QUOTA = 2_500
@@ -30,6 +30,45 @@ def source_counts(
     return catalog.select("t2", "seq", "source_id").join(n, "source_id")
 
 
+def within(docs: DataFrame, sources: DataFrame) -> DataFrame:
+    """``docs`` limited to the id range of ``sources``.
+
+    The two border ids become literals, so they reach the scan and skip the parquet row
+    groups outside; the exact selection stays with the join that follows.
+    """
+    ends = sources.agg(F.min("source_id").alias("low"), F.max("source_id").alias("high")).first()
+    if ends["low"] is None:
+        return docs.limit(0)
+    return docs.filter(F.col("source_id").between(ends["low"], ends["high"]))
+
+
+def counts_until_full(
+    docs: DataFrame, catalog: DataFrame, quota: int = QUOTA, size: int = T.CHUNK_WORDS,
+    offset: int = 0, first: int | None = None, growth: int = 16,
+) -> DataFrame:
+    """Shared :func:`source_counts` of as many leading sources as the quota needs.
+
+    Sources are read in catalogue order until every class has its quota or has no source
+    left: first ``first`` positions per class, then ``growth`` times as many, and so on. What
+    is left out could not be taken anyway, so fill, parity and audit are the same as with all
+    sources, while a quota that is small next to the data reads little of it.
+    """
+    reach = max(1, first or quota)
+    longest = catalog.agg(F.max("seq").alias("m")).first()["m"] or 0
+    while longest > reach:
+        part = catalog.filter(F.col("seq") <= reach)
+        counts = share(source_counts(within(docs, part), part, size, offset))
+        pools = counts.groupBy("t2").agg(F.sum("n").alias("total"))
+        unfinished = catalog.groupBy("t2").agg(F.max("seq").alias("last")).join(pools, "t2", "left").filter(
+            (F.col("last") > reach) & (F.coalesce("total", F.lit(0)) < quota)
+        )
+        if unfinished.isEmpty():
+            return counts
+        counts.unpersist()
+        reach *= growth
+    return share(source_counts(docs, catalog, size, offset))
+
+
 def progress(counts: DataFrame, quota: int = QUOTA) -> DataFrame:
     """Per source visited before the class is full: windows taken and running total."""
     before = running_before(counts, "t2", ["seq", "source_id"], "n", "start", limit=quota)
@@ -74,7 +113,11 @@ def take_windows(
             F.least(F.col("n").cast("bigint"), F.lit(limit) - F.col("start")).cast("int").alias("take"),
         )
     )
-    cut = docs.select("source_id", "text").join(broadcast_if(wanted, limit * classes), "source_id")
+    docs = docs.select("source_id", "text")
+    if limit * classes <= BROADCAST_ROWS:
+        wanted = share(wanted)
+        docs = within(docs, wanted)
+    cut = docs.join(broadcast_if(wanted, limit * classes), "source_id")
     cut = cut.withColumn("_w", T.shifted(T.words("text"), offset)).drop("text")
     windows = F.transform(
         F.sequence(F.lit(0), F.col("take") - 1), lambda i: window_at(F.col("_w"), i, size)

@@ -67,6 +67,9 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame | N
 
 def lemmatize(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame) -> DataFrame:
     """Replace tokens by lemmas with joins only; any table size. Returns ``(id, tokens)``."""
+    # A word can be very frequent; a dictionary-sized table is broadcast, so no word is gathered.
+    if lemmas.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        lemmas = F.broadcast(lemmas)
     cells = df.select(id_col, F.posexplode_outer(tokens).alias("_p", "surface")).filter("surface IS NOT NULL")
     found = cells.join(lemmas, "surface", "left").select(
         id_col, "_p", F.coalesce("lemma", "surface").alias("_t")

@@ -207,7 +207,7 @@ def build(books: DataFrame, catalog: DataFrame, taxonomy: DataFrame, params: Par
     The cheap integrity gate runs before anything is vectorised.
     """
     params = params or Params()
-    counts = share(balance.source_counts(books, catalog, params.chunk_words))
+    counts = balance.counts_until_full(books, catalog, params.quota, params.chunk_words)
     corpus = share(balance.balanced(books, counts, taxonomy, params.quota, params.chunk_words))
     if strict and not integrity.integrity_verdict(integrity.integrity_report(corpus), strict=True):
         raise ValueError("integrity check failed")

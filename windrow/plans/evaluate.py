@@ -107,7 +107,7 @@ def evaluate(
     """
     lab = engine.labels
     size = engine.params.chunk_words
-    counts = share(balance.source_counts(books, catalog, size, offset))
+    counts = balance.counts_until_full(books, catalog, quota, size, offset)
     corpus = balance.balanced(books, counts, taxonomy, quota, size, offset)
     tokens = clean(corpus, "text", engine.params.stop_words, engine.lemmas, "chunk_id")
     rows = share(engine.tfidf.transform(tokens).drop("tokens"))

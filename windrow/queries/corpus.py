@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions import text as T
 from windrow.operators import balance, integrity, lemmas
+from windrow.plans import engine as E
 from windrow.queries import roles as R
 from windrow.scale import checkpoint_dir, share
 from windrow.sources import catalog as C
@@ -182,6 +183,14 @@ cells AS (SELECT doc_id, unnest(t) AS s, generate_subscripts(t, 1) AS p FROM kep
 SELECT doc_id, coalesce(string_agg(coalesce(lemma, s), ' ' ORDER BY p), '') AS text
 FROM documents LEFT JOIN cells USING (doc_id) LEFT JOIN lemmas ON s = surface GROUP BY doc_id""")
 def clean_text(spark, sf):
+    docs = R.books(spark, sf).withColumnRenamed("source_id", "doc_id")
+    done = E.clean(docs, "text", R.STOP_1, _lemma_inputs(spark, sf)[1], "doc_id")
+    return done.select("doc_id", F.array_join("tokens", " ").alias("text"))
+
+
+@query("clean_text_join", ORACLES["clean_text"])
+def clean_text_join(spark, sf):
+    """The same with joins only, the form for lemma tables above the broadcast bound."""
     tokens, table = _lemma_inputs(spark, sf)
     done = lemmas.lemmatize(tokens, "doc_id", "tokens", table)
     return done.select("doc_id", F.array_join("tokens", " ").alias("text"))
@@ -208,7 +217,7 @@ _CORPUS_COLUMNS = "t2_idx || '-' || source_id || '-' || pos AS chunk_id, t1_idx,
 
 
 def _counts(spark, sf):
-    return share(balance.source_counts(R.books(spark, sf), R.catalog(spark, sf)))
+    return balance.counts_until_full(R.books(spark, sf), share(R.catalog(spark, sf)), R.QUOTA)
 
 
 @query("quota_fill", f"WITH {_RANKED_CTE} SELECT {_CORPUS_COLUMNS} FROM ranked WHERE rn <= {R.QUOTA}")

@@ -14,7 +14,7 @@ from windrow.plans.evaluate import evaluate
 from windrow.plans.report import engine_metrics
 from windrow.queries import roles as R
 from windrow.queries.corpus import _requests
-from windrow.scale import checkpoint_dir
+from windrow.scale import checkpoint_dir, share
 from windrow.sources import artifacts
 from windrow.streaming import scoring
 
@@ -37,7 +37,7 @@ def engine_for(spark, sf):
     """Engine and training vectors of one data folder, fitted once per application."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _built:
-        _built[key] = E.build(R.books(spark, sf), R.catalog(spark, sf), R.taxonomy(spark, sf), settings())
+        _built[key] = E.build(R.books(spark, sf), share(R.catalog(spark, sf)), R.taxonomy(spark, sf), settings())
     return _built[key]
 
 
@@ -141,7 +141,7 @@ def metrics_of_engine(spark, sf):
 def evaluate_suite(spark, sf):
     """All evaluation tables in one long form."""
     engine, _ = engine_for(spark, sf)
-    e = evaluate(engine, R.books(spark, sf), R.catalog(spark, sf), R.taxonomy(spark, sf))
+    e = evaluate(engine, R.books(spark, sf), share(R.catalog(spark, sf)), R.taxonomy(spark, sf))
     report = e.report.unpivot(["model", "label"], ["precision", "recall", "f1"], "metric", "value")
     cells = e.confusion.select(
         "model", F.concat_ws(">", "y_true", "y_pred").alias("label"),
