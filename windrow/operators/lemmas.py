@@ -44,9 +44,13 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame | N
             lambda x: F.transform(_one_step(x["form"]), lambda f: F.struct(i.alias("step"), f.alias("form"))),
         ))),
     )
-    by_rule = distinct
+    # Other tokens have no candidate but themselves and never change.
+    fits = F.lit(False)
+    for old, _ in NOUN_SUFFIXES:
+        fits = fits | F.col("surface").endswith(old)
+    by_rule = distinct.filter(fits)
     if exceptions is not None:
-        by_rule = distinct.join(exceptions.select("surface").distinct(), "surface", "left_anti")
+        by_rule = by_rule.join(exceptions.select("surface").distinct(), "surface", "left_anti")
     cands = by_rule.select("surface", F.posexplode(chain).alias("ord", "c")).select(
         "surface", F.greatest(F.col("c.step"), F.lit(1)).alias("step"), "ord", F.col("c.form").alias("form")
     )
