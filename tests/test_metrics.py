@@ -3,6 +3,7 @@ import pytest
 
 from windrow.operators import clustering as K
 from windrow.operators import metrics as M
+from windrow.operators.tfidf import with_vector
 from windrow.plans.evaluate import silhouette_exact
 
 
@@ -60,6 +61,8 @@ def test_silhouettes_against_brute_force(spark):
     sparse = spark.createDataFrame(
         [([int(j) for j in np.flatnonzero(r)], [float(z) for z in r[np.flatnonzero(r)]], int(c)) for r, c in zip(x, k)],
         "idx array<int>, val array<double>, cluster int")
+    vectors = with_vector(sparse, 6)
+    assert K.silhouette_squared(vectors, "features") == pytest.approx(brute_silhouette(x, k, True))
     assert silhouette_exact(sparse) == pytest.approx(brute_silhouette(x, k, False))
 
 

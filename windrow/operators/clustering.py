@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,9 +92,11 @@ def homogeneity_completeness(df: DataFrame, label: str = "y_true", cluster: str
 
 
 def silhouette_squared(df: DataFrame, vec: str, cluster: str = "cluster") -> float:
-    """Mean silhouette with squared Euclidean distance; linear in rows, no row pairs."""
-    ready = df.select(
-        array_to_vector(F.col(vec).cast("array<double>")).alias("features"),
-        F.col(cluster).cast("double").alias("prediction"),
-    )
+    """Mean silhouette with squared Euclidean distance; linear in rows, no row pairs.
+
+    ``vec`` is an array column or an ML vector column.
+    """
+    ready_made = isinstance(df.schema[vec].dataType, VectorUDT)
+    features = F.col(vec) if ready_made else array_to_vector(F.col(vec).cast("array<double>"))
+    ready = df.select(features.alias("features"), F.col(cluster).cast("double").alias("prediction"))
     return ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(ready)

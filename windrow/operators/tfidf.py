@@ -144,14 +144,15 @@ class TfidfModel:
 def transform_by_join(df: DataFrame, id_col: str, terms: str, vocab: DataFrame) -> DataFrame:
     """``(id, term_idx, w)`` through joins only, for vocabularies too large to broadcast.
 
-    Rows are placed by id before the n-grams are unfolded, so counting and the row norm
-    need no further shuffle when the vocabulary side is broadcast by the optimiser.
+    Rows are placed by id before the n-grams are unfolded, so counting needs no further
+    shuffle, and neither does the row norm when the optimiser broadcasts the vocabulary. Terms
+    are counted per row before they meet the vocabulary, and a term that very many rows hold
+    is split by the adaptive skew join.
     """
     placed = df.select(id_col, terms).repartition(F.col(id_col))
-    cells = placed.select(id_col, F.explode(terms).alias("term"))
-    tf = cells.join(vocab.select("term", "term_idx", "idf"), "term").groupBy(id_col, "term_idx", "idf").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    cells = placed.select(id_col, F.explode_outer(terms).alias("term")).filter("term IS NOT NULL")
+    counted = cells.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = counted.join(vocab.select("term", "term_idx", "idf"), "term")
     w = (1.0 + F.log("tf")) * F.col("idf")
     norm = F.sqrt(F.sum(w * w).over(Window.partitionBy(id_col)))
     return tf.select(id_col, "term_idx", (w / norm).alias("w"))

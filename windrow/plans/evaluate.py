@@ -13,8 +13,9 @@ from windrow.functions import probs as P
 from windrow.functions import text as T
 from windrow.operators import balance, clustering
 from windrow.operators import metrics as M
+from windrow.operators.tfidf import with_vector
 from windrow.plans.engine import Engine, clean
-from windrow.scale import BROADCAST_ROWS, share, ship
+from windrow.scale import share, ship
 
 # Largest table whose pairwise Euclidean distances are worked out.
 EXACT_SILHOUETTE_ROWS = 50_000
@@ -48,7 +49,7 @@ def silhouette_exact(df: DataFrame, cluster: str = "cluster") -> float:
     """
     ship(df.sparkSession)
     n = df.count()
-    if n > min(EXACT_SILHOUETTE_ROWS, BROADCAST_ROWS):
+    if n > EXACT_SILHOUETTE_ROWS:
         raise ValueError(f"{n} rows: use silhouette_squared, which is linear in rows")
     rows = df.select(F.col(cluster).alias("k"), "idx", "val")
     table = rows.toPandas()
@@ -124,10 +125,15 @@ def evaluate(
         confusion = c if confusion is None else confusion.unionByName(c)
         report = r if report is None else report.unionByName(r)
 
-    exact = silhouette_exact(raw.select("km_slow", "sparse.idx", "sparse.val"), "km_slow")
     spark = books.sparkSession
+    sparse = raw.select("km_slow", "sparse.idx", "sparse.val")
+    if sparse.count() <= EXACT_SILHOUETTE_ROWS:
+        silhouette = ("silhouette", float(silhouette_exact(sparse, "km_slow")))
+    else:
+        vectors = with_vector(sparse, engine.tfidf.width)
+        silhouette = ("silhouette_sq", clustering.silhouette_squared(vectors, "features", "km_slow"))
     both = _entropy_scores(raw)
-    scores = [("silhouette", float(exact)), ("homogeneity", both["homogeneity"]), ("completeness", both["completeness"])]
+    scores = [silhouette, ("homogeneity", both["homogeneity"]), ("completeness", both["completeness"])]
     clusters = spark.createDataFrame(scores, "metric string, value double")
 
     majority = clustering.cluster_majority(raw, "km_slow", "t2_idx")
