@@ -138,6 +138,7 @@ def test_vectors_become_ml_vectors(spark):
 
 def test_classes_are_equal_in_number(engine):
     _, x = engine
+    assert {name for name, _, _ in engine[0].checks} >= {"Duplicate Check", "Missing Values", "Data Drift"}
     sizes = {r["count"] for r in x.groupBy("t2_idx").count().collect()}
     assert len(sizes) == 1
 

@@ -53,7 +53,10 @@ class Params:
 
 @dataclass
 class Engine:
-    """Fitted models. ``lemmas`` is an optional dictionary table, applied in cleaning."""
+    """Fitted models. ``lemmas`` is an optional dictionary table, applied in cleaning.
+
+    ``checks`` holds the ``(name, status, detail)`` rows of the integrity gate of a build.
+    """
 
     labels: Labels
     params: Params
@@ -65,6 +68,7 @@ class Engine:
     kmeans_fast: KMeansFit
     pca: PcaModel
     lemmas: DataFrame | None = None
+    checks: list[tuple[str, str, str]] = field(default_factory=list)
 
     def vectors(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """Add the sparse row of every text; narrow when lemmas fit the lookup, so also for streams."""
@@ -204,14 +208,17 @@ def build(books: DataFrame, catalog: DataFrame, taxonomy: DataFrame, params: Par
           lemmas: DataFrame | None = None, strict: bool = False) -> tuple[Engine, DataFrame]:
     """Ingest, balance, check, vectorise and fit. Returns the engine and the training vectors.
 
-    The cheap integrity gate runs before anything is vectorised.
+    The cheap integrity gate runs before anything is vectorised; a warning stops the build only
+    if ``strict``.
     """
     params = params or Params()
     counts = balance.counts_until_full(books, catalog, params.quota, params.chunk_words)
     corpus = share(balance.balanced(books, counts, taxonomy, params.quota, params.chunk_words))
-    if strict and not integrity.integrity_verdict(integrity.integrity_report(corpus), strict=True):
-        raise ValueError("integrity check failed")
-    made = fit_engine(corpus, taxonomy, params, lemmas)
+    checks = [tuple(r) for r in integrity.integrity_report(corpus).collect()]
+    if strict and any(status == "WARNING" for _, status, _ in checks):
+        raise ValueError(f"integrity check failed: {checks}")
+    engine, vectors = fit_engine(corpus, taxonomy, params, lemmas)
+    engine.checks = checks
     corpus.unpersist()
     counts.unpersist()
-    return made
+    return engine, vectors

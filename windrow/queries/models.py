@@ -156,6 +156,14 @@ def evaluate_suite(spark, sf):
     return report.unionByName(cells).unionByName(clusters).unionByName(spots).unionByName(wrong)
 
 
+@query("silhouette_sample")
+def silhouette_sample(spark, sf):
+    """Euclidean silhouette of the clusters of the evaluation windows (quota-bounded by definition)."""
+    engine, _ = engine_for(spark, sf)
+    e = evaluate(engine, R.books(spark, sf), share(R.catalog(spark, sf)), R.taxonomy(spark, sf))
+    return e.clusters.filter(F.col("metric").startswith("silhouette"))
+
+
 @query("save_load_roundtrip")
 def save_load_roundtrip(spark, sf):
     """Scores of a saved and loaded engine over all training rows, next to the original's."""
