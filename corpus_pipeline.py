@@ -1,14 +1,47 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again.
+
+1. Documents whose language is not recognised go.
+2. Later copies of line runs that repeat in the corpus are deleted; emptied documents go.
+3. One document of each near-duplicate group stays.
+4. Sources are mixed to their target weights; documents repeat or go as the mix asks.
+5. The mix is packed into sequences.
+
+Stages 1 to 4 return the columns they are given. Null texts go in stage 1; empty tables pass.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from windrow.llm import langid, linededup, minhash, mixing, packing
 from windrow.llm.shared import table, written
 
-STAGES: list = []
 
-# The stages use a trained model, a hash order and a tokenizer: no SQL form.
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.accepted(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return linededup.deduplicated(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.representatives(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [(f.__name__, f) for f in (language_id, line_dedup, near_dedup, source_mix, best_fit_packing)]
+
+# A trained network, a tokenizer and hash orders decide: no SQL form. The tests hold the stages
+# against brute-force versions.
 ORACLE_SQL = None
 
 

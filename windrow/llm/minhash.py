@@ -224,3 +224,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 85, bands: i
     out = signed.drop("bands").join(final, ["n", "d1", "d2"], "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def representatives(docs: DataFrame, **settings) -> DataFrame:
+    """``docs``, all columns, with one document of each near-duplicate group: the one with the
+    smallest id. Rows with the same id and text are one document."""
+    stay = near_duplicates(docs, **settings).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    rows = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_kept_id"]), "left_semi")
+    return rows.withColumn("_text_id", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_id"]).drop("_text_id")

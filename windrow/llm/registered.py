@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import ann, langid, linededup, minhash, mixing, packing, pii, quality, tokencount
+from windrow.llm import ann, langid, licenses, linededup, minhash, mixing, packing, pii, quality, tokencount
 from windrow.llm.shared import table
 
 
@@ -34,6 +34,10 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
@@ -47,5 +51,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pii, op2_minhash, op3_repetition, op4_language, op5_best_fit, op6_nearest, op8_line_runs, op9_token_counts, op10_mixing)}
+    op1_pii, op2_minhash, op3_repetition, op4_language, op5_best_fit, op6_nearest, op7_licences, op8_line_runs, op9_token_counts, op10_mixing)}
 ORACLES: dict[str, str] = {}
