@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from windrow.llm.shared import word_count, written
+from windrow.llm.shared import folded, unfolded, word_count, written
 
 _DOC = ("_d1", "_d2")
 
@@ -158,6 +158,7 @@ def report(docs: DataFrame, min_words: int = 50) -> DataFrame:
 
 def deduplicated(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """``docs`` with repeats deleted; documents of which no line is left go."""
-    done = without_repeats(docs, min_words)
+    done = without_repeats(folded(docs, "doc_id", "text"), min_words)
     lines = F.coalesce(F.aggregate("_cuts", F.lit(0), lambda n, c: n + c["b"] - c["a"] + 1), F.lit(0))
-    return done.filter(F.col("_cuts").isNull() | (lines < F.col("_lines"))).select(*docs.columns)
+    left = done.filter(F.col("_cuts").isNull() | (lines < F.col("_lines")))
+    return unfolded(left, docs.columns, "doc_id", "text")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm.components import components
-from windrow.llm.shared import column, grams, mixed, per_batch, text_bytes, word_ids, written
+from windrow.llm.shared import column, folded, grams, mixed, per_batch, text_bytes, unfolded, word_ids, written
 
 PLACES = 1 << 18
 
@@ -230,5 +230,6 @@ def representatives(docs: DataFrame, **settings) -> DataFrame:
     """``docs``, all columns, with one document of each near-duplicate group: the one with the
     smallest id. Rows with the same id and text are one document."""
     stay = near_duplicates(docs, **settings).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_kept_id"]), "left_semi")
-    return rows.withColumn("_text_id", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_id"]).drop("_text_id")
+    rows = folded(docs, "doc_id", "text").join(stay, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    rows = rows.withColumn("_text_id", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_id"])
+    return unfolded(rows, docs.columns, "doc_id", "text")

@@ -4,8 +4,8 @@ Plain identifiers are found by patterns on the text itself. Then a transducer re
 places where a disguise is possible (look-alike letters and digits, spelled digits, ``at`` and
 ``dot`` in words or brackets, zero-width characters) and keeps, for every character it emits, the
 source span it came from. The same patterns run on the rewritten text; what they find is mapped
-back to source offsets and added where it overlaps no plain span of its kind and is made of at
-least one rewritten place.
+back to source offsets and added if it holds at least one rewritten place and each plain span of
+its kind that it meets is a smaller part of it. Plain spans always stay.
 
 All patterns are linear in the text: runs are entered at their start only, and matched without
 giving characters back. Texts are read whole and offsets are code points.
@@ -113,7 +113,7 @@ _AT = re.compile(r" ?[\[({<] ?(?:at|AT|At) ?[\])}>] ?|(?<=[A-Za-z0-9]) (?:at|AT)
 _DOT = re.compile(r" ?[\[({<] ?(?:dot|DOT|Dot) ?[\])}>] ?|(?<=[A-Za-z0-9]) (?:dot|DOT) (?=[A-Za-z0-9])")
 _ODD = re.compile(
     f"[{_ZERO_WIDTH}{''.join(_ALIKE)}‐-―−․。！-～\U0001d400-\U0001d7ff"
-    "٠-٩۰-۹①-⑳⁰-⁹₀-₉]")
+    "٠-٩۰-۹①-⑳]")
 _BRACKET_AT = re.compile(r"[\[({<] ?(?:at|dot) ?[\])}>]", re.I)
 _SPELL_HINT = re.compile(rf"\b(?:{_WORD_DIGIT})\b[ ,.-]+(?:{_WORD_DIGIT}|[0-9])", re.I)
 _DOT_WORD = re.compile(r" (?:dot|DOT) ")
@@ -222,10 +222,14 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
         if end - start == b - a and not now.changed(a, b):
             continue
         spans = taken[kind]
-        at = bisect_right(spans, (start, end))
-        if (at and spans[at - 1][1] > start) or (at < len(spans) and spans[at][0] < end):
-            continue
-        found.append((start, end, kind))
+        at = max(0, bisect_right(spans, (start, start)) - 1)
+        met = []
+        while at < len(spans) and spans[at][0] < end:
+            if spans[at][1] > start:
+                met.append(spans[at])
+            at += 1
+        if all(start <= x and y <= end and y - x < end - start for x, y in met):
+            found.append((start, end, kind))
     return found
 
 

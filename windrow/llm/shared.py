@@ -29,6 +29,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folded(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and one struct of all others, so that their names clash with none."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in keep]
+    return docs.select(*keep, (F.struct(*others) if others else F.lit(None).cast("int")).alias("_others"))
+
+
+def unfolded(docs: DataFrame, names: list[str], *keep: str) -> DataFrame:
+    """The original columns of a folded frame, in the order ``names``."""
+    return docs.select(*(F.col(c) if c in keep else F.col("_others").getField(c).alias(c) for c in names))
+
+
 def word_count(col) -> F.Column:
     """Words of a text column as a long; null text has none."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("bigint")
