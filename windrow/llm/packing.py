@@ -127,7 +127,7 @@ def encoded(data: list[bytes], coder: WordCodes) -> Iterator[bytes]:
 
 
 def pack(docs: DataFrame, tokenizer_file: str, size: int = 2048, end_id: int = 0, open_bins: int = 256,
-         fan_in: int = 16, cache_words: int = 500_000) -> DataFrame:
+         fan_in: int = 16, cache_words: int = 1_200_000) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text) with their place: doc_id, piece, start, length, ids_crc32,
     sequence_id, offset. ``end_id`` follows each document's ids; longer documents are cut."""
     docs = docs.select("doc_id", "text")
