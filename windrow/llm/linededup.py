@@ -138,7 +138,8 @@ def without_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
     ``_cuts`` (deleted line intervals, null if none) and ``_lines`` (lines before)."""
     cuts = written(later_lines(docs, min_words), "cuts").select(F.col("_d1").alias("_c1"), F.col("_d2").alias("_c2"), F.col("cuts").alias("_cuts"))
     keyed = with_key(docs)
-    joined = keyed.join(cuts, (keyed["_d1"] == cuts["_c1"]) & (keyed["_d2"] == cuts["_c2"]), "left").drop("_c1", "_c2", *_DOC)
+    # One plan at every size: the table of cuts grows with the corpus and is never broadcast.
+    joined = keyed.join(cuts.hint("merge"), (keyed["_d1"] == cuts["_c1"]) & (keyed["_d2"] == cuts["_c2"]), "left").drop("_c1", "_c2", *_DOC)
     lines = split_lines("text")
     starts = F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda c: c["b"] + 1))
     stops = F.concat(F.transform("_cuts", lambda c: c["a"]), F.array(F.size(lines)))
