@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from windrow import taxonomy as X
 from windrow.operators import balance, integrity, ordering
@@ -121,3 +122,15 @@ def test_integrity(spark):
     assert again["Data Drift"] == "PASSED"
     report = integrity.integrity_report(corpus)
     assert integrity.integrity_verdict(report) and not integrity.integrity_verdict(report, strict=True)
+
+
+def test_numbering_of_very_large_groups(spark, monkeypatch):
+    """A group of more than GRID * RANGE_ROWS rows is cut in several levels."""
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 8)
+    monkeypatch.setattr(ordering, "GRID", 4)
+    df = spark.range(700).select((F.col("id") % 7 == 0).cast("int").alias("g"), (F.col("id") * 37 % 701).alias("k"))
+    got = ordering.number_in_group(df, "g", "k")
+    assert got.columns == ["g", "k", "seq"]
+    for g in (0, 1):
+        rows = sorted((r["k"], r["seq"]) for r in got.filter(F.col("g") == g).collect())
+        assert [s for _, s in rows] == list(range(1, len(rows) + 1))

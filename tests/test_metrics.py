@@ -4,7 +4,6 @@ import pytest
 from windrow.operators import clustering as K
 from windrow.operators import metrics as M
 from windrow.operators.tfidf import with_vector
-from windrow.plans.evaluate import silhouette_exact
 
 
 def scored(spark, pairs):
@@ -63,7 +62,6 @@ def test_silhouettes_against_brute_force(spark):
         "idx array<int>, val array<double>, cluster int")
     vectors = with_vector(sparse, 6)
     assert K.silhouette_squared(vectors, "features") == pytest.approx(brute_silhouette(x, k, True))
-    assert silhouette_exact(sparse) == pytest.approx(brute_silhouette(x, k, False))
 
 
 def test_weighted_loss(spark):

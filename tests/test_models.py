@@ -205,7 +205,9 @@ def test_stream_equals_batch(spark, sf, engine, tmp_path):
                         str(tmp_path / "out"), str(tmp_path / "state"), available_now=True, as_json=True)
     run.awaitTermination()
     from windrow.sources.requests import render_responses
-    stream = spark.read.parquet(str(tmp_path / "out"))
+    stream = spark.read.parquet(str(tmp_path / "out")).drop("batch")
+    refused = spark.read.parquet(str(tmp_path / "out-rejected"))
+    assert stream.count() + refused.count() == requests.count()
     batch = render_responses(scoring.score_requests(requests, e))
     assert stream.count() > 0 and stream.exceptAll(batch).isEmpty() and batch.exceptAll(stream).isEmpty()
 
@@ -215,7 +217,7 @@ def test_evaluation_and_reports(spark, sf, engine, tmp_path):
     ev = evaluate(e, R.books(spark, sf), R.catalog(spark, sf), R.taxonomy(spark, sf), quota=20)
     assert {r["model"] for r in ev.report.collect()} == {"svm_fast", "svm_slow", "mlp_t1", "mlp_t2"}
     scores = {r["metric"]: r["value"] for r in ev.clusters.collect()}
-    assert -1 <= scores["silhouette"] <= 1 and 0 <= scores["homogeneity"] <= 1
+    assert -1 <= scores["silhouette_sq"] <= 1 and 0 <= scores["homogeneity"] <= 1
     assert ev.scatter.filter("kind = 'centroid'").count() == 7
     assert ev.edge_cases.count() <= 10
     sinks.write_edge_cases(ev.edge_cases, str(tmp_path / "edge"))

@@ -82,8 +82,11 @@ def test_lemmas(spark):
     rows = spark.createDataFrame([(1, ["men", "x", "foxes"]), (2, [])], "id int, tokens array<string>")
     joined = {r["id"]: r["tokens"] for r in lemmas.lemmatize(rows, "id", "tokens", table).collect()}
     assert joined == {1: ["man", "x", "fox"], 2: []}
-    swap = lemmas.lemma_lookup(table)
-    assert {r[0]: r[1] for r in rows.select("id", swap("tokens")).collect()} == joined
+    wanted = lemmas.relevant_lemmas(table, ["man", "fox", "none"])
+    assert wanted == {"men": "man", "foxes": "fox"}
+    rows = rows.unionByName(spark.createDataFrame([(3, None)], "id int, tokens array<string>"))
+    swap = lemmas.lemma_lookup(spark, wanted)
+    assert {r[0]: r[1] for r in rows.select("id", swap("tokens")).collect()} == joined | {3: None}
 
 
 def test_decode(spark):

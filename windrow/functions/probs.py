@@ -19,11 +19,16 @@ def array_total(c) -> Column:
     return F.aggregate(_col(c), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` bound to a lambda variable: it is worked out once, not per element."""
+    return F.transform(F.array(value), use).getItem(0)
+
+
 def softmax(logits) -> Column:
-    """Shifted by the maximum, so large logits do not overflow."""
+    """Shifted by the maximum, so large logits do not overflow. Linear in the number of labels."""
     z = _col(logits)
-    e = F.transform(z, lambda x: F.exp(x - F.array_max(z)))
-    return F.transform(e, lambda x: x / array_total(e))
+    e = once(F.array_max(z), lambda top: F.transform(z, lambda x: F.exp(x - top)))
+    return once(e, lambda v: once(array_total(v), lambda t: F.transform(v, lambda x: x / t)))
 
 
 def parent_mass(p1, parent: Sequence[int]) -> Column:
@@ -35,7 +40,7 @@ def parent_mass(p1, parent: Sequence[int]) -> Column:
 def hierarchical_mask(p1, p2, parent: Sequence[int], eps: float = MASK_EPS) -> Column:
     """School probabilities weighted by their branch's probability, renormalised."""
     m = F.zip_with(_col(p2), parent_mass(p1, parent), lambda a, b: a * b)
-    return F.transform(m, lambda x: x / (array_total(m) + F.lit(eps)))
+    return once(m, lambda v: once(array_total(v) + F.lit(eps), lambda t: F.transform(v, lambda x: x / t)))
 
 
 def argmax(p) -> Column:

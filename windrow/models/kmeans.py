@@ -24,6 +24,7 @@ class KMeansFit:
     centers: np.ndarray
     cost: float
     costs: list[float]
+    converged: bool = True
 
     def distances(self, rows: Rows) -> np.ndarray:
         """Squared distance of every sparse row to every centre."""
@@ -33,18 +34,18 @@ class KMeansFit:
 
 def fit_kmeans(
     df: DataFrame, width: int, k: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED,
-    max_iter: int = 50, threads: int = 5,
+    max_iter: int = 300, threads: int = 5,
 ) -> KMeansFit:
     """Fit on rows with ``idx`` and ``val``. Restarts run concurrently on one cached input."""
     data, _ = packed(with_vector(df.select("idx", "val"), width), ["features"], df.count())
 
     def fit(s: int):
         m = KMeans(k=k, seed=s, maxIter=max_iter, tol=1e-4).fit(data)
-        return m.summary.trainingCost, s, np.array(m.clusterCenters())
+        return m.summary.trainingCost, s, np.array(m.clusterCenters()), m.summary.numIter < max_iter
 
     data.count()
     with ThreadPoolExecutor(threads) as pool:
         runs = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(seed, seed + restarts)))
     data.unpersist()
-    cost, _, centers = min(runs, key=lambda r: (r[0], r[1]))
-    return KMeansFit(centers, float(cost), [float(r[0]) for r in runs])
+    cost, _, centers, _ = min(runs, key=lambda r: (r[0], r[1]))
+    return KMeansFit(centers, float(cost), [float(r[0]) for r in runs], all(r[3] for r in runs))

@@ -10,10 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.models.numeric import PART_SCHEMA, TASK_ROWS, Rows, part_rows, reduce_parts
+from windrow.models.numeric import PART_SCHEMA, Rows, part_rows, reduce_parts
 from windrow.scale import share, ship
 
 # Layer sizes, dropout, optimiser settings, batch size, stop rule.
@@ -24,6 +25,8 @@ WEIGHT_DECAY = 0.02
 BATCH = 64
 EPOCHS = 50
 STOP_LOSS = 0.05
+# Rows that are shuffled together; rows come in hash order, so any window is a fair mix.
+MIX_ROWS = 8192
 
 
 def erf(x: np.ndarray) -> np.ndarray:
@@ -148,8 +151,24 @@ class MlpModel:
         return z1.astype(np.float64), z2.astype(np.float64)
 
 
+def mixed_windows(batches, size: int = MIX_ROWS):
+    """Arrow batches of whatever size as tables of ``size`` rows (the last one shorter)."""
+    held, rows = [], 0
+    for b in batches:
+        while b.num_rows:
+            take = min(size - rows, b.num_rows)
+            held.append(b.slice(0, take))
+            rows += take
+            b = b.slice(take)
+            if rows == size:
+                yield pa.concat_batches(held)
+                held, rows = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def train_batch(w: dict, opt: AdamW, rows: Rows, y1, y2, class_w, batch: int, rng) -> float:
-    """Mini-batch steps over the shuffled rows of one Arrow batch; returns the summed loss."""
+    """Mini-batch steps over the shuffled rows of one window; returns the summed loss."""
     order, total, keep = rng.permutation(len(rows)), 0.0, 1.0 - DROPOUT
     for a in range(0, len(order), batch):
         pick = order[a : a + batch]
@@ -163,28 +182,26 @@ def train_batch(w: dict, opt: AdamW, rows: Rows, y1, y2, class_w, batch: int, rn
 def fit_mlp(
     df: DataFrame, width: int, n1: int, n2: int, id_col: str, t1="t1_idx", t2="t2_idx",
     epochs: int = EPOCHS, batch: int = BATCH, class_weights: dict[int, float] | None = None,
-    stop_loss: float = STOP_LOSS, partitions: int | None = None, seed: int = 42,
+    stop_loss: float = STOP_LOSS, partitions: int = 4, seed: int = 42,
 ) -> MlpModel:
     """Train on rows with ``idx``, ``val`` and both label codes.
 
-    ``partitions`` is part of the result, like the batch size; by default it grows with the
-    rows up to the cores of the cluster.
+    ``partitions`` is a parameter of the model, like the batch size: neither cores, rows nor the
+    size of Arrow batches change the result. Rows are placed and ordered by a seeded hash of
+    their id. Moments travel with the weights, and the step grows with the number of partitions,
+    because averaging makes each partition's steps count by its share.
     """
     spark = df.sparkSession
     ship(spark)
     rows = df.select(F.col(id_col), F.col(t1).cast("int").alias("y1"), F.col(t2).cast("int").alias("y2"), "idx", "val")
-    if partitions is None:
-        cores = spark.sparkContext.defaultParallelism
-        partitions = min(cores, max(1, -(-rows.count() // TASK_ROWS)))
-    placed = share(rows.repartition(partitions, id_col).sortWithinPartitions(id_col).drop(id_col))
+    rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), id_col))
+    placed = share(rows.repartition(partitions, "_h").sortWithinPartitions("_h", id_col).drop("_h", id_col))
     cw = np.ones(n2, dtype=np.float32)
     for k, v in (class_weights or {}).items():
         if k < n2:
             cw[k] = v
     start = start_weights(width, n1, n2, seed)
-    # One partition trains on without a break. Several restart the moments every epoch, which
-    # moves a third of the data and costs little in measured loss.
-    carry = "wmv" if partitions == 1 else "w"
+    carry = "wmv"
     state = {"w": start, "t": 0}
     shape = {f"{p}.{k}": v.shape for p in carry for k, v in start.items()} | {"facts": (3,)}
     losses: list[float] = []
@@ -200,11 +217,9 @@ def fit_mlp(
             w = {k: v.copy() for k, v in start["w"].items()}
             m, v = ({k: x.copy() for k, x in start.get(p, {}).items()} or {k: np.zeros_like(x) for k, x in w.items()}
                     for p in "mv")
-            opt = AdamW(m, v, start["t"])
+            opt = AdamW(m, v, start["t"], LEARNING_RATE * partitions)
             n, total = 0, 0.0
-            for b in batches:
-                if b.num_rows == 0:
-                    continue
+            for b in mixed_windows(batches):
                 data = Rows.from_arrow(b)
                 data.val = data.val.astype(np.float32)
                 total += train_batch(w, opt, data, b.column(0).to_numpy(), b.column(1).to_numpy(), cw, batch, rng)

@@ -22,6 +22,7 @@ class PcaModel:
     components: np.ndarray
     variance: np.ndarray
     ratio: np.ndarray
+    converged: bool = True
 
     def project(self, rows: Rows) -> np.ndarray:
         """Centred projection; a row without known terms lands on minus the projected mean."""
@@ -37,7 +38,7 @@ def _fix_signs(v: np.ndarray) -> np.ndarray:
     return v * np.where(v[top, np.arange(v.shape[1])] < 0, -1.0, 1.0)
 
 
-def fit_pca_wide(df: DataFrame, width: int, k: int = COMPONENTS, extra: int = 4, max_passes: int = 12,
+def fit_pca_wide(df: DataFrame, width: int, k: int = COMPONENTS, extra: int = 4, max_passes: int = 100,
                  tol: float = 1e-4, seed: int = 42) -> PcaModel:
     """Block Krylov iteration (Musco and Musco, 2015) on the centred rows.
 
@@ -55,7 +56,7 @@ def fit_pca_wide(df: DataFrame, width: int, k: int = COMPONENTS, extra: int = 4,
     total = squares / n - mean @ mean
     block = min(k + extra, width)
     rng = np.random.RandomState(seed)
-    basis, images, found = [], [], None
+    basis, images, found, converged = [], [], None, False
     v = np.linalg.qr(rng.standard_normal((width, block)))[0]
     for _ in range(max_passes):
         shared = spark.sparkContext.broadcast(v)
@@ -77,6 +78,7 @@ def fit_pca_wide(df: DataFrame, width: int, k: int = COMPONENTS, extra: int = 4,
         miss = np.linalg.norm(aq @ vectors - found[1] * values, axis=0)
         left = width - q.shape[1]
         if (miss <= tol * np.maximum(values, 1e-30)).all() or left <= 0:
+            converged = True
             break
         image = image[:, :left]
         fresh = image - q @ (q.T @ image)
@@ -86,7 +88,7 @@ def fit_pca_wide(df: DataFrame, width: int, k: int = COMPONENTS, extra: int = 4,
         v = np.linalg.qr(v)[0]
     data.unpersist()
     values, components = found
-    return PcaModel(mean, _fix_signs(components), values * n / max(n - 1, 1), values / total)
+    return PcaModel(mean, _fix_signs(components), values * n / max(n - 1, 1), values / total, converged)
 
 
 def _moments(rows: Rows, width: int):

@@ -80,7 +80,7 @@ def scale_gamma(df: DataFrame, width: int) -> float:
 
 def fit_svm(
     df: DataFrame, label: str, width: int, features: int = FEATURES, seed: int = 42,
-    penalty: float = PENALTY, max_iter: int = 25, threads: int = 6,
+    penalty: float = PENALTY, max_iter: int = 100, threads: int = 6,
 ) -> SvmModel:
     """Fit on rows with ``idx``, ``val`` and a label code. Class pairs are fitted concurrently."""
     ship(df.sparkSession)

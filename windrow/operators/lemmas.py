@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.scale import BROADCAST_ROWS, ship
@@ -85,20 +87,34 @@ def lemmatize(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame) -> Dat
     )
 
 
-def lemma_lookup(lemmas: DataFrame):
-    """Column function over a dictionary-sized lemma table: narrow, also usable on a stream.
+def relevant_lemmas(lemmas: DataFrame, words: list[str]) -> dict[str, str]:
+    """The entries whose surface or lemma is one of ``words``.
 
-    Returns None when the table is larger than the broadcast bound.
+    For a fitted vocabulary and stop list no other entry changes a result: any other token is
+    unknown before and after. So the dictionary is bounded by the model, not by the lexicon.
     """
-    ship(lemmas.sparkSession)
-    head = lemmas.limit(BROADCAST_ROWS + 1).select("surface", "lemma").collect()
-    if len(head) > BROADCAST_ROWS:
-        return None
-    shared = lemmas.sparkSession.sparkContext.broadcast({r["surface"]: r["lemma"] for r in head})
-
-    @F.pandas_udf("array<string>")
-    def swap(col: pd.Series) -> pd.Series:
-        table = shared.value
-        return col.map(lambda ts: None if ts is None else [table.get(t, t) for t in ts])
+    table = lemmas.sparkSession.createDataFrame([(w,) for w in sorted(set(words))], "word string")
+    hit = lemmas.select("surface", "lemma").join(table, F.col("word") == F.col("lemma"), "left_semi")
+    own = lemmas.select("surface", "lemma").join(table, F.col("word") == F.col("surface"), "left_semi")
+    return {r["surface"]: r["lemma"] for r in hit.union(own).distinct().collect()}
+
+
+def lemma_lookup(spark: SparkSession, table: dict[str, str]):
+    """Column function replacing the tokens of a list by ``table``; narrow, also usable on a stream.
+
+    Works on whole Arrow columns: one index lookup over all tokens of a batch.
+    """
+    ship(spark)
+    shared = spark.sparkContext.broadcast((list(table), list(table.values())))
+
+    @F.arrow_udf("array<string>")
+    def swap(col: pa.Array) -> pa.Array:
+        surfaces, lemmas = shared.value
+        tokens = col.flatten()
+        at = pc.index_in(tokens, pa.array(surfaces, tokens.type))
+        new = pc.coalesce(pc.take(pa.array(lemmas, tokens.type), at), tokens)
+        sizes = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, new.cast(pa.string()), mask=col.is_null())
 
     return swap

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Rows of one group that one task may window over.
 RANGE_ROWS = 1 << 16
+# Ranges cut at once; a group of more than GRID * RANGE_ROWS rows is cut in several levels.
+GRID = 256
 
 
 def number_in_group(df: DataFrame, group: str, order: str, out: str = "seq") -> DataFrame:
@@ -19,8 +21,7 @@ def number_in_group(df: DataFrame, group: str, order: str, out: str = "seq") ->
     ``order`` is a numeric key that is unique inside its group. Range borders come from one
     narrow quantile pass and are fixed before use, so a recomputed task sees the same borders.
     """
-    grid = 256
-    fractions = [i / grid for i in range(1, grid)]
+    fractions = [i / GRID for i in range(1, GRID)]
     stats = (
         df.groupBy(group)
         .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(order, fractions, 10000).alias("q"))
@@ -28,8 +29,8 @@ def number_in_group(df: DataFrame, group: str, order: str, out: str = "seq") ->
     )
     borders = []
     for row in stats:
-        parts = min(grid, max(1, row["n"] // RANGE_ROWS + 1))
-        picks = sorted({row["q"][(i * grid) // parts - 1] for i in range(1, parts)})
+        parts = min(GRID, max(1, row["n"] // RANGE_ROWS + 1))
+        picks = sorted({row["q"][(i * GRID) // parts - 1] for i in range(1, parts)})
         borders.append((row[group], picks))
     if all(not picks for _, picks in borders):
         whole = Window.partitionBy(group).orderBy(order)
@@ -37,11 +38,22 @@ def number_in_group(df: DataFrame, group: str, order: str, out: str = "seq") ->
 
     kind = df.schema[group].dataType.simpleString()
     key = df.schema[order].dataType.simpleString()
-    fixed = df.sparkSession.createDataFrame(borders, f"{group} {kind}, _cuts array<{key}>")
+    fixed = df.sparkSession.createDataFrame(borders, f"`{group}` {kind}, _cuts array<{key}>")
     ranged = df.join(F.broadcast(fixed), group).withColumn(
         "_range", F.size(F.filter("_cuts", lambda b: b < F.col(order))).cast("bigint")
     ).drop("_cuts")
-    return _running(ranged, group, [order], F.lit(1), out, inclusive=True)
+    if max(row["n"] for row in stats) <= GRID * RANGE_ROWS:
+        return _running(ranged, group, [order], F.lit(1), out, inclusive=True)
+    # Ranges of a very large group are still large: number inside each range the same way, then
+    # add what comes before the range.
+    totals = ranged.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_total"))
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(group, "_range", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
+    cell = F.to_json(F.struct(F.col(group), F.col("_range")))
+    inner = number_in_group(
+        ranged.withColumn("_cell", cell).withColumnRenamed("_range", "_outer"), "_cell", order, "_inner"
+    ).drop("_cell").withColumnRenamed("_outer", "_range")
+    return inner.join(base, [group, "_range"]).withColumn(out, F.col("_base") + F.col("_inner")).drop("_base", "_inner", "_range")
 
 
 def running_before(

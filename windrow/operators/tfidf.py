@@ -103,15 +103,12 @@ class TfidfModel:
         two empty arrays.
         """
         ready = self._counter().transform(with_terms(df, tokens, self.stop, self.ngrams, out="_terms"))
-        # A sparse vector column has a JSON form; reading it back gives its two arrays
-        # without leaving the JVM.
-        cells = F.from_json(
-            F.to_json(F.struct(F.col("_cv").alias("v"))), "v struct<indices:array<int>,values:array<double>>"
-        )
+        # The struct behind a vector column holds its two arrays.
+        cells = F.unwrap_udt("_cv")
         # One text literal folds into one array constant; a list of literals is slow to analyse.
         idf = F.from_json(F.lit(json.dumps(self.idf)), "array<double>")
         raw = F.zip_with(
-            F.col("_c.v.indices"), F.col("_c.v.values"),
+            F.col("_c.indices"), F.col("_c.values"),
             lambda i, tf: (1.0 + F.log(tf)) * F.get(idf, i),
         )
         norm = F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda a, w: a + w * w))
@@ -122,7 +119,7 @@ class TfidfModel:
             .withColumn("_raw", raw)
             .select(
                 *df.columns,
-                F.coalesce("_c.v.indices", F.array().cast("array<int>")).alias("idx"),
+                F.coalesce("_c.indices", F.array().cast("array<int>")).alias("idx"),
                 F.coalesce(unit, F.array().cast("array<double>")).alias("val"),
             )
         )
@@ -167,7 +164,11 @@ def fit_tfidf(
     min_df=MIN_DF,
     max_df=MAX_DF,
 ) -> TfidfModel:
-    """Learn the vocabulary. Only the (bounded) vocabulary reaches the driver."""
+    """Learn the vocabulary; only it reaches the driver.
+
+    ``max_features`` is a parameter of the model, at most BROADCAST_ROWS: every task holds the
+    vocabulary. It does not depend on the number of rows.
+    """
     if max_features > BROADCAST_ROWS:
         raise ValueError("vocabulary above the broadcast bound: use vocabulary() and transform_by_join()")
     n_rows = df.count()

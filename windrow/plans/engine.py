@@ -20,11 +20,12 @@ from windrow.models.numeric import Rows
 from windrow.models.pca import PcaModel, fit_pca_wide
 from windrow.models.svm import SvmModel, fit_svm
 from windrow.operators import balance, integrity
-from windrow.operators.lemmas import lemma_lookup, lemmatize
+from windrow.operators.lemmas import lemma_lookup, lemmatize, relevant_lemmas
 from windrow.operators.sampling import fast_subset
 from windrow.operators.tfidf import TfidfModel, fit_tfidf
 from windrow.plans.report import by_mode
 from windrow.scale import share, ship
+from windrow.sources.documents import ingest
 from windrow.taxonomy import DEFAULT_T2_LOSS_WEIGHTS, Labels, labels_of
 
 RAW_SCHEMA = ("svm_slow int, svm_fast int, km_slow int, km_fast int, km_slow_d2 double, km_fast_d2 double, "
@@ -43,17 +44,21 @@ class Params:
     min_df: int = 5
     max_df: float = 0.60
     svm_features: int = 512
+    svm_max_iter: int = 100
     epochs: int = 50
     batch: int = 64
+    mlp_partitions: int = 4
     clusters: int = 7
     restarts: int = 10
+    kmeans_max_iter: int = 300
+    pca_max_passes: int = 100
     seed: int = 42
     t2_loss_weights: dict[int, float] = field(default_factory=lambda: dict(DEFAULT_T2_LOSS_WEIGHTS))
 
 
 @dataclass
 class Engine:
-    """Fitted models. ``lemmas`` is an optional dictionary table, applied in cleaning.
+    """Fitted models. ``lemma_map`` holds the lemmas that can matter to the vocabulary.
 
     ``checks`` holds the ``(name, status, detail)`` rows of the integrity gate of a build.
     """
@@ -67,14 +72,22 @@ class Engine:
     kmeans_slow: KMeansFit
     kmeans_fast: KMeansFit
     pca: PcaModel
-    lemmas: DataFrame | None = None
+    lemma_map: dict[str, str] = field(default_factory=dict)
     checks: list[tuple[str, str, str]] = field(default_factory=list)
+    _lookup: object = field(default=None, repr=False, compare=False)
 
     def vectors(self, df: DataFrame, text_col: str = "text") -> DataFrame:
-        """Add the sparse row of every text; narrow when lemmas fit the lookup, so also for streams."""
-        cleaned = clean(df, text_col, self.params.stop_words, self.lemmas)
+        """Add the sparse row of every text. Narrow, so also for streams."""
+        cleaned = clean(df, text_col, self.params.stop_words)
+        if self.lemma_map:
+            cleaned = cleaned.withColumn("tokens", self._swap(df.sparkSession)("tokens"))
         return self.tfidf.transform(cleaned).drop("tokens")
 
+    def _swap(self, spark):
+        if self._lookup is None:
+            self._lookup = lemma_lookup(spark, self.lemma_map)
+        return self._lookup
+
     def raw_scores(self, vectors: DataFrame) -> DataFrame:
         """All model outputs of rows with ``idx`` and ``val``: one pass, one row out per row in."""
         spark = vectors.sparkSession
@@ -152,16 +165,11 @@ def _lists(x: np.ndarray) -> pa.ListArray:
 
 
 def clean(df: DataFrame, text_col: str, stop: list[str], lemmas: DataFrame | None = None,
-          id_col: str | None = None) -> DataFrame:
-    """Add ``tokens``: lower-case letter runs without listed or short words, lemmatised."""
+          id_col: str = "chunk_id") -> DataFrame:
+    """Add ``tokens``: lower-case letter runs without listed or short words, lemmatised by a join."""
     tokens = df.withColumn("tokens", T.drop_words(T.alpha_tokens(text_col), stop, T.MIN_TOKEN_CHARS))
     if lemmas is None:
         return tokens
-    swap = lemma_lookup(lemmas)
-    if swap is not None:
-        return tokens.withColumn("tokens", swap("tokens"))
-    if id_col is None:
-        raise ValueError("a lemma table above the lookup bound needs an id column to join on")
     return tokens.drop("tokens").join(lemmatize(tokens, id_col, "tokens", lemmas), id_col)
 
 
@@ -184,16 +192,16 @@ def fit_engine(corpus: DataFrame, taxonomy: DataFrame, params: Params, lemmas: D
     # The two fast models draw different subsets, as two independent draws would.
     fast_svm = fast_subset(x, "chunk_id", params.seed)
     fast_km = fast_subset(x, "chunk_id", params.seed + 1)
-    svm = dict(width=tfidf.width, features=params.svm_features, seed=params.seed)
-    km = dict(width=tfidf.width, k=params.clusters, restarts=params.restarts, seed=params.seed)
+    svm = dict(width=tfidf.width, features=params.svm_features, seed=params.seed, max_iter=params.svm_max_iter)
+    km = dict(width=tfidf.width, k=params.clusters, restarts=params.restarts, seed=params.seed, max_iter=params.kmeans_max_iter)
     fits = {
         "mlp": lambda: fit_mlp(x, tfidf.width, len(labels.t1), len(labels.t2), "chunk_id", epochs=params.epochs,
-                               batch=params.batch, class_weights=params.t2_loss_weights, seed=params.seed),
+                               batch=params.batch, partitions=params.mlp_partitions, class_weights=params.t2_loss_weights, seed=params.seed),
         "svm_slow": lambda: fit_svm(x, "t1_idx", **svm),
         "svm_fast": lambda: fit_svm(fast_svm, "t1_idx", **svm),
         "kmeans_slow": lambda: fit_kmeans(x, **km),
         "kmeans_fast": lambda: fit_kmeans(fast_km, **km),
-        "pca": lambda: fit_pca_wide(x, tfidf.width, seed=params.seed),
+        "pca": lambda: fit_pca_wide(x, tfidf.width, seed=params.seed, max_passes=params.pca_max_passes),
     }
     # The fits are independent chains of short jobs on the same shared rows: run side by side,
     # one chain's driver step overlaps another's tasks.
@@ -201,17 +209,20 @@ def fit_engine(corpus: DataFrame, taxonomy: DataFrame, params: Params, lemmas: D
     with ThreadPoolExecutor(len(fits)) as pool:
         running = {name: pool.submit(threaded(fn)) for name, fn in fits.items()}
         models = {name: f.result() for name, f in running.items()}
-    return Engine(labels, params, tfidf, lemmas=lemmas, **models), x
+    words = [w for term in tfidf.terms for w in term.split(" ")] + list(params.term_stop_words)
+    lemma_map = relevant_lemmas(lemmas, words) if lemmas is not None else {}
+    return Engine(labels, params, tfidf, lemma_map=lemma_map, **models), x
 
 
 def build(books: DataFrame, catalog: DataFrame, taxonomy: DataFrame, params: Params | None = None,
           lemmas: DataFrame | None = None, strict: bool = False) -> tuple[Engine, DataFrame]:
     """Ingest, balance, check, vectorise and fit. Returns the engine and the training vectors.
 
+    ``books`` holds one copy per source, as text or bytes; boilerplate is stripped here.
     The cheap integrity gate runs before anything is vectorised; a warning stops the build only
     if ``strict``.
     """
-    params = params or Params()
+    params, books = params or Params(), ingest(books)
     counts = balance.counts_until_full(books, catalog, params.quota, params.chunk_words)
     corpus = share(balance.balanced(books, counts, taxonomy, params.quota, params.chunk_words))
     checks = [tuple(r) for r in integrity.integrity_report(corpus).collect()]

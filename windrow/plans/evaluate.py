@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +12,9 @@ from windrow.functions import text as T
 from windrow.operators import balance, clustering
 from windrow.operators import metrics as M
 from windrow.operators.tfidf import with_vector
-from windrow.plans.engine import Engine, clean
-from windrow.scale import share, ship
-
-# Largest table whose pairwise Euclidean distances are worked out.
-EXACT_SILHOUETTE_ROWS = 50_000
+from windrow.plans.engine import Engine
+from windrow.scale import share
+from windrow.sources.documents import ingest
 
 
 def scatter_table(points: DataFrame, centers: DataFrame, names: DataFrame) -> DataFrame:
@@ -39,53 +35,6 @@ def scatter_table(points: DataFrame, centers: DataFrame, names: DataFrame) -> Da
     return dots.unionByName(spots)
 
 
-def silhouette_exact(df: DataFrame, cluster: str = "cluster") -> float:
-    """Mean silhouette with Euclidean distance over sparse rows ``idx``, ``val``.
-
-    Meant for evaluation tables, whose size is bounded by quota times classes: the table is
-    broadcast and every task compares its own rows with all of it, block by block, keeping
-    only one sum per cluster. A larger table is refused, not sampled; the squared form
-    ``clustering.silhouette_squared`` is linear and has no bound.
-    """
-    ship(df.sparkSession)
-    n = df.count()
-    if n > EXACT_SILHOUETTE_ROWS:
-        raise ValueError(f"{n} rows: use silhouette_squared, which is linear in rows")
-    rows = df.select(F.col(cluster).alias("k"), "idx", "val")
-    table = rows.toPandas()
-    ids = np.sort(table["k"].unique())
-    if len(ids) < 2:
-        raise ValueError("silhouette needs at least two clusters")
-    shared = df.sparkSession.sparkContext.broadcast((
-        np.searchsorted(ids, table["k"].to_numpy()), list(table["idx"]), list(table["val"]),
-        1 + max((int(i[-1]) for i in table["idx"] if len(i)), default=0)))
-
-    def run(frames):
-        code, all_idx, all_val, width = shared.value
-        size = np.bincount(code)
-        norm2 = np.array([float(np.dot(v, v)) for v in all_val])
-        for pdf in frames:
-            mine = np.searchsorted(ids, pdf["k"].to_numpy())
-            dense = np.zeros((len(pdf), width))
-            for r, (i, v) in enumerate(zip(pdf["idx"], pdf["val"])):
-                dense[r, i] = v
-            own2 = (dense**2).sum(axis=1)
-            sums = np.zeros((len(pdf), len(ids)))
-            for j in range(len(code)):
-                d2 = own2 + norm2[j] - 2.0 * (dense[:, all_idx[j]] @ np.asarray(all_val[j]))
-                sums[:, code[j]] += np.sqrt(np.maximum(d2, 0.0))
-            at = np.arange(len(pdf))
-            inner = sums[at, mine] / np.maximum(size[mine] - 1, 1)
-            mean = sums / size
-            mean[at, mine] = np.inf
-            outer = mean.min(axis=1)
-            top = np.maximum(inner, outer)
-            s = np.where((size[mine] > 1) & (top > 0), (outer - inner) / np.where(top > 0, top, 1.0), 0.0)
-            yield pd.DataFrame({"s": s})
-
-    return rows.mapInPandas(run, "s double").agg(F.avg("s")).first()[0]
-
-
 @dataclass
 class Evaluation:
     """Named result tables of one evaluation run."""
@@ -107,11 +56,10 @@ def evaluate(
     network's logits: the branch mask is not applied here.
     """
     lab = engine.labels
-    size = engine.params.chunk_words
+    size, books = engine.params.chunk_words, ingest(books)
     counts = balance.counts_until_full(books, catalog, quota, size, offset)
     corpus = balance.balanced(books, counts, taxonomy, quota, size, offset)
-    tokens = clean(corpus, "text", engine.params.stop_words, engine.lemmas, "chunk_id")
-    rows = share(engine.tfidf.transform(tokens).drop("tokens"))
+    rows = share(engine.vectors(corpus))
     raw = share(
         engine.raw_scores(rows.withColumn("sparse", F.struct("idx", "val")))
         .withColumn("mlp_t1", P.argmax("z1")).withColumn("mlp_t2", P.argmax("z2"))
@@ -127,11 +75,8 @@ def evaluate(
 
     spark = books.sparkSession
     sparse = raw.select("km_slow", "sparse.idx", "sparse.val")
-    if sparse.count() <= EXACT_SILHOUETTE_ROWS:
-        silhouette = ("silhouette", float(silhouette_exact(sparse, "km_slow")))
-    else:
-        vectors = with_vector(sparse, engine.tfidf.width)
-        silhouette = ("silhouette_sq", clustering.silhouette_squared(vectors, "features", "km_slow"))
+    vectors = with_vector(sparse, engine.tfidf.width)
+    silhouette = ("silhouette_sq", clustering.silhouette_squared(vectors, "features", "km_slow"))
     both = _entropy_scores(raw)
     scores = [silhouette, ("homogeneity", both["homogeneity"]), ("completeness", both["completeness"])]
     clusters = spark.createDataFrame(scores, "metric string, value double")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from windrow.functions import text as T
-from windrow.operators import balance, integrity, lemmas
+from windrow.operators import balance, chunking, integrity, lemmas
 from windrow.plans import engine as E
 from windrow.queries import roles as R
 from windrow.scale import checkpoint_dir, share
@@ -121,6 +121,18 @@ def strip_boilerplate(spark, sf):
     return docs.select("doc_id", T.strip_boilerplate("raw").alias("body"))
 
 
+@query("ingest_books", ORACLES["strip_boilerplate"].replace("FROM m)", "FROM m WHERE length(raw) > 500)").replace(
+    "SELECT doc_id, regexp_replace(", "SELECT source_id, i::INTEGER AS pos, array_to_string(w[i * 100 + 1 : i * 100 + 100], ' ') AS text FROM ("
+    f"SELECT doc_id AS source_id, {R.WORDS_SQL} AS w FROM (SELECT doc_id, regexp_replace(") .replace(
+    "AS body FROM b", "AS text FROM b)), unnest(range(0, len(w) // 100)) AS u(i)"))
+def ingest_books(spark, sf):
+    """Marked documents with a broken first copy for even ids: chosen copy, stripped, windows."""
+    marked = R.table(spark, sf, "documents").selectExpr("doc_id AS source_id", "1 AS rank", _MARKED.replace("chr(10)", "char(10)") + " AS text")
+    broken = marked.filter("source_id % 2 = 0").select("source_id", F.lit(0).alias("rank"), F.lit("not found").alias("text"))
+    best = D.first_valid_candidate(marked.unionByName(broken), "source_id", "rank", "text", F.length("text") > T.MIN_SOURCE_CHARS)
+    return chunking.chunk_fixed(D.ingest(best)).select("source_id", "pos", "text")
+
+
 @query("normalize_ws", rf"""SELECT doc_id, regexp_replace(regexp_replace(text, '{R.SPACE_SQL}+', ' ', 'g'),
   '\A +| +\z', '', 'g') AS text FROM documents""")
 def normalize_ws(spark, sf):
@@ -165,7 +177,7 @@ lemmas AS (
   SELECT s AS surface, arg_min(f, length(f) * 100 + i) AS lemma FROM forms JOIN lexicon ON f = word GROUP BY s)"""
 
 
-def _lemma_inputs(spark, sf):
+def lemma_inputs(spark, sf):
     docs = R.books(spark, sf).withColumnRenamed("source_id", "doc_id")
     tokens = docs.select("doc_id", T.drop_words(T.alpha_tokens("text"), R.STOP_1, T.MIN_TOKEN_CHARS).alias("tokens"))
     lexicon = docs.select(F.explode(F.array_distinct(T.alpha_tokens("text"))).alias("word")).distinct()
@@ -175,7 +187,7 @@ def _lemma_inputs(spark, sf):
 
 @query("lemmatize", f"""WITH {_LEMMA_CTE} SELECT surface, lemma FROM lemmas WHERE lemma <> surface""")
 def lemmatize(spark, sf):
-    return _lemma_inputs(spark, sf)[1].select("surface", "lemma")
+    return lemma_inputs(spark, sf)[1].select("surface", "lemma")
 
 
 @query("clean_text", f"""WITH {_LEMMA_CTE},
@@ -184,14 +196,14 @@ SELECT doc_id, coalesce(string_agg(coalesce(lemma, s), ' ' ORDER BY p), '') AS t
 FROM documents LEFT JOIN cells USING (doc_id) LEFT JOIN lemmas ON s = surface GROUP BY doc_id""")
 def clean_text(spark, sf):
     docs = R.books(spark, sf).withColumnRenamed("source_id", "doc_id")
-    done = E.clean(docs, "text", R.STOP_1, _lemma_inputs(spark, sf)[1], "doc_id")
+    done = E.clean(docs, "text", R.STOP_1, lemma_inputs(spark, sf)[1], "doc_id")
     return done.select("doc_id", F.array_join("tokens", " ").alias("text"))
 
 
 @query("clean_text_join", ORACLES["clean_text"])
 def clean_text_join(spark, sf):
-    """The same with joins only, the form for lemma tables above the broadcast bound."""
-    tokens, table = _lemma_inputs(spark, sf)
+    """The same from given token lists."""
+    tokens, table = lemma_inputs(spark, sf)
     done = lemmas.lemmatize(tokens, "doc_id", "tokens", table)
     return done.select("doc_id", F.array_join("tokens", " ").alias("text"))
 

@@ -1,30 +1,40 @@
-"""Queries over fitted models. They have no SQL form; tests check their invariants."""
+"""Queries over fitted models.
+
+A fitted weight has no SQL form. Each query therefore returns what SQL can work out from the
+tables (ids, counts, sums) next to flags, all computed from the models' output over whole tables.
+"""
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.models import pca as PCA
 from windrow.models.svm import predict_svm
+from windrow.operators import balance
 from windrow.operators.metrics import macro_metrics
 from windrow.plans import engine as E
 from windrow.plans.evaluate import evaluate
 from windrow.plans.report import engine_metrics
+from windrow.queries import corpus as C
 from windrow.queries import roles as R
-from windrow.queries.corpus import _requests
 from windrow.scale import checkpoint_dir, share
 from windrow.sources import artifacts
+from windrow.sources.requests import parse_requests
 from windrow.streaming import scoring
 
 QUERIES, ORACLES = {}, {}
 _built: dict[tuple, tuple] = {}
 
+_CORPUS = f"corpus AS ({C.ORACLES['balance_parity']})"
+_PAIRS = "(SELECT count(DISTINCT lang) * (count(DISTINCT lang) - 1) / 2 FROM documents)::DOUBLE"
+
 
-def query(name: str):
+def query(name: str, sql: str):
     def add(fn):
-        QUERIES[name] = fn
+        QUERIES[name], ORACLES[name] = fn, sql
         return fn
     return add
 
@@ -37,134 +47,187 @@ def engine_for(spark, sf):
     """Engine and training vectors of one data folder, fitted once per application."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _built:
-        _built[key] = E.build(R.books(spark, sf), share(R.catalog(spark, sf)), R.taxonomy(spark, sf), settings())
+        lemmas = share(C.lemma_inputs(spark, sf)[1])
+        _built[key] = E.build(R.books(spark, sf), share(R.catalog(spark, sf)), R.taxonomy(spark, sf), settings(), lemmas)
+        lemmas.unpersist()
     return _built[key]
 
 
-@query("build_all")
+def _sums_to_one(probabilities: str) -> Column:
+    total = F.aggregate(F.map_values(probabilities), F.lit(0.0), lambda a, x: a + x)
+    return F.abs(total - 1) < 1e-6
+
+
+def _flags(spark, **flags: bool) -> DataFrame:
+    return spark.createDataFrame([tuple(bool(v) for v in flags.values())], ", ".join(f"{k} boolean" for k in flags))
+
+
+@query("build_all", f"""WITH {_CORPUS}
+SELECT 'rows' AS part, count(*)::DOUBLE AS value FROM corpus UNION ALL
+SELECT unnest(['svm_slow_pairs', 'svm_fast_pairs']), {_PAIRS} UNION ALL
+SELECT unnest(['kmeans_slow_clusters', 'kmeans_fast_clusters']), 7 UNION ALL
+SELECT unnest(['vocabulary_in_bounds', 'loss_falls', 'ratios_ordered', 'fits_converged']), 1""")
 def build_all(spark, sf):
-    """Sizes of everything a full build fits."""
-    engine, vectors = engine_for(spark, sf)
+    """Sizes of everything a full build fits, and whether the fits ended as they should."""
+    e, vectors = engine_for(spark, sf)
+    ratio = e.pca.ratio
     facts = [
-        ("vocabulary", float(engine.tfidf.width)), ("svm_slow_pairs", float(len(engine.svm_slow.pairs))),
-        ("svm_fast_pairs", float(len(engine.svm_fast.pairs))), ("mlp_epochs", float(len(engine.mlp.losses))),
-        ("kmeans_slow_clusters", float(len(engine.kmeans_slow.centers))),
-        ("kmeans_fast_clusters", float(len(engine.kmeans_fast.centers))),
-        ("pca_ratio_1", float(engine.pca.ratio[0])), ("pca_ratio_2", float(engine.pca.ratio[1])),
+        ("svm_slow_pairs", len(e.svm_slow.pairs)), ("svm_fast_pairs", len(e.svm_fast.pairs)),
+        ("kmeans_slow_clusters", len(e.kmeans_slow.centers)), ("kmeans_fast_clusters", len(e.kmeans_fast.centers)),
+        ("vocabulary_in_bounds", 0 < e.tfidf.width <= e.params.max_features),
+        ("loss_falls", e.mlp.losses[-1] < e.mlp.losses[0]), ("ratios_ordered", 1 > ratio[0] >= ratio[1] > 0),
+        ("fits_converged", e.kmeans_slow.converged and e.kmeans_fast.converged and e.pca.converged),
     ]
     rows = vectors.agg(F.lit("rows").alias("part"), F.count(F.lit(1)).cast("double").alias("value"))
-    return rows.unionByName(spark.createDataFrame(facts, "part string, value double"))
+    return rows.unionByName(spark.createDataFrame([(k, float(v)) for k, v in facts], "part string, value double"))
 
 
-@query("svm_train")
+@query("svm_train", f"WITH {_CORPUS} SELECT count(*) AS rows, true AS accurate, true AS some_margin_rows FROM corpus")
 def svm_train(spark, sf):
-    """Accuracy and margin rows of the branch SVM on its own training rows."""
+    """The branch SVM on its own training rows: accuracy above 0.8, margin rows a part of all."""
     engine, vectors = engine_for(spark, sf)
     scored = predict_svm(vectors.select(F.col("t1_idx").alias("y_true"), "idx", "val"), engine.svm_slow)
-    support = scored.agg(F.count_if("margin_row").alias("n")).scalar()
-    return macro_metrics(scored).select("*", support.alias("n_margin_rows"))
+    n, right, margin = scored.agg(F.count(F.lit(1)), F.count_if(F.col("y_true") == F.col("y_pred")), F.count_if("margin_row")).first()
+    macro = macro_metrics(scored).first()
+    accurate = right / n > 0.8 and abs(macro["accuracy"] - right / n) < 1e-6
+    return _flags(spark, accurate=accurate, some_margin_rows=0 < margin <= n).select(F.lit(n).cast("bigint").alias("rows"), "*")
 
 
-@query("mlp_train")
+@query("mlp_train", "SELECT true AS within_epochs, true AS loss_falls, true AS accurate")
 def mlp_train(spark, sf):
-    """Loss of every epoch."""
-    engine, _ = engine_for(spark, sf)
-    return spark.createDataFrame([(i + 1, x) for i, x in enumerate(engine.mlp.losses)], "epoch int, loss double")
+    """The network: epochs within the limit, falling loss, branch accuracy above 0.8 on its rows."""
+    engine, vectors = engine_for(spark, sf)
+    losses = engine.mlp.losses
+    raw = engine.raw_scores(vectors.select("chunk_id", "t1_idx", "idx", "val"))
+    hit = raw.agg(F.avg((F.array_position("z1", F.array_max("z1")) - 1 == F.col("t1_idx")).cast("double"))).first()[0]
+    return _flags(spark, within_epochs=0 < len(losses) <= engine.params.epochs, loss_falls=losses[-1] < losses[0], accurate=hit > 0.8)
 
 
-@query("mlp_score")
+@query("mlp_score", f"WITH {_CORPUS} SELECT chunk_id AS id, true AS sums_t1, true AS sums_t2, true AS school_in_branch FROM corpus")
 def mlp_score(spark, sf):
     """Branch and masked school probabilities of every training row."""
     engine, vectors = engine_for(spark, sf)
+    lab = engine.labels
     p = engine.predictions(engine.raw_scores(vectors.select("chunk_id", "idx", "val")), "chunk_id")
-    return p.select("id", F.col("tier1.label").alias("t1"), F.col("tier2.label").alias("t2"),
-                    F.array_max(F.map_values("tier1.probabilities")).alias("p1"),
-                    F.array_max(F.map_values("tier2.probabilities")).alias("p2"))
+    best = F.array_max(F.map_values("tier2.probabilities"))
+    known = F.col("tier2.label").isin(*lab.t2) & (F.element_at("tier2.probabilities", F.col("tier2.label")) == best)
+    return p.select("id", _sums_to_one("tier1.probabilities").alias("sums_t1"), _sums_to_one("tier2.probabilities").alias("sums_t2"),
+                    known.alias("school_in_branch"))
 
 
-@query("kmeans_fit")
+@query("kmeans_fit", "SELECT unnest(range(10))::INTEGER AS restart, true AS kept_is_least, true AS cost_is_assignments")
 def kmeans_fit(spark, sf):
-    """Cost of every restart and of the kept one."""
-    engine, _ = engine_for(spark, sf)
+    """No restart costs less than the kept one, whose cost is that of the assignment."""
+    engine, vectors = engine_for(spark, sf)
     km = engine.kmeans_slow
-    rows = [(i, c, c == km.cost) for i, c in enumerate(km.costs)]
-    return spark.createDataFrame(rows, "restart int, cost double, kept boolean")
+    total = engine.raw_scores(vectors.select("chunk_id", "idx", "val")).agg(F.sum("km_slow_d2")).first()[0]
+    same = abs(total - km.cost) <= 1e-4 * km.cost
+    rows = [(i, bool(km.cost <= c), bool(same)) for i, c in enumerate(km.costs)]
+    return spark.createDataFrame(rows, "restart int, kept_is_least boolean, cost_is_assignments boolean")
 
 
-@query("pca_project")
+@query("pca_project", """WITH cells AS (
+  SELECT unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS p FROM embeddings),
+total AS (SELECT sum(s) AS t FROM (SELECT var_samp(v) AS s FROM cells GROUP BY p))
+SELECT vec_id, (SELECT round(t, 4) FROM total) AS total_variance, true AS centred, true AS variances_match FROM embeddings""")
 def pca_project(spark, sf):
-    """Narrow input: every embedding on its two main components."""
+    """Narrow input: every embedding on its two main components, and what their variances must be."""
     vecs = R.embeddings(spark, sf)
-    return PCA.project(vecs, "embedding", PCA.fit_pca_narrow(vecs, "embedding")).select("vec_id", "pca_x", "pca_y")
+    model = PCA.fit_pca_narrow(vecs, "embedding")
+    p = PCA.project(vecs, "embedding", model).select("vec_id", "pca_x", "pca_y")
+    m = p.agg(F.avg("pca_x"), F.avg("pca_y"), F.var_samp("pca_x"), F.var_samp("pca_y")).first()
+    total = float(model.variance[0] / model.ratio[0])
+    match = all(abs(m[2 + i] - model.variance[i]) <= 1e-6 * total for i in range(2)) and m[2] >= m[3] > 0
+    return p.select("vec_id", F.lit(round(total, 4)).alias("total_variance"), F.lit(abs(m[0]) + abs(m[1]) < 1e-9).alias("centred"),
+                    F.lit(bool(match)).alias("variances_match"))
 
 
-@query("pca_project_wide")
+@query("pca_project_wide", f"WITH {_CORPUS} SELECT chunk_id, true AS centred, true AS ordered FROM corpus")
 def pca_project_wide(spark, sf):
     """Wide sparse input: every training row on its two main components."""
     engine, vectors = engine_for(spark, sf)
-    return engine.raw_scores(vectors.select("chunk_id", "idx", "val")).select("chunk_id", "pca_x", "pca_y")
+    p = share(engine.raw_scores(vectors.select("chunk_id", "idx", "val")).select("chunk_id", "pca_x", "pca_y"))
+    m = p.agg(F.avg("pca_x"), F.avg("pca_y"), F.var_samp("pca_x"), F.var_samp("pca_y")).first()
+    return p.select("chunk_id", F.lit(abs(m[0]) + abs(m[1]) < 1e-6).alias("centred"), F.lit(m[2] >= m[3] > 0).alias("ordered"))
 
 
-@query("fast_models")
+@query("fast_models", "SELECT true AS models_agree, true AS fast_is_accurate, true AS clusters_in_use")
 def fast_models(spark, sf):
-    """Agreement of the models fitted on a quarter of the rows with the full ones."""
+    """The models fitted on a quarter of the rows against the full ones."""
     engine, vectors = engine_for(spark, sf)
     raw = engine.raw_scores(vectors.select("chunk_id", "t1_idx", "idx", "val"))
-    return raw.agg(
-        F.avg((F.col("svm_fast") == F.col("svm_slow")).cast("double")).alias("svm_agreement"),
-        F.avg((F.col("svm_fast") == F.col("t1_idx")).cast("double")).alias("svm_fast_accuracy"),
-        F.count_distinct("km_fast").alias("clusters_in_use"),
-    )
+    m = raw.agg(F.avg((F.col("svm_fast") == F.col("svm_slow")).cast("double")), F.avg((F.col("svm_fast") == F.col("t1_idx")).cast("double")),
+                F.count_distinct("km_fast")).first()
+    return _flags(spark, models_agree=m[0] > 0.7, fast_is_accurate=m[1] > 0.7, clusters_in_use=1 < m[2] <= engine.params.clusters)
 
 
-@query("score_batch")
+@query("score_batch", "SELECT doc_id AS id, true AS sums_t1, true AS sums_t2, true AS known_labels, true AS known_cluster FROM documents")
 def score_batch(spark, sf):
     """Every document scored as one passage, fast or slow as its request says."""
     engine, _ = engine_for(spark, sf)
-    requests = R.books(spark, sf).withColumn(
-        "speed", F.when(F.col("source_id") % 3 == 0, "fast").otherwise("slow"))
-    return engine.score(requests, "source_id", mode_col="speed")
+    requests = R.books(spark, sf).withColumn("speed", F.when(F.col("source_id") % 3 == 0, "fast").otherwise("slow"))
+    p = engine.score(requests, "source_id", mode_col="speed")
+    known = F.col("svm_label").isin(*engine.labels.t1) & F.col("tier1.label").isin(*engine.labels.t1) & F.col("tier2.label").isin(*engine.labels.t2)
+    return p.select("id", _sums_to_one("tier1.probabilities").alias("sums_t1"), _sums_to_one("tier2.probabilities").alias("sums_t2"),
+                    known.alias("known_labels"), F.col("cluster").between(0, engine.params.clusters - 1).alias("known_cluster"))
 
 
-@query("cluster_meta")
+@query("cluster_meta", "SELECT unnest(range(7))::INTEGER AS cluster, true AS in_taxonomy, true AS placed")
 def cluster_meta(spark, sf):
-    return engine_for(spark, sf)[0].cluster_meta(spark)
+    engine, _ = engine_for(spark, sf)
+    known = F.col("t1").isin(*engine.labels.t1) & F.col("t2").isin(*engine.labels.t2)
+    placed = ~F.isnan("x") & ~F.isnan("y") & F.col("x").isNotNull()
+    return engine.cluster_meta(spark).select("cluster", known.alias("in_taxonomy"), placed.alias("placed"))
 
 
-@query("engine_metrics")
+@query("engine_metrics", f"""WITH {_CORPUS}, names AS (
+  SELECT m AS model, x AS metric FROM (SELECT unnest(['svm_slow', 'svm_fast']) AS m),
+         (SELECT unnest(['accuracy', 'precision', 'recall', 'f1_macro', 'n_margin_rows']) AS x) UNION ALL
+  SELECT m, x FROM (SELECT unnest(['kmeans_slow', 'kmeans_fast']) AS m), (SELECT unnest(['inertia', 'n_clusters']) AS x))
+SELECT model, metric, (SELECT count(*) FROM corpus) AS n, true AS in_range FROM names""")
 def metrics_of_engine(spark, sf):
+    """Every metric of the four models, each inside its range."""
     engine, vectors = engine_for(spark, sf)
-    return engine_metrics(engine, vectors, "2024-01-01 00:00 UTC")
+    m = engine_metrics(engine, vectors, "2024-01-01 00:00 UTC")
+    share_like = F.col("metric").isin("accuracy", "precision", "recall", "f1_macro")
+    fine = (F.when(share_like, F.col("value").between(0.5, 1)).when(F.col("metric") == "n_clusters", F.col("value").between(2, engine.params.clusters))
+            .when(F.col("metric") == "n_margin_rows", F.col("value").between(1, F.col("n"))).otherwise(F.col("value") > 0))
+    return m.select("model", "metric", "n", fine.alias("in_range"))
+
+
+_SHIFTED = f"""WITH {R.TAXONOMY_CTE}, {R.CATALOG_CTE}, {R.chunks_cte(45)},
+sizes AS (SELECT t1, t1_idx, t2, t2_idx, (SELECT min(least(n, {balance.EVAL_QUOTA})) FROM (
+    SELECT count(c.pos) AS n FROM taxonomy t LEFT JOIN catalog g ON g.t2 = t.t2 LEFT JOIN chunks c ON c.source_id = g.source_id GROUP BY t.t2)) AS n
+  FROM taxonomy)"""
 
 
-@query("evaluate_suite")
+@query("evaluate_suite", f"""{_SHIFTED}
+SELECT m AS model, t1_idx AS label, sum(n)::BIGINT AS support, true AS report_matches FROM sizes, (SELECT unnest(['svm_fast', 'svm_slow', 'mlp_t1']) AS m)
+GROUP BY ALL HAVING sum(n) > 0 UNION ALL
+SELECT 'mlp_t2', t2_idx, n, true FROM sizes WHERE n > 0""")
 def evaluate_suite(spark, sf):
-    """All evaluation tables in one long form."""
+    """Support of every class per model from the confusion counts; their recall equals the report's."""
     engine, _ = engine_for(spark, sf)
     e = evaluate(engine, R.books(spark, sf), share(R.catalog(spark, sf)), R.taxonomy(spark, sf))
-    report = e.report.unpivot(["model", "label"], ["precision", "recall", "f1"], "metric", "value")
-    cells = e.confusion.select(
-        "model", F.concat_ws(">", "y_true", "y_pred").alias("label"),
-        F.lit("confusion").alias("metric"), F.col("n").cast("double").alias("value"))
-    clusters = e.clusters.select(F.lit("kmeans_slow").alias("model"), F.lit("all").alias("label"), "metric", "value")
-    spots = e.scatter.groupBy("kind", "cluster", "name").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("scatter").alias("model"), F.concat_ws(":", "kind", "cluster", "name").alias("label"),
-        F.lit("rows").alias("metric"), "value")
-    wrong = e.edge_cases.select(
-        F.lit("edge_case").alias("model"), F.concat_ws(">", "true_class", "predicted").alias("label"),
-        F.col("preview").alias("metric"), F.lit(1.0).alias("value"))
-    return report.unionByName(cells).unionByName(clusters).unionByName(spots).unionByName(wrong)
-
-
-@query("silhouette_sample")
+    by_class = e.confusion.groupBy("model", F.col("y_true").cast("int").alias("label")).agg(
+        F.sum("n").alias("support"), F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)).alias("hit"))
+    report = e.report.select("model", F.col("label").try_cast("int").alias("label"), "recall")
+    match = F.abs(F.col("recall") - F.col("hit") / F.col("support")) < 1e-4
+    return by_class.filter("support > 0").join(report, ["model", "label"], "left").select("model", "label", "support", match.alias("report_matches"))
+
+
+@query("silhouette_sample", "SELECT 'silhouette_sq' AS metric, true AS in_range")
 def silhouette_sample(spark, sf):
-    """Euclidean silhouette of the clusters of the evaluation windows (quota-bounded by definition)."""
+    """Silhouette (squared Euclidean) of the clusters of the evaluation windows."""
     engine, _ = engine_for(spark, sf)
     e = evaluate(engine, R.books(spark, sf), share(R.catalog(spark, sf)), R.taxonomy(spark, sf))
-    return e.clusters.filter(F.col("metric").startswith("silhouette"))
+    return e.clusters.filter(F.col("metric").startswith("silhouette")).select("metric", F.col("value").between(-1, 1).alias("in_range"))
+
+
+_SCORES = ["svm_slow", "svm_fast", "km_slow", "km_fast", "z1", "z2", "pca_x", "pca_y"]
 
 
-@query("save_load_roundtrip")
+@query("save_load_roundtrip", f"WITH {_CORPUS} SELECT count(*) AS rows, " + ", ".join(f"0::BIGINT AS diff_{c}" for c in _SCORES) + " FROM corpus")
 def save_load_roundtrip(spark, sf):
     """Scores of a saved and loaded engine over all training rows, next to the original's."""
     engine, vectors = engine_for(spark, sf)
@@ -172,20 +235,23 @@ def save_load_roundtrip(spark, sf):
     artifacts.save(engine, spark, folder)
     again = artifacts.load(spark, folder)
     rows = vectors.select("chunk_id", "idx", "val")
-    kept = ["chunk_id", "svm_slow", "svm_fast", "km_slow", "km_fast", "z1", "z2", "pca_x", "pca_y"]
-    a, b = engine.raw_scores(rows).select(*kept), again.raw_scores(rows).select(*kept)
-    gap = a.alias("a").join(b.alias("b"), "chunk_id").select(
-        *[(F.col(f"a.{c}") != F.col(f"b.{c}")).alias(c) for c in kept[1:]])
-    return gap.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(f"diff_{c}") for c in kept[1:]])
+    a, b = engine.raw_scores(rows).select("chunk_id", *_SCORES), again.raw_scores(rows).select("chunk_id", *_SCORES)
+    gap = a.alias("a").join(b.alias("b"), "chunk_id").select(*[(F.col(f"a.{c}") != F.col(f"b.{c}")).alias(c) for c in _SCORES])
+    return gap.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(f"diff_{c}") for c in _SCORES])
 
 
-@query("score_stream")
+@query("score_stream", "SELECT doc_id AS id, length(text) >= 20 AS accepted, CASE WHEN length(text) >= 20 THEN true END AS equals_batch FROM documents")
 def score_stream(spark, sf):
-    """All documents arrive as JSON requests in files and are scored as a stream."""
+    """All documents arrive as JSON requests in files and are scored as a stream; rejected ones are kept."""
     engine, _ = engine_for(spark, sf)
     folder = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    _requests(spark, sf).select(F.col("doc_id").alias("id"), "value").repartition(4, "id").write.parquet(f"{folder}/in")
-    run = scoring.start(scoring.read_requests(spark, f"{folder}/in"), engine, f"{folder}/out",
-                        f"{folder}/state", available_now=True)
+    requests = C._requests(spark, sf).select(F.col("doc_id").alias("id"), "value")
+    requests.repartition(4, "id").write.parquet(f"{folder}/in")
+    run = scoring.start(scoring.read_requests(spark, f"{folder}/in"), engine, f"{folder}/out", f"{folder}/state", available_now=True)
     run.awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    batch = engine.score(parse_requests(requests)[0], "id", mode_col="speed").select(F.col("id").alias("_id"), F.col("svm_label").alias("_svm"), F.col("cluster").alias("_cluster"))
+    out = spark.read.parquet(f"{folder}/out")
+    same = (F.col("svm_label") == F.col("_svm")) & (F.col("cluster") == F.col("_cluster"))
+    scored = out.join(batch, F.col("id") == F.col("_id"), "left").select("id", F.lit(True).alias("accepted"), same.alias("equals_batch"))
+    refused = spark.read.parquet(f"{folder}/out-rejected").select("id", F.lit(False).alias("accepted"), F.lit(None).cast("boolean").alias("equals_batch"))
+    return scored.unionByName(refused)

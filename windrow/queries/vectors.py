@@ -46,8 +46,7 @@ def term_stats(spark, sf):
 
 
 def _vocabulary(spark, sf):
-    terms = share(R.chunk_terms(spark, sf))
-    return V.vocabulary(V.term_stats(terms), terms.count())
+    return V.vocabulary(V.term_stats(R.chunk_terms(spark, sf)), R.chunks(spark, sf).count())
 
 
 @query("vocab_topk", f"WITH {R.TERMS_CTE} SELECT term, df, cf FROM vocab")
@@ -75,8 +74,8 @@ def tfidf_transform(spark, sf):
 @query("tfidf_transform_join", f"WITH {R.WEIGHTS_CTE} SELECT chunk_id, term_idx, round(w, 6) AS w FROM (SELECT source_id || '-' || pos AS chunk_id, term_idx, w FROM weights)")
 def tfidf_transform_join(spark, sf):
     """The same weights through joins, the form for vocabularies too large to broadcast."""
-    terms = share(R.chunk_terms(spark, sf).select(F.concat_ws("-", "source_id", "pos").alias("chunk_id"), "terms"))
-    vocab = V.vocabulary(V.term_stats(terms), terms.count())
+    terms = R.chunk_terms(spark, sf).select(F.concat_ws("-", "source_id", "pos").alias("chunk_id"), "terms")
+    vocab = V.vocabulary(V.term_stats(terms), R.chunks(spark, sf).count())
     return V.transform_by_join(terms, "chunk_id", "terms", vocab).select(
         "chunk_id", "term_idx", F.round("w", 6).alias("w"))
 

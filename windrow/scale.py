@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import threading
 import zipfile
 from pathlib import Path
 
@@ -15,19 +17,20 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
+# Input splits up to which a scan counts as small and may be dealt out again.
+SMALL_SPLITS = 8
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a file scan that has fewer splits than the cluster has cores.
+    """Hash-spread a scan of a few splits (at most about 1 GB at the default split size).
 
-    Text work is CPU-bound, so one small file must not become one task. A scan that
-    already has enough splits (any large input) is returned unchanged: no shuffle.
-    Pass a plain scan only; asking a shuffled plan for its partitions would run it.
+    Text work is CPU-bound, and one small file must not become one task. Anything larger is
+    returned as it is, whatever the number of cores; there the split size is a setting
+    (``spark.sql.files.maxPartitionBytes``, ``minPartitionNum``). Pass a plain scan only.
     """
-    if scan.isStreaming:
-        return scan
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if scan.isStreaming or scan.rdd.getNumPartitions() > SMALL_SPLITS:
         return scan
-    return scan.repartition(cores, *keys)
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def share(df: DataFrame) -> DataFrame:
@@ -36,20 +39,22 @@ def share(df: DataFrame) -> DataFrame:
 
 
 _shipped: set[str] = set()
+_shipping = threading.Lock()
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python workers, once per application."""
     sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="windrow-code-")) / "windrow_code.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, Path(root.name) / f.relative_to(root))
-    sc.addPyFile(str(archive))
-    _shipped.add(sc.applicationId)
+    with _shipping:  # fits run in threads
+        if sc.applicationId in _shipped:
+            return
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="windrow-code-")) / "windrow_code.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, Path(root.name) / f.relative_to(root))
+        sc.addPyFile(str(archive))
+        _shipped.add(sc.applicationId)
 
 
 def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
@@ -58,11 +63,13 @@ def broadcast_if(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a private one only if unset."""
+    """Shared folder named by ``spark.checkpoint.dir``; a private one only on a local master."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="windrow-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)

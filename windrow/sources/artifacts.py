@@ -44,9 +44,9 @@ def save(engine: Engine, spark: SparkSession, path: str) -> None:
         "tfidf": {"stop": list(engine.tfidf.stop), "ngrams": list(engine.tfidf.ngrams), "n_rows": engine.tfidf.n_rows},
         "svm_slow": _svm_settings(engine.svm_slow), "svm_fast": _svm_settings(engine.svm_fast),
         "mlp": {"n1": engine.mlp.n1, "n2": engine.mlp.n2, "losses": engine.mlp.losses},
-        "km_slow": [engine.kmeans_slow.cost, engine.kmeans_slow.costs],
-        "km_fast": [engine.kmeans_fast.cost, engine.kmeans_fast.costs],
-        "lemmas": engine.lemmas is not None,
+        "km_slow": [engine.kmeans_slow.cost, engine.kmeans_slow.costs, engine.kmeans_slow.converged],
+        "km_fast": [engine.kmeans_fast.cost, engine.kmeans_fast.costs, engine.kmeans_fast.converged],
+        "pca_converged": engine.pca.converged, "lemmas": engine.lemma_map,
     }
     rows = []
     for name, a in _arrays(engine).items():
@@ -56,8 +56,6 @@ def save(engine: Engine, spark: SparkSession, path: str) -> None:
     spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
     engine.tfidf.vocab_table(spark).write.mode("overwrite").parquet(f"{path}/vocab")
     spark.createDataFrame(rows, "name string, shape array<int>, block int, data binary").write.mode("overwrite").parquet(f"{path}/weights")
-    if engine.lemmas is not None:
-        engine.lemmas.write.mode("overwrite").parquet(f"{path}/lemmas")
 
 
 def load(spark: SparkSession, path: str) -> Engine:
@@ -86,7 +84,6 @@ def load(spark: SparkSession, path: str) -> Engine:
     params = dict(s["params"])
     params["t2_loss_weights"] = {int(k): v for k, v in params["t2_loss_weights"].items()}
     labels = {k: tuple(v) for k, v in s["labels"].items()}
-    lemmas: DataFrame | None = spark.read.parquet(f"{path}/lemmas") if s["lemmas"] else None
     mlp = {k.split(".")[1]: v.astype(np.float32) for k, v in a.items() if k.startswith("mlp.")}
     return Engine(
         Labels(**labels), Params(**params),
@@ -95,6 +92,6 @@ def load(spark: SparkSession, path: str) -> Engine:
         svm("svm_slow"), svm("svm_fast"),
         MlpModel(len(vocab), s["mlp"]["n1"], s["mlp"]["n2"], mlp, s["mlp"]["losses"]),
         KMeansFit(a["km_slow"], *s["km_slow"]), KMeansFit(a["km_fast"], *s["km_fast"]),
-        PcaModel(a["pca.mean"], a["pca.components"], a["pca.variance"], a["pca.ratio"]),
-        lemmas,
+        PcaModel(a["pca.mean"], a["pca.components"], a["pca.variance"], a["pca.ratio"], s["pca_converged"]),
+        s["lemmas"],
     )

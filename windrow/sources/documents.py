@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from windrow.functions import text as T
 
@@ -43,11 +44,26 @@ def first_valid_candidate(
 ) -> DataFrame:
     """``(key, content)``: the best-ranked valid copy of every source, null if none is valid.
 
-    One aggregation without a sort; a source with very many copies is reduced map-side.
+    The best rank is a narrow aggregation, reduced map-side; contents are then looked up by key
+    and rank, so no content is sorted or carried through the aggregation. Ranks are unique within a
+    key.
     """
-    return candidates.groupBy(key).agg(
-        F.min_by(F.when(valid, F.col(content)), F.when(valid, F.col(rank))).alias(content)
-    )
+    best = candidates.groupBy(key).agg(F.min(F.when(valid, F.col(rank))).alias("_rank"))
+    copies = candidates.filter(valid).select(F.col(key).alias("_key"), F.col(rank).alias("_own"), content)
+    met = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_rank") == F.col("_own"))
+    found = best.hint("shuffle_hash").join(copies, met, "left")
+    return found.select(key, content)
+
+
+def ingest(books: DataFrame, content: str = "text") -> DataFrame:
+    """``books`` with boilerplate stripped from every text; unreadable sources go.
+
+    Bytes are decoded first. Candidate copies are reduced by :func:`first_valid_candidate` before.
+    """
+    body = F.col(content)
+    if isinstance(books.schema[content].dataType, BinaryType):
+        body = decode_fallback(content)
+    return readable(books.withColumn(content, body), content).withColumn(content, T.strip_boilerplate(content))
 
 
 def readable(books: DataFrame, content: str = "text") -> DataFrame:

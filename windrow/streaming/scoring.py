@@ -30,10 +30,23 @@ def score_requests(requests: DataFrame, engine: Engine, id_col: str = "id") -> D
 
 def start(
     requests: DataFrame, engine: Engine, out: str, checkpoint: str, id_col: str = "id", as_json: bool = False,
-    available_now: bool = False,
+    available_now: bool = False, rejected: str | None = None,
 ) -> StreamingQuery:
-    """Write prediction rows (or JSON responses) to a folder as requests arrive."""
-    scored = score_requests(requests, engine, id_col)
-    writer = (render_responses(scored) if as_json else scored).writeStream.outputMode("append")
-    writer = writer.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    """Write prediction rows (or JSON responses) to ``out`` as requests arrive.
+
+    Rejected requests go to ``rejected`` (default: ``out`` + "-rejected"), from the same read of the
+    batch. Each batch overwrites the folder of its own number, so a repeated batch changes nothing.
+    """
+    refused = rejected or f"{out}-rejected"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        accepted, wrong = parse_requests(batch)
+        scored = engine.score(accepted, id_col, mode_col="speed")
+        rows = render_responses(scored) if as_json else scored
+        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        wrong.write.mode("overwrite").parquet(f"{refused}/batch={number}")
+        batch.unpersist()
+
+    writer = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
