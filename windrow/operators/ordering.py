@@ -15,7 +15,7 @@ RANGE_ROWS = 1 << 16
 GRID = 256
 
 
-def number_in_group(df: DataFrame, group: str, order: str, out: str = "seq") -> DataFrame:
+def number_in_group(df: DataFrame, group: str, order: str, out: str = "seq", level: int = 0) -> DataFrame:
     """Add ``out`` = 1, 2, 3, ... by ``order`` inside every ``group``.
 
     ``order`` is a numeric key that is unique inside its group. Range borders come from one
@@ -49,11 +49,11 @@ def number_in_group(df: DataFrame, group: str, order: str, out: str = "seq") ->
     totals = ranged.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_total"))
     earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select(group, "_range", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
-    cell = F.to_json(F.struct(F.col(group), F.col("_range")))
-    inner = number_in_group(
-        ranged.withColumn("_cell", cell).withColumnRenamed("_range", "_outer"), "_cell", order, "_inner"
-    ).drop("_cell").withColumnRenamed("_outer", "_range")
-    return inner.join(base, [group, "_range"]).withColumn(out, F.col("_base") + F.col("_inner")).drop("_base", "_inner", "_range")
+    cell, outer, inside = f"_cell{level}", f"_range{level}", f"_inside{level}"
+    cells = ranged.withColumn(cell, F.to_json(F.struct(F.col(group), F.col("_range")))).withColumnRenamed("_range", outer)
+    inner = number_in_group(cells, cell, order, inside, level + 1)
+    numbered = inner.join(base.withColumnRenamed("_range", outer), [group, outer])
+    return numbered.withColumn(out, F.col("_base") + F.col(inside)).select(*df.columns, out)
 
 
 def running_before(
