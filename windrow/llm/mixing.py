@@ -108,8 +108,9 @@ def with_taken(sized: DataFrame, size: str, pattern: str, ident: str, weights: t
     whose columns ``size``, ``pattern`` and ``ident`` name words, source set and id. ``sized`` is read
     three times."""
     spark = sized.sparkSession
-    h = F.xxhash64(F.lit(seed), F.col(ident))
-    ranged = sized.withColumn("_h", h).withColumn("_range", F.pmod(F.shiftright("_h", 20), F.lit(_RANGES)).cast("int"))
+    # 60 bits of a digest of seed and id; the first 12 give the range.
+    h = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.col(ident)).cast("binary")), 1, 15), 16, 10).cast("bigint")
+    ranged = sized.withColumn("_h", h).withColumn("_range", F.shiftright("_h", 48).cast("int"))
     totals = sorted((tuple(json.loads(r[0])), r[0], int(r[1])) for r in ranged.groupBy(pattern).agg(F.sum(size)).collect())
     # Code points order names; null ("n") comes last.
     names = sorted({m for members, _, _ in totals for m in members}, key=lambda m: (m == "n", m))

@@ -52,4 +52,47 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_minhash, op3_repetition, op4_language, op5_best_fit, op6_nearest, op7_licences, op8_line_runs, op9_token_counts, op10_mixing)}
-ORACLES: dict[str, str] = {}
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+ORACLES: dict[str, str] = {
+    "op2_minhash": rf"""WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+either AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN either l ON r.b = l.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id, d.doc_id = min(r.b) AS kept
+FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+    "op8_line_runs": rf"""WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, i - 1 AS pos, len(regexp_extract_all(l[i], '{_WORD}')) AS w FROM split, unnest(range(1, len(l) + 1)) AS u(i)),
+cum AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM lines),
+runs AS (
+  SELECT x.doc_id, x.pos AS a, min(y.pos) AS b FROM cum x JOIN cum y ON x.doc_id = y.doc_id AND y.upto >= x.upto - x.w + 50 GROUP BY x.doc_id, x.pos
+  UNION SELECT x.doc_id, max(y.pos), x.pos FROM cum x JOIN cum y ON x.doc_id = y.doc_id AND y.upto - y.w <= x.upto - 50 GROUP BY x.doc_id, x.pos),
+named AS (SELECT doc_id, a, b, row_number() OVER (PARTITION BY l[a + 1 : b + 1] ORDER BY doc_id, a) AS nth FROM runs JOIN split USING (doc_id)),
+cut AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS pos FROM named WHERE nth > 1),
+islands AS (SELECT doc_id, min(pos) AS a, max(pos) AS b FROM (
+  SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS g FROM cut) GROUP BY doc_id, g),
+cuts AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS cuts, sum(b - a + 1)::BIGINT AS n FROM islands GROUP BY doc_id),
+left_over AS (SELECT doc_id, string_agg(l[pos + 1], chr(10) ORDER BY pos) AS t FROM lines JOIN split USING (doc_id)
+  WHERE (doc_id, pos) NOT IN (SELECT doc_id, pos FROM cut) GROUP BY doc_id)
+SELECT doc_id, len(l) AS n_lines, coalesce(n, 0) AS n_deleted, coalesce(cuts, '') AS cuts, md5(coalesce(t, '')) AS kept_md5
+FROM split LEFT JOIN cuts USING (doc_id) LEFT JOIN left_over USING (doc_id)""",
+    "op10_mixing": rf"""WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
+         ('0x' || substr(md5('17-' || doc_id), 1, 15))::BIGINT AS h FROM documents),
+src AS (SELECT source, sum(size)::BIGINT AS s, ((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1) AS w FROM docs GROUP BY source),
+ranked AS (SELECT *, sum(3 * s) OVER o - 3 * s AS capped, sum(w) OVER o - w AS gone, row_number() OVER o AS k, (SELECT sum(s) FROM src) AS t,
+  (SELECT sum(w) FROM src) AS tw FROM src WINDOW o AS (ORDER BY 3.0 * s / w, source ROWS UNBOUNDED PRECEDING)),
+fit AS (SELECT * FROM ranked WHERE (t - capped) * w <= 3 * s * (tw - gone) ORDER BY k LIMIT 1),
+plan AS (SELECT r.source, r.s, CASE WHEN r.k < f.k THEN 3.0::DOUBLE * r.s ELSE (f.t - f.capped)::DOUBLE * r.w / (f.tw - f.gone)::DOUBLE END AS target FROM ranked r, fit f),
+quota AS (SELECT *, least(3 * s, floor(target + 0.5)::BIGINT) AS q FROM plan),
+part AS (SELECT *, CASE WHEN s > 0 THEN q // s ELSE 0 END AS times, CASE WHEN s > 0 THEN q % s ELSE 0 END AS rest FROM quota),
+placed AS (SELECT d.doc_id, d.size, p.*, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id) - d.size AS ahead
+  FROM docs d JOIN part p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, s AS source_size, target, (times * size + greatest(0, least(size, rest - ahead)))::BIGINT AS taken FROM placed""",
+}
