@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.shared import column, per_batch, text_bytes
+from windrow.llm.shared import column, per_batch, small, text_bytes
 
 UNKNOWN = "und"
 
@@ -140,7 +140,7 @@ def fit(docs: DataFrame, s: Settings | None = None) -> Network | None:
         return None
     each = max(1, s.sample_rows // len(labels))
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = rows.join(counts, "lang").withColumn("h", chance).filter(F.col("h") * F.col("n") < F.lit(1.1 * each))
+    picked = rows.join(small(counts, len(labels)), "lang").withColumn("h", chance).filter(F.col("h") * F.col("n") < F.lit(1.1 * each))
     size, length = F.lit(s.window), F.length("text")
     cuts = [F.substring("text", (F.greatest(length - size, F.lit(0)) * k / max(1, s.windows - 1)).cast("int") + 1, size) for k in range(s.windows)]
     sample = picked.select("lang", "h", F.array_distinct(F.array(*cuts)).alias("cuts")).orderBy("h", "lang", "cuts").limit(2 * s.sample_rows).collect()

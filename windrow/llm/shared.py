@@ -40,6 +40,11 @@ def unfolded(docs: DataFrame, names: list[str], *keep: str) -> DataFrame:
     return docs.select(*(F.col(c) if c in keep else F.col("_others").getField(c).alias(c) for c in names))
 
 
+def small(side: DataFrame, rows: int, most: int = 100_000) -> DataFrame:
+    """Broadcast a join side of a known number of rows if that is at most ``most``; else Spark decides."""
+    return F.broadcast(side) if rows <= most else side
+
+
 def word_count(col) -> F.Column:
     """Words of a text column as a long; null text has none."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("bigint")
