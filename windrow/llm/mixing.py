@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.llm.shared import WORD, folded, unfolded, word_count, written
+from windrow.llm.shared import WORD, folded, small, unfolded, word_count, written
 
 _RANGES = 4096
 
@@ -128,7 +128,7 @@ def with_taken(sized: DataFrame, size: str, pattern: str, ident: str, weights: t
         full = words // n if n else 0
         first = code[members[0]] if members else None
         rows.append((key, full, words - full * n, sizes[first] if members else 0, targets[first] if members else 0.0))
-    plan = spark.createDataFrame(rows, "_key string, _full bigint, _rest bigint, _source_size bigint, _target double")
+    plan = small(spark.createDataFrame(rows, "_key string, _full bigint, _rest bigint, _source_size bigint, _target double"), len(rows))
     # The border range of each pattern: the one in which the running words pass the rest.
     hist = ranged.groupBy(F.col(pattern).alias("_key"), F.col("_range").alias("_border")).agg(F.sum(size).alias("_in"))
     upto = F.sum("_in").over(Window.partitionBy("_key").orderBy("_border"))
@@ -136,9 +136,9 @@ def with_taken(sized: DataFrame, size: str, pattern: str, ident: str, weights: t
               .filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_in") >= F.col("_rest")))
               .select("_key", "_border", "_before"))
     plan = plan.join(border, "_key", "left")
-    plan = plan.collect()  # one row per pattern, now with its border
-    plan = spark.createDataFrame(plan, "_key string, _full bigint, _rest bigint, _source_size bigint, _target double, _border int, _before bigint")
-    rows = ranged.join(plan, ranged[pattern] == plan["_key"], "left")
+    rows = plan.collect()  # one row per pattern, now with its border
+    plan = spark.createDataFrame(rows, "_key string, _full bigint, _rest bigint, _source_size bigint, _target double, _border int, _before bigint")
+    rows = ranged.join(small(plan, len(rows)), ranged[pattern] == plan["_key"], "left")
     border_row = F.coalesce(F.col("_range") == F.col("_border"), F.lit(False))
     order = Window.partitionBy("_key", "_range").orderBy("_h", ident).rowsBetween(Window.unboundedPreceding, -1)
     at = rows.filter(border_row).withColumn("_ahead", F.col("_before") + F.coalesce(F.sum(size).over(order), F.lit(0)))
