@@ -39,7 +39,7 @@ def _fix_signs(v: np.ndarray) -> np.ndarray:
 
 
 def fit_pca_wide(df: DataFrame, width: int, k: int = COMPONENTS, extra: int = 4, max_passes: int = 100,
-                 tol: float = 1e-4, seed: int = 42) -> PcaModel:
+                 tol: float = 1e-3, seed: int = 42) -> PcaModel:
     """Block Krylov iteration (Musco and Musco, 2015) on the centred rows.
 
     A pass sends a width x (k + extra) block to the tasks and gets the covariance applied to it

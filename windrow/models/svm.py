@@ -113,7 +113,7 @@ def fit_svm(
             F.when(F.col(label) == a, weights[a][1]).otherwise(weights[b][1]).alias("weight"),
         )
         total = weights[a][0] * weights[a][1] + weights[b][0] * weights[b][1]
-        svc = LinearSVC(maxIter=max_iter, regParam=1.0 / (penalty * total), tol=1e-5,
+        svc = LinearSVC(maxIter=max_iter, regParam=1.0 / (penalty * total), tol=1e-4,
                         standardization=False, weightCol="weight")
         m = svc.fit(rows)
         return m.coefficients.toArray(), m.intercept
