@@ -1,7 +1,8 @@
 """The pipeline's stages on the small corpus: every decision takes effect, nothing else is lost."""
 
 import corpus_pipeline
-from windrow.llm import registered
+from tests.llm.test_operators import cut_by_force, groups_by_force
+from windrow.llm import langid, registered
 from windrow.llm.shared import table, written
 
 
@@ -19,6 +20,28 @@ def test_stages(spark, sf):
     assert packed.groupBy("sequence_id").sum("length").filter("`sum(length)` > 2048").count() == 0
 
 
+def test_each_stage_against_brute_force(spark, sf):
+    docs = table(spark, sf, "documents")
+    stages = dict(corpus_pipeline.STAGES)
+    known = written(stages["language_id"](spark, docs, sf), "t1")
+    sure = {r["doc_id"] for r in langid.languages(docs).collect() if r["lang_pred"] != "und" and r["score"] >= 0.5}
+    assert {r["doc_id"] for r in known.collect()} == sure
+
+    data = [(r["doc_id"], r["text"]) for r in known.collect()]
+    cut = cut_by_force(data, 50)
+    left = {}
+    for key in data:
+        lines = [x for i, x in enumerate(key[1].split("\n")) if i not in cut[key]]
+        if lines:
+            left[key[0]] = "\n".join(lines)
+    lines = written(stages["line_dedup"](spark, known, sf), "t2")
+    assert {r["doc_id"]: r["text"] for r in lines.collect()} == left
+
+    first = {d for d, _, component in groups_by_force(list(left.items())) if d == component}
+    near = written(stages["near_dedup"](spark, lines, sf), "t3")
+    assert {r["doc_id"]: r["text"] for r in near.collect()} == {d: left[d] for d in first}
+
+
 def test_empty_corpus(spark, sf):
     docs = table(spark, sf, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
