@@ -97,12 +97,12 @@ def load(path: str) -> Tokenizer:
 
 
 def _sampled_pieces(docs: DataFrame, sample_docs: int, pieces: int) -> list[str]:
-    """The most frequent pieces of about ``sample_docs`` documents picked by a hash of the text."""
+    """The most frequent pieces of about ``sample_docs`` documents picked by a hash of id and text."""
     n = docs.count()
     if not n:
         return []
     step = max(1, n // sample_docs)
-    picked = docs.filter(F.pmod(F.xxhash64("text"), F.lit(step)) == 0).select("text")
+    picked = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(step)) == 0).select("text")
 
     def count(batches):
         seen: Counter = Counter()
