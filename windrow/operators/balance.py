@@ -152,6 +152,7 @@ def audit_table(pools: DataFrame, quota: int = QUOTA) -> DataFrame:
     """
     smallest = pools.agg(F.min("n").alias("q")).scalar()
     rows = pools.withColumn("final_quota", smallest).withColumn("n", F.least("n", "final_quota"))
+    # Note and status texts of the audit.
     note = F.when(
         F.col("final_quota") < quota, F.concat(F.lit("DEGRADED to "), F.col("final_quota").cast("string"))
     ).otherwise(F.concat(F.lit("TARGET MET: "), F.col("final_quota").cast("string")))

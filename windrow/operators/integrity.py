@@ -82,6 +82,7 @@ def integrity_report(
 
     ratio = F.col("big") / F.greatest(F.col("small"), F.lit(1))
     passed, warning = F.lit("PASSED"), F.lit("WARNING")
+    # Check names, status words and detail texts of the report.
     checks = F.array(
         check("Total Samples", F.lit("INFO"), text_of("rows")),
         check("T1 Classes", F.lit("INFO"), text_of("t1_classes")),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 def write_edge_cases(cases: DataFrame, path: str) -> None:
     """Text lines of the (at most a few) listed errors; a note when there is none."""
+    # Layout of an entry and the note of an empty list.
     line = F.concat(
         F.lit("TRUE CLASS: "), "true_class", F.lit(" | PREDICTED: "), "predicted",
         F.lit('\nTEXT: "'), "preview", F.lit('"\n' + "-" * 50),
