@@ -171,6 +171,18 @@ def test_minhash_large_group_needs_tiles(spark):
     assert found_groups(frame, tile_members=32) == groups_by_force(data)
 
 
+def test_representatives_link_from_four_fifths(spark):
+    rng = np.random.default_rng(8)
+    data = []
+    for d in range(120):
+        own = [f"g{d // 6}w{i}" for i in range(120)]
+        for at in rng.integers(0, 120, rng.integers(0, 5)):
+            own[at] = f"e{rng.integers(1 << 30)}"
+        data.append((d, " ".join(own)))
+    got = minhash.representatives(spark.createDataFrame(data, "doc_id bigint, text string")).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(d for d, _, component in groups_by_force(data, 80) if d == component)
+
+
 def test_minhash_odd_rows(odd, nothing):
     assert found_groups(odd) == groups_by_force([(d, t) for d, t, *_ in ODD])
     assert minhash.near_duplicates(nothing).count() == 0
@@ -437,6 +449,19 @@ def test_mix_meets_its_targets(docs, odd, nothing):
     assert mixing.mix(nothing).count() == 0 and mixing.mixed_documents(nothing).count() == 0
 
 
+def test_mix_follows_the_hash_order(spark):
+    """Equal ids share a place in the order; the smaller text comes first."""
+    data = [(i // 3, "w " * (i % 7), "ab"[i % 5 == 0]) for i in range(3000)]
+    got = mixing.mix(spark.createDataFrame(data, "doc_id bigint, text string, source string")).collect()
+    for name in "ab":
+        own = [r for r in got if r["source_size"] == sum(i % 7 for i in range(3000) if "ab"[i % 5 == 0] == name)]
+        own.sort(key=lambda r: (hashlib.md5(f"17-{r['doc_id']}".encode()).hexdigest()[:15], r["size"]))
+        full, rest = divmod(int(own[0]["target"] + 0.5), own[0]["source_size"])
+        for r in own:
+            assert r["taken"] == full * r["size"] + max(0, min(r["size"], rest))
+            rest -= r["size"]
+
+
 def test_water_filling_and_flow():
     assert mixing.shared_targets([10, 100, 100], [1, 2, 3], 210, 3) == [30.0, 72.0, 108.0]
     assert mixing.shared_targets([0, 5], [1, 2], 5, 3) == [0.0, 5.0]

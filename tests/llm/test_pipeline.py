@@ -37,7 +37,7 @@ def test_each_stage_against_brute_force(spark, sf):
     lines = written(stages["line_dedup"](spark, known, sf), "t2")
     assert {r["doc_id"]: r["text"] for r in lines.collect()} == left
 
-    first = {d for d, _, component in groups_by_force(list(left.items())) if d == component}
+    first = {d for d, _, component in groups_by_force(list(left.items()), 80) if d == component}
     near = written(stages["near_dedup"](spark, lines, sf), "t3")
     assert {r["doc_id"]: r["text"] for r in near.collect()} == {d: left[d] for d in first}
 

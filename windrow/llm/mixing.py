@@ -10,8 +10,8 @@ seeded hash order; the document at the border gives only the words still missing
 gets its quota to the word.
 
 Only one row per pattern reaches the driver (sources of real corpora form few sets). Documents
-are never gathered by source: the border is found in a histogram of hash ranges, and only the
-border range of a pattern is put in order.
+are never gathered by source: the border is found in a histogram of 4,096 hash ranges and a second
+one of the border range alone, and only the fine range it names, one of 16 million, is put in order.
 
 Null text: size 0. Null source: a source of its own, last. Empty source array: taken 0. Repeated
 rows are documents of their own. Other columns stay untouched where rows are returned. An empty
@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 
 from windrow.llm.shared import WORD, folded, small, unfolded, word_count, written
 
-_RANGES = 4096
+# Bits of the hash that name a range, and as many more for a fine range inside it.
+_BITS = 12
 
 
 def shared_targets(sizes: list[int], weights: list[float], total: float, most: float) -> list[float]:
@@ -102,16 +103,27 @@ def _pattern(source: Column, kind: T.DataType) -> Column:
     return F.to_json(members)
 
 
+def _border(hist: DataFrame, plan: DataFrame) -> DataFrame:
+    """(_key, _border, _before): the range of each pattern in which the running words pass its rest,
+    and the words before that range. ``hist`` (_key, _border, _in) has one row per range."""
+    upto = F.sum("_in").over(Window.partitionBy("_key").orderBy("_border"))
+    return (hist.withColumn("_before", upto - F.col("_in")).join(plan, "_key")
+            .filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_in") >= F.col("_rest")))
+            .select("_key", "_border", "_before"))
+
+
 def with_taken(sized: DataFrame, size: str, pattern: str, ident: str, weights: tuple[int, ...] = (1, 2, 3),
-               share: float = 1.0, most: int = 3, seed: int = 17) -> DataFrame:
+               share: float = 1.0, most: int = 3, seed: int = 17, ties: tuple[Column, ...] = ()) -> DataFrame:
     """Add ``_source_size``, ``_target`` (of a document's first source) and ``_taken`` to ``sized``,
-    whose columns ``size``, ``pattern`` and ``ident`` name words, source set and id. ``sized`` is read
-    three times."""
+    whose columns ``size``, ``pattern`` and ``ident`` name words, source set and id. Equal ids go by
+    size, then by ``ties``."""
     spark = sized.sparkSession
-    # 60 bits of a digest of seed and id; the first 12 give the range.
+    # 60 bits of a digest of seed and id; the first 12 give the range, the first 24 the fine range.
     h = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.col(ident)).cast("binary")), 1, 15), 16, 10).cast("bigint")
-    ranged = sized.withColumn("_h", h).withColumn("_range", F.shiftright("_h", 48).cast("int"))
-    totals = sorted((tuple(json.loads(r[0])), r[0], int(r[1])) for r in ranged.groupBy(pattern).agg(F.sum(size)).collect())
+    fine = F.shiftright("_h", 60 - 2 * _BITS)
+    ranged = sized.withColumn("_h", h).withColumn("_fine", fine.cast("int")).withColumn("_range", F.shiftright("_fine", _BITS))
+    hist = written(ranged.groupBy(F.col(pattern).alias("_key"), F.col("_range").alias("_border")).agg(F.sum(size).alias("_in")), "ranges")
+    totals = sorted((tuple(json.loads(r[0])), r[0], int(r[1])) for r in hist.groupBy("_key").agg(F.sum("_in")).collect())
     # Code points order names; null ("n") comes last.
     names = sorted({m for members, _, _ in totals for m in members}, key=lambda m: (m == "n", m))
     code = {m: i for i, m in enumerate(names)}
@@ -123,30 +135,29 @@ def with_taken(sized: DataFrame, size: str, pattern: str, ident: str, weights: t
     targets = shared_targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share * whole, most)
     quotas = [min(most * n, math.floor(t + 0.5)) for n, t in zip(sizes, targets)]
     given = route([(tuple(code[m] for m in members), n) for members, _, n in totals], quotas, most)
+    shape = "_key string, _full bigint, _rest bigint, _source_size bigint, _target double"
     rows = []
     for (members, key, n), words in zip(totals, given):
         full = words // n if n else 0
         first = code[members[0]] if members else None
         rows.append((key, full, words - full * n, sizes[first] if members else 0, targets[first] if members else 0.0))
-    plan = small(spark.createDataFrame(rows, "_key string, _full bigint, _rest bigint, _source_size bigint, _target double"), len(rows))
-    # The border range of each pattern: the one in which the running words pass the rest.
-    hist = ranged.groupBy(F.col(pattern).alias("_key"), F.col("_range").alias("_border")).agg(F.sum(size).alias("_in"))
-    upto = F.sum("_in").over(Window.partitionBy("_key").orderBy("_border"))
-    border = (hist.withColumn("_before", upto - F.col("_in")).join(plan.select("_key", "_rest"), "_key")
-              .filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_in") >= F.col("_rest")))
-              .select("_key", "_border", "_before"))
-    plan = plan.join(border, "_key", "left")
-    rows = plan.collect()  # one row per pattern, now with its border
-    plan = spark.createDataFrame(rows, "_key string, _full bigint, _rest bigint, _source_size bigint, _target double, _border int, _before bigint")
+    # One row per pattern each: its border range, then the fine range inside that.
+    rests = spark.createDataFrame([(r[0], r[2]) for r in rows], "_key string, _rest bigint")
+    coarse = {r["_key"]: (r["_border"], r["_before"]) for r in _border(hist, rests).collect()}
+    open_ = spark.createDataFrame([(r[0], r[2] - coarse[r[0]][1], coarse[r[0]][0]) for r in rows if r[0] in coarse], "_key string, _rest bigint, _in_range int")
+    inner = ranged.join(small(open_, len(coarse)), (ranged[pattern] == open_["_key"]) & (ranged["_range"] == open_["_in_range"]))
+    inner = inner.groupBy("_key", F.col("_fine").alias("_border")).agg(F.sum(size).alias("_in"))
+    exact = {r["_key"]: (r["_border"], coarse[r["_key"]][1] + r["_before"]) for r in _border(inner, open_.drop("_in_range")).collect()}
+    plan = spark.createDataFrame([(*r, *exact.get(r[0], (None, None))) for r in rows], f"{shape}, _border int, _before bigint")
     rows = ranged.join(small(plan, len(rows)), ranged[pattern] == plan["_key"], "left")
-    border_row = F.coalesce(F.col("_range") == F.col("_border"), F.lit(False))
-    order = Window.partitionBy("_key", "_range").orderBy("_h", ident).rowsBetween(Window.unboundedPreceding, -1)
+    border_row = F.coalesce(F.col("_fine") == F.col("_border"), F.lit(False))
+    order = Window.partitionBy("_key").orderBy("_h", ident, size, *ties).rowsBetween(Window.unboundedPreceding, -1)
     at = rows.filter(border_row).withColumn("_ahead", F.col("_before") + F.coalesce(F.sum(size).over(order), F.lit(0)))
     extra = F.greatest(F.lit(0), F.least(F.col(size), F.col("_rest") - F.col("_ahead")))
     inside = rows.filter(~border_row).withColumn("_ahead", F.lit(None).cast("bigint"))
-    part = F.when(F.col("_ahead").isNotNull(), extra).when(F.col("_range") < F.col("_border"), F.col(size)).otherwise(0)
+    part = F.when(F.col("_ahead").isNotNull(), extra).when(F.col("_fine") < F.col("_border"), F.col(size)).otherwise(0)
     done = inside.unionByName(at).withColumn("_taken", (F.coalesce(F.col("_full"), F.lit(0)) * F.col(size) + part).cast("bigint"))
-    return done.drop("_h", "_range", "_key", "_rest", "_border", "_before", "_ahead", "_full")
+    return done.drop("_h", "_fine", "_range", "_key", "_rest", "_border", "_before", "_ahead", "_full")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, most: int = 3, seed: int = 17) -> DataFrame:
@@ -162,7 +173,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share
     the border of a mix gives its first words only. Documents without a word are not in the mix."""
     kind, keep = docs.schema["source"].dataType, ("doc_id", "text", "source")
     kept = folded(docs, *keep).withColumn("_size", word_count(F.col("text"))).withColumn("_pattern", _pattern(F.col("source"), kind))
-    done = with_taken(kept, "_size", "_pattern", "doc_id", weights, share, most, seed).filter("_taken > 0")
+    done = with_taken(kept, "_size", "_pattern", "doc_id", weights, share, most, seed, (F.xxhash64("text"),)).filter("_taken > 0")
     copies = done.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))))
     words = F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size"))
     cut = F.expr(f"array_join(slice(regexp_extract_all(text, '{WORD.replace(chr(92), chr(92) * 2)}', 0), 1, cast(_words as int)), ' ')")
