@@ -15,7 +15,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from windrow.llm.shared import column, text_bytes, written
+from windrow.llm.shared import column, pieces, text_bytes, written
 from windrow.llm.tokencount import load
 from windrow.scale import ship
 
@@ -139,7 +139,7 @@ def pack(docs: DataFrame, tokenizer_file: str, size: int = 2048, end_id: int = 0
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         coder, bins, out = _coder(tokenizer_file, cache_words), Bins(size, open_bins), _Rows(schema, kind, task)
-        for batch in batches:
+        for batch in chain.from_iterable(map(pieces, batches)):
             data = text_bytes(batch)
             for doc, ids in zip(column(batch, "doc_id").to_pylist(), encoded(data, coder)):
                 ids += end

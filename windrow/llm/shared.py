@@ -50,6 +50,11 @@ def word_count(col) -> F.Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def pieces(batch: pa.RecordBatch, rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of ``rows`` rows, so that only few texts are Python objects at a time."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with one function per task; ``make`` runs in the task."""
     ship(df.sparkSession)
@@ -57,8 +62,7 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+            yield from map(step, pieces(batch))
 
     return df.mapInArrow(run, schema)
 
