@@ -67,7 +67,8 @@ class Bins:
 
 
 class WordCodes(dict):
-    """Word (bytes) -> its token ids as little-endian 32-bit bytes; keeps the first ``most`` words."""
+    """Word (bytes) -> its token ids as little-endian 32-bit bytes. Keeps the first ``most`` words that
+    were unknown twice; a bitmap of hashes marks those unknown once, most of which never come back."""
 
     _MARKS = b".,!?;:"
 
@@ -75,6 +76,13 @@ class WordCodes(dict):
         super().__init__()
         self.tokenizer, self.most, self.longest = tokenizer, most, longest
         self.marks: dict[bytes, bytes] = {}
+        self.once = bytearray(1 << 22)
+
+    def _again(self, word: bytes) -> bool:
+        at = hash(word) & (8 * len(self.once) - 1)
+        old, bit = self.once[at >> 3], 1 << (at & 7)
+        self.once[at >> 3] = old | bit
+        return bool(old & bit)
 
     def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         for i in range(0, len(words), 4096):
@@ -94,7 +102,7 @@ class WordCodes(dict):
         ours = dict(self._encode(list(fresh)))
         self.marks.update(self._encode(list({m for _, m in split.values() if m not in self.marks})))
         room = self.most - len(self)
-        self.update(islice(((w, c) for w, c in ours.items() if len(w) <= self.longest), max(0, room)))
+        self.update(islice(((w, c) for w, c in ours.items() if len(w) <= self.longest and self._again(w)), max(0, room)))
         for w, (base, mark) in split.items():
             ours[w] = (ours[base] if base in ours else self[base]) + self.marks[mark]
         return ours
