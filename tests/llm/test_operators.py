@@ -360,6 +360,29 @@ def test_licences(docs, rows, odd, nothing):
     assert licenses.licence_scan(odd, model).count() == len(ODD) and licenses.licence_scan(nothing).count() == 0
 
 
+@pytest.fixture(scope="module")
+def licence_model(docs):
+    return licenses.fit(docs)
+
+
+def test_licence_notices_inside_longer_sentences(licence_model):
+    cases = {
+        "Except where otherwise noted, content on this site is licensed under a Creative Commons Attribution 4.0 International license.": "cc-by",
+        "All files in this folder are, unless stated otherwise, licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "The photographs are distributed under the terms of the Creative Commons Attribution 4.0 International License, which permits reuse.": "cc-by",
+        "This project is released under the MIT license, see the LICENSE file in the root directory.": "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions:": "mit",
+    }
+    for text, want in cases.items():
+        assert [f[:3] for f in licenses.scan_text(text.encode(), licence_model)[1]] == [(want, 0, len(text))], text
+    for clean in ("The MIT License was written in the 1980s.", "The state licensed two doctors under the new terms of the act.", "You may not do so.",
+                  "Licensed under the Apache License, Version 1.1.", "Licensed under CC BY-NC-SA 4.0."):
+        assert not {f[0] for f in licenses.scan_text(clean.encode(), licence_model)[1]} & set(licenses.TEMPLATES), clean
+
+
 # --- line runs -----------------------------------------------------------------------------------
 
 

@@ -3,10 +3,13 @@
 A text falls into units: lines, and sentences within lines. A unit is a sparse vector of hashed word
 1- and 2-grams; multinomial logistic regression, trained in numpy, names its licence family or
 ``none``. Probabilities are calibrated by a temperature chosen on held-out rows, and a unit whose
-best family stays under ``least`` is unknown. A prediction stands only if enough of the word pairs
-of the unit occur in a template of that family. Every unit of every text is classified.
+best family stays under ``least`` is unknown. Long units are
+classified as a whole and in overlapping stretches of ``window`` words, the likeliest of which counts.
+A prediction stands if the unit names the family and grants something by it, or is a notice of it (enough
+word pairs of the unit lie in its notices, or of a notice in the unit), or shares ``stretch`` words in a
+row with the family's full text. Every unit of every text is classified.
 
-Training rows are the templates (whole, in sentences, shortened, with other words around) and, as
+Training rows are the templates and full texts (whole, in sentences, shortened, with other words around) and, as
 ``none``, units of a bounded hash-chosen sample of at most ``sample_docs`` documents.
 
 Null or empty text: nothing found. Null or repeated ``doc_id``: rows stay as they are. Other columns
@@ -17,6 +20,9 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import compress
+from operator import itemgetter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +37,8 @@ NONE = "none"
 TEMPLATES: dict[str, list[str]] = {
     "apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
+        "Released under the Apache 2.0 license.",
+        "Distributed under the terms of the Apache License 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0.",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
@@ -38,16 +46,19 @@ TEMPLATES: dict[str, list[str]] = {
     "mit": [
         "Released under the MIT License.",
         "This project is licensed under the MIT License.",
+        "Distributed under the terms of the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ],
     "gpl-3": [
         "This work is licensed under the GNU General Public License, version 3.",
+        "Released under the GNU GPL v3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
     ],
     "gpl-2": [
         "This work is licensed under the GNU General Public License, version 2.",
+        "Released under the GNU GPL v2.",
         "You can redistribute it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
     ],
     "lgpl": [
@@ -63,17 +74,52 @@ TEMPLATES: dict[str, list[str]] = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, Version 2.0.",
     ],
-    "cc-by": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "cc-by": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "Distributed under the terms of the Creative Commons Attribution 4.0 International License."],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "public-domain": ["This work is dedicated to the public domain under CC0 1.0.", "This is free and unencumbered software released into the public domain."],
     "all-rights-reserved": ["All rights reserved.", "Copyright holder. All rights reserved."],
+    "isc": ["Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+    "agpl-3": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "You can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+    ],
+    "boost": ["Distributed under the Boost Software License, Version 1.0."],
 }
 
+# How a text names a family, on words joined by single spaces.
+_NAMES = {family: re.compile(pattern) for family, pattern in {
+    "apache-2.0": rb"\bapache (?:software |public )?licen[cs]e (?:version |v )?(?:2|v2)\b|\bapache 2(?: 0)? (?:software )?licen[cs]e|\bapache 2 0\b|apache org licenses license 2 0",
+    "mit": rb"\b(?:mit|expat) (?:style )?licen[cs]ed?\b|under mit\b",
+    "gpl-3": rb"(?<!lesser )(?<!affero )general public licen[cs]e (?:\w+ ){0,10}?(?:version |v )?(?:3|v3)\b|\bgpl ?(?:version ?|v ?)?3\b",
+    "gpl-2": rb"(?<!lesser )(?<!affero )general public licen[cs]e (?:\w+ ){0,10}?(?:version |v )?(?:2|v2)\b|\bgpl ?(?:version ?|v ?)?2\b",
+    "lgpl": rb"\b(?:lesser|library) general public licen[cs]e|\blgpl",
+    "bsd": rb"\bbsd(?: \w+ clause| style)? licen[cs]e|\bbsd \d clause|clause bsd\b",
+    "mpl-2.0": rb"\bmozilla public licen[cs]e (?:version |v )?2\b|\bmpl (?:version |v )?2\b",
+    "cc-by": rb"\bcc by(?! n[cd]\b| sa\b)|\bcreative commons attribution(?! non| no| share| nc| nd| sa)",
+    "cc-by-nc": rb"\b(?:cc by nc|creative commons attribution non ?commercial)\b(?! sa\b| nd\b| share| no)",
+    "cc-by-sa": rb"\b(?:cc by sa|creative commons attribution share ?alike)\b",
+    "public-domain": rb"\bcc0\b|\bpublic domain\b|\bunlicense\b",
+    "all-rights-reserved": rb"\ball rights reserved\b",
+    "isc": rb"\bisc licen[cs]e\b",
+    "agpl-3": rb"\baffero general public licen[cs]e|\bagpl",
+    "boost": rb"\bboost software licen[cs]e\b",
+}.items()}
+# Words by which a sentence puts something under the licence it names.
+_GRANT = re.compile(rb"\b(?:licen[cs]ed|licen[cs]ing|(?:re)?distributed|redistribute|released|available|published|provided|offered|covered|governed|subject|terms|under|dedicated|spdx)\b")
+# A licence named by none of the words that name a family: its clauses may be those of a family.
+_OTHER = re.compile(
+    rb"\b(?:licen[cs]ed|released|distributed|available|redistribute \w+|terms(?: and conditions)?) (?:under|of) (?:the |a |an )?(?:terms of (?:the |a |an )?)?"
+    rb"(?!(?:the|a|an|this|that|these|those|such|any|its|your|our|section|secondary|terms|same|following|new|above|applicable|either|sections|licen[cs]es?) )"
+    rb"(?:(?!apache|mit |expat|x11|gnu|gpl|general|lesser|library|bsd|berkeley|mozilla|mpl|creative|cc|isc|boost|affero|agpl|licen[cs]e)[a-z0-9]+ ){1,6}(?:public )?licen[cs]e\b")
+_TEXTS = Path(__file__).parent / "licence_texts"
+
 _TOKEN = re.compile(rb"[a-z0-9]+|\n|[.!?](?=\s|$)")
 _UNIT = re.compile(rb"[^\n]+?(?:[.!?](?=\s)|(?=\n)|$)")
 _WORD = re.compile(rb"[a-z0-9]+")
-_BREAKS = (b"\n", b".", b"!", b"?")
+_BREAKS = np.frombuffer(b"\n.!?", np.uint8)
+_GRAM = 6
 
 
 @dataclass
@@ -86,6 +132,8 @@ class Settings:
     decay: float = 1e-4
     least: float = 0.5
     overlap: float = 0.6
+    stretch: int = 8
+    window: int = 24
     seed: int = 5
 
 
@@ -98,35 +146,80 @@ def features(ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Weights (features x families), bias, temperature and the templates' word pairs."""
+    """Weights (features x families), bias, temperature and the families' notices and full texts.
 
-    def __init__(self, families: list[str], weights: np.ndarray, bias: np.ndarray, heat: float, s: Settings):
-        self.families, self.weights, self.bias, self.heat, self.s = families, weights, bias, heat, s
-        self.pairs = [set() if f == NONE else set().union(*(pairs_of(t.lower().encode()) for t in TEMPLATES[f])) for f in families]
+    A family's notices are sets of word pairs; runs of six words come from its full text, where there
+    is one, and from those notices that do not name it."""
 
-    def probabilities(self, ids: np.ndarray, unit: np.ndarray, units: int) -> np.ndarray:
-        """Calibrated probabilities of every unit; ``unit`` numbers the words' units, ascending."""
+    def __init__(self, families: list[str], weights: np.ndarray, bias: np.ndarray, heat: float, s: Settings, full: dict[str, str]):
+        self.families, self.weights, self.bias, self.heat, self.s = families, weights, bias, heat, s
+        self.notices: list[list[set]] = []
+        self.runs: dict[bytes, int] = {}
+        for k, f in enumerate(families):
+            given = [_WORD.findall(t.lower().encode()) for t in TEMPLATES.get(f, [])]
+            self.notices.append([pairs_of(w) for w in given])
+            clauses = [w for w in given if not _NAMES[f].search(b" ".join(w))]
+            for words in [*clauses, _WORD.findall(full.get(f, "").lower().encode())]:
+                for run in runs_of(words):
+                    self.runs[run] = self.runs.get(run, 0) | 1 << k
+
+    def probabilities(self, ids: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Calibrated probabilities of the ranges ``first`` to ``after`` (excluded) of the words."""
         one, two = features(ids, self.s.bits)
-        inside = unit[1:] == unit[:-1]
-        rows = np.concatenate([unit, unit[1:][inside]])
-        cols = np.concatenate([one, two[inside]])
-        z = np.zeros((units, len(self.families)))
-        for k in range(len(self.families)):
-            z[:, k] = np.bincount(rows, self.weights[cols, k], units)
-        z /= np.sqrt(np.maximum(1, np.bincount(rows, minlength=units)))[:, None]
+        each = self.weights[one]
+        each[1:] += self.weights[two]
+        upto = np.zeros((len(ids) + 1, len(self.families)))
+        np.cumsum(each, 0, np.float64, upto[1:])
+        z = upto[after] - upto[first]
+        cut = first > 0
+        z[cut] -= self.weights[two[first[cut] - 1]]
+        z /= np.sqrt(2 * (after - first) - 1)[:, None]
         z = (z + self.bias) / self.heat
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
-    def confirmed(self, unit: bytes, family: int) -> bool:
-        """The share of the unit's word pairs that a template of the family holds is large enough."""
-        own = pairs_of(unit)
-        return bool(own) and len(own & self.pairs[family]) >= self.s.overlap * len(own)
+    def stretches(self, words: list[bytes]) -> dict[int, int]:
+        """Words of the longest stretch shared with each family's texts, from six words on."""
+        best: dict[int, int] = {}
+        now: dict[int, int] = {}
+        for run in runs_of(words):
+            held = self.runs.get(run, 0)
+            now = {k: now.get(k, _GRAM - 1) + 1 for k in range(len(self.families)) if held >> k & 1} if held else {}
+            for k, n in now.items():
+                best[k] = max(best.get(k, 0), n)
+        return best
+
+    def named(self, phrase: bytes, own: set, family: int) -> bool:
+        """The words name the family, and put something under it or are a notice of it: enough of their
+        pairs lie in its notices, or enough of one notice's pairs in them."""
+        if not _NAMES[self.families[family]].search(phrase):
+            return False
+        notices, most = self.notices[family], self.s.overlap
+        return bool(_GRANT.search(phrase) or any(len(own & n) >= most * len(n) for n in notices)
+                    or len(own & set().union(*notices)) >= most * len(own))
+
+    def confirmed(self, words: list[bytes], candidates: list[int]) -> list[int]:
+        """Those of ``candidates`` (likeliest first) that the words bear out: all they name or, if they
+        name none, the first one whose texts share a long enough stretch with them."""
+        phrase, own = b" ".join(words), pairs_of(words)
+        named = [k for k in candidates if self.named(phrase, own, k)]
+        if named or _OTHER.search(phrase):
+            return named
+        shared = self.stretches(words)
+        return [k for k in candidates if shared.get(k, 0) >= self.s.stretch][:1]
+
+
+def pairs_of(words: list[bytes]) -> set[tuple[bytes, bytes]]:
+    return set(zip(words, words[1:]))
+
 
+def runs_of(words: list[bytes]) -> list[bytes]:
+    return [b" ".join(words[i : i + _GRAM]) for i in range(len(words) - _GRAM + 1)]
 
-def pairs_of(unit: bytes) -> set[tuple[bytes, bytes]]:
-    words = _WORD.findall(unit)
-    return set(zip(words, words[1:]))
+
+def full_texts() -> dict[str, str]:
+    """The full licence texts in ``licence_texts``, by family (read by the driver only)."""
+    return {f.stem: f.read_text(encoding="utf-8") for f in sorted(_TEXTS.glob("*.txt"))}
 
 
 def units_of(text: bytes) -> list[tuple[int, int]]:
@@ -139,19 +232,26 @@ def train(negatives: list[bytes], s: Settings) -> Model:
     families = [NONE, *TEMPLATES]
     spare = [w for n in negatives[:2000] for w in _WORD.findall(n.lower())] or [b"a"]
     rows: list[tuple[list[bytes], int]] = []
+    full = full_texts()
     for k, family in enumerate(families[1:], 1):
-        for text in TEMPLATES[family]:
+        blocks = [" ".join(x.split()) for x in re.split(r"\n\s*\n", full.get(family, ""))]
+        parts = [x for block in blocks for x in re.split(r"(?<=[.;!?])\s", block)]
+        for text, copies in [*((t, s.copies) for t in TEMPLATES[family]), *((t, 2) for t in parts)]:
             words = _WORD.findall(text.lower().encode())
-            rows += [(words, k)] * (s.copies // 4)
-            for _ in range(s.copies):
+            if copies < s.copies and len(words) < 8:
+                continue
+            rows += [(words, k)] * (copies // 4)
+            for i in range(copies):
                 a = rng.integers(0, max(1, len(words) // 4))
                 b = len(words) - rng.integers(0, max(1, len(words) // 4))
-                noise = [spare[i] for i in rng.integers(0, len(spare), rng.integers(0, 3))]
-                rows.append((words[a:b] + noise if rng.random() < 0.5 else noise + words[a:b], k))
-    known = Model(families, np.zeros((1 << s.bits, 1)), np.zeros(1), 1.0, s)
+                noise = [spare[j] for j in rng.integers(0, len(spare), rng.integers(0, s.window - 7 if i % 2 else 3))]
+                at = rng.integers(0, len(noise) + 1) if i % 2 else len(noise) * rng.integers(0, 2)
+                rows.append((noise[:at] + words[a:b] + noise[at:], k))
+    known = Model(families, np.zeros((1 << s.bits, 1)), np.zeros(1), 1.0, s, full)
+    everyone = list(range(1, len(families)))
     for n in negatives:
         words = _WORD.findall(n.lower())
-        if words and not any(known.confirmed(n.lower(), k) for k in range(1, len(families))):
+        if words and not known.confirmed(words, everyone):
             rows.append((words, 0))
     order = rng.permutation(len(rows))
     rows = [rows[i] for i in order]
@@ -191,9 +291,20 @@ def train(negatives: list[bytes], s: Settings) -> Model:
         loss = float(np.mean(np.log(np.exp(y - y.max(1, keepdims=True)).sum(1)) + y.max(1) - y[np.arange(len(y)), truth[fold]])) if len(y) else 0.0
         if loss < best:
             best, heat = loss, float(t)
-    full = np.zeros((1 << s.bits, len(families)), np.float32)
-    full[used] = weights
-    return Model(families, full, bias, heat, s)
+    dense = np.zeros((1 << s.bits, len(families)), np.float32)
+    dense[used] = weights
+    return Model(families, dense, bias, heat, s, full)
+
+
+def windows(first: np.ndarray, after: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, begin, end) of every unit's whole range and, in longer ones, of its stretches of ``size``
+    words, half of them shared with the next."""
+    more = np.maximum(0, -(-(after - first - size) // (size // 2)))
+    more = np.where(after - first > size, more + 1, 0)
+    unit = np.repeat(np.arange(len(first)), more)
+    nth = np.arange(len(unit)) - np.repeat(np.cumsum(more) - more, more)
+    begin = np.minimum(first[unit] + nth * (size // 2), after[unit] - size)
+    return (np.concatenate([np.arange(len(first)), unit]), np.concatenate([first, begin]), np.concatenate([after, begin + size]))
 
 
 def fit(docs: DataFrame, s: Settings | None = None) -> Model:
@@ -215,25 +326,29 @@ def scan_text(text: bytes, model: Model) -> tuple[int, list[tuple[str, int, int,
     tokens = _TOKEN.findall(low)
     if not tokens:
         return 0, []
-    breaks = np.fromiter((t in _BREAKS for t in tokens), bool, len(tokens))
-    unit = np.cumsum(breaks)[~breaks]
-    if not len(unit):
+    breaks = np.isin(np.fromiter(map(itemgetter(0), tokens), np.uint8, len(tokens)), _BREAKS)
+    words = list(compress(tokens, ~breaks))
+    if not words:
         return 0, []
-    _, unit = np.unique(unit, return_inverse=True)
-    units = int(unit[-1]) + 1
-    p = model.probabilities(word_ids([t for t in tokens if t not in _BREAKS]), unit, units)
-    if not (p[:, 1:].max(1) >= model.s.least).any():
-        return units, []
-    found, k = [], 0
-    for a, b in units_of(low):
-        if not _WORD.search(low, a, b):
-            continue
-        best = int(p[k, 1:].argmax()) + 1
-        if p[k, best] >= model.s.least and model.confirmed(low[a:b], best):
+    level = np.cumsum(breaks)[~breaks]
+    first = np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1])
+    after = np.append(first[1:], len(words))
+    unit, begin, end = windows(first, after, model.s.window)
+    p = model.probabilities(word_ids(words), begin, end)
+    sure = np.zeros((len(first), p.shape[1]))
+    np.maximum.at(sure, unit, p)
+    likely = {int(k): [int(f) for f in np.argsort(-sure[k], kind="stable") if f and sure[k, f] >= model.s.least]
+              for k in np.flatnonzero((sure[:, 1:] >= model.s.least).any(1))}
+    held = {k: f for k in likely if (f := model.confirmed(words[first[k] : after[k]], likely[k]))}
+    if not held:
+        return len(first), []
+    found = []
+    for k, (a, b) in enumerate(ab for ab in units_of(low) if _WORD.search(low, *ab)):
+        if k in held:
             start = len(text[:a].decode("utf-8", "replace"))
-            found.append((model.families[best], start, start + len(text[a:b].decode("utf-8", "replace")), float(p[k, best])))
-        k += 1
-    return units, found
+            stop = start + len(text[a:b].decode("utf-8", "replace"))
+            found += [(model.families[f], start, stop, float(sure[k, f])) for f in held[k]]
+    return len(first), found
 
 
 def licence_scan(docs: DataFrame, model: Model | None = None, s: Settings | None = None) -> DataFrame:
