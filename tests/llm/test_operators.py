@@ -383,6 +383,28 @@ def test_licence_notices_inside_longer_sentences(licence_model):
         assert not {f[0] for f in licenses.scan_text(clean.encode(), licence_model)[1]} & set(licenses.TEMPLATES), clean
 
 
+def test_licence_paragraphs_and_unknown_licences(spark, licence_model):
+    wrapped = "A tool for maps.\n\nThe code of this tool is licensed under the Apache\nLicense, Version 2.0. Have fun\nwith it.\n\nOther words follow."
+    _, found = licenses.scan_text(wrapped.encode(), licence_model)
+    assert [(f, wrapped[a:b].strip()[:8]) for f, a, b, _ in found] == [("apache-2.0", "The code")]
+    clause = "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software\nand associated documentation files, to deal\nin the Software without restriction."
+    assert [f[:3] for f in licenses.scan_text(f"Tea.\n\n{clause}\n\nTea.".encode(), licence_model)[1]] == [("mit", 6, 6 + len(clause))]
+    full = licenses.full_texts()["mit"]
+    assert {f[0] for f in licenses.scan_text(full.encode(), licence_model)[1]} == {"mit"}
+    unlisted = [
+        "Licensed under the Educational Community License, Version 2.0.", "Released under the zlib licence.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "This library is free; you may use it under the terms of the European Union Public Licence as approved by the Commission.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely.",
+    ]
+    for text in unlisted:
+        assert [f[0] for f in licenses.scan_text(text.encode(), licence_model)[1]] == ["unknown"], text
+    for clean in ("We were licensed to drive under the bridge.", "Everyone is permitted to make tea.", "The MIT License was written in the 1980s."):
+        assert licenses.scan_text(clean.encode(), licence_model)[1] == [], clean
+    got = licenses.licence_scan(spark.createDataFrame([(1, unlisted[0])], "doc_id int, text string"), licence_model).first()
+    assert (got["n_licence"], got["families"]) == (1, "unknown") and got["spans"].startswith("unknown:0:")
+
+
 # --- line runs -----------------------------------------------------------------------------------
 
 

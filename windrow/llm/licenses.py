@@ -1,13 +1,17 @@
 """Licence passages found by a trained sentence classifier and confirmed against templates.
 
-A text falls into units: lines, and sentences within lines. A unit is a sparse vector of hashed word
+A text falls into units: sentences within lines, sentences over line ends, and paragraphs (blocks
+between blank lines, their lines joined). A unit is a sparse vector of hashed word
 1- and 2-grams; multinomial logistic regression, trained in numpy, names its licence family or
 ``none``. Probabilities are calibrated by a temperature chosen on held-out rows, and a unit whose
-best family stays under ``least`` is unknown. Long units are
+best family stays under ``least`` is of no known family: ``unknown`` if it speaks of a licence and is not
+``none`` either, as is one that no family bears out. Long units are
 classified as a whole and in overlapping stretches of ``window`` words, the likeliest of which counts.
 A prediction stands if the unit names the family and grants something by it, or is a notice of it (enough
 word pairs of the unit lie in its notices, or of a notice in the unit), or shares ``stretch`` words in a
-row with the family's full text. Every unit of every text is classified.
+row with the family's full text. A paragraph nearly all in a family's text takes the place of the finer
+units found in it; otherwise a coarse unit adds what the finer ones do not show. Every unit of every text
+is classified.
 
 Training rows are the templates and full texts (whole, in sentences, shortened, with other words around) and, as
 ``none``, units of a bounded hash-chosen sample of at most ``sample_docs`` documents.
@@ -19,6 +23,7 @@ are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from itertools import compress
 from operator import itemgetter
@@ -31,7 +36,7 @@ from pyspark.sql import functions as F
 
 from windrow.llm.shared import column, mixed, per_batch, text_bytes, word_ids
 
-NONE = "none"
+NONE, UNKNOWN = "none", "unknown"
 
 # Usual notices of each family (fixed values).
 TEMPLATES: dict[str, list[str]] = {
@@ -115,7 +120,14 @@ _OTHER = re.compile(
     rb"(?:(?!apache|mit |expat|x11|gnu|gpl|general|lesser|library|bsd|berkeley|mozilla|mpl|creative|cc|isc|boost|affero|agpl|licen[cs]e)[a-z0-9]+ ){1,6}(?:public )?licen[cs]e\b")
 _TEXTS = Path(__file__).parent / "licence_texts"
 
-_TOKEN = re.compile(rb"[a-z0-9]+|\n|[.!?](?=\s|$)")
+# How texts talk of their licence, whichever it is.
+_LIKE = re.compile(
+    rb"\b(?:licen[cs]ed|licen[cs]ing|released|(?:re)?distributed|available|published|provided|offered|covered|governed)(?: \w+){0,3}? (?:under|by|to)(?: \w+){0,9}? (?:licen[cs]es?|gpl|lgpl|cc)\b"
+    rb"|\blicen[cs]ed under\b|\bterms (?:and conditions )?of (?:\w+ ){1,8}?licen[cs]e|\bpublic licen[cs]e\b|\bspdx licen[cs]e\b|\bthis licen[cs]e\b|\bcopy of the licen[cs]e\b"
+    rb"|\bpermission (?:\w+ ){0,20}?(?:is )?(?:hereby )?granted\b|\bredistributions?\b|\bredistribute\b|\bwithout (?:any )?(?:express or implied )?warrant(?:y|ies)\b"
+    rb"|\bas is without\b|\brights? reserved\b")
+
+_TOKEN = re.compile(rb"[a-z0-9]+|\n(?:[ \t\r]*\n)+|\n|[.!?](?=\s|$)")
 _UNIT = re.compile(rb"[^\n]+?(?:[.!?](?=\s)|(?=\n)|$)")
 _WORD = re.compile(rb"[a-z0-9]+")
 _BREAKS = np.frombuffer(b"\n.!?", np.uint8)
@@ -134,6 +146,7 @@ class Settings:
     overlap: float = 0.6
     stretch: int = 8
     window: int = 24
+    whole: float = 0.8
     seed: int = 5
 
 
@@ -209,6 +222,12 @@ class Model:
         return [k for k in candidates if shared.get(k, 0) >= self.s.stretch][:1]
 
 
+    def whole(self, words: list[bytes], family: int) -> bool:
+        """Nearly all words lie in runs shared with the family's texts."""
+        held = np.fromiter((self.runs.get(r, 0) >> family & 1 for r in runs_of(words)), np.int64)
+        return int(np.count_nonzero(np.convolve(held, np.ones(_GRAM, int)))) >= self.s.whole * len(words) if len(held) else False
+
+
 def pairs_of(words: list[bytes]) -> set[tuple[bytes, bytes]]:
     return set(zip(words, words[1:]))
 
@@ -251,7 +270,7 @@ def train(negatives: list[bytes], s: Settings) -> Model:
     everyone = list(range(1, len(families)))
     for n in negatives:
         words = _WORD.findall(n.lower())
-        if words and not known.confirmed(words, everyone):
+        if words and not _LIKE.search(b" ".join(words)) and not known.confirmed(words, everyone):
             rows.append((words, 0))
     order = rng.permutation(len(rows))
     rows = [rows[i] for i in order]
@@ -319,36 +338,94 @@ def fit(docs: DataFrame, s: Settings | None = None) -> Model:
     return train(negatives[: 20 * s.sample_docs], s)
 
 
+def ranges(cuts: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and after-last word of the stretches of words between ``cuts`` (both by token)."""
+    level = np.cumsum(cuts)[word]
+    first = np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1])
+    return first, np.append(first[1:], len(level))
+
+
+def verdicts(words: list[bytes], p: np.ndarray, model: Model) -> dict[int, float]:
+    """Probabilities of the families that the words bear out; of ``UNKNOWN`` (family 0) if there is none
+    and they talk of a licence all the same."""
+    likely = [int(f) for f in np.argsort(-p, kind="stable") if f and p[f] >= model.s.least]
+    held = {f: float(p[f]) for f in model.confirmed(words, likely)} if likely else {}
+    return held or ({0: float(1 - p[0])} if _LIKE.search(b" ".join(words)) else {})
+
+
+def agreed(found: list[tuple[int, int, int, float]], words: list[bytes], model: Model) -> list[tuple[int, int, int, float]]:
+    """A passage that several families' texts hold goes to one that the rest of the text shows, if its own
+    family is shown by no passage of its own."""
+    if len({v[0] for v in found}) < 2:
+        return found
+    fits = [[f for f in range(1, len(model.families)) if model.whole(words[v[1] : v[2]], f)] for v in found]
+    own = Counter(v[0] for v, f in zip(found, fits) if v[0] and f in ([], [v[0]]))
+    out = []
+    for v, f in zip(found, fits):
+        others = [g for g in f if own[g]] if v[0] and not own[v[0]] else []
+        out.append((max(others, key=lambda g: own[g]), *v[1:]) if others else v)
+    return out
+
+
 def scan_text(text: bytes, model: Model) -> tuple[int, list[tuple[str, int, int, float]]]:
     """Number of classified units with a word, and (family, start, end, probability) of the confirmed
-    ones; offsets are code points."""
+    and unknown ones; offsets are code points."""
     low = text.lower()
     tokens = _TOKEN.findall(low)
     if not tokens:
         return 0, []
-    breaks = np.isin(np.fromiter(map(itemgetter(0), tokens), np.uint8, len(tokens)), _BREAKS)
+    lead = np.fromiter(map(itemgetter(0), tokens), np.uint8, len(tokens))
+    breaks = np.isin(lead, _BREAKS)
     words = list(compress(tokens, ~breaks))
     if not words:
         return 0, []
-    level = np.cumsum(breaks)[~breaks]
-    first = np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1])
-    after = np.append(first[1:], len(words))
+    # Pieces of lines, then sentences over line ends and blocks between blank lines that hold several.
+    blank = breaks & (np.fromiter(map(len, tokens), np.int64, len(tokens)) > 1)
+    first, after = ranges(breaks, ~breaks)
+    pieces, inner = len(first), first
+    for cuts in ((breaks & (lead != 10)) | blank, blank):
+        a, b = ranges(cuts, ~breaks)
+        several = np.searchsorted(inner, b) - np.searchsorted(inner, a) > 1
+        first, after, inner = np.append(first, a[several]), np.append(after, b[several]), a
     unit, begin, end = windows(first, after, model.s.window)
     p = model.probabilities(word_ids(words), begin, end)
-    sure = np.zeros((len(first), p.shape[1]))
-    np.maximum.at(sure, unit, p)
-    likely = {int(k): [int(f) for f in np.argsort(-sure[k], kind="stable") if f and sure[k, f] >= model.s.least]
-              for k in np.flatnonzero((sure[:, 1:] >= model.s.least).any(1))}
-    held = {k: f for k in likely if (f := model.confirmed(words[first[k] : after[k]], likely[k]))}
-    if not held:
+    if not (p[:, 0] <= 1 - model.s.least).any():
+        return len(first), []
+    found: list[tuple[int, int, int, float]] = []
+    hit: dict[int, list[int]] = {}
+    for r in np.flatnonzero(p[:, 0] <= 1 - model.s.least):
+        hit.setdefault(int(unit[r]), []).append(int(r))
+    for k in sorted(hit):
+        a, b = int(first[k]), int(after[k])
+        if k < pieces:
+            # The likeliest stretch counts, and the whole piece bears it out.
+            likely = p[hit[k]].max(0)
+            likely[0] = p[hit[k], 0].min()
+            found += [(f, a, b, x) for f, x in verdicts(words[a:b], likely, model).items()]
+            continue
+        # A coarse unit adds what no finer one shows, or takes the place of those that are parts of it.
+        held: dict[int, tuple[float, int, int]] = {}
+        for r in hit[k]:
+            if b - a <= model.s.window or end[r] - begin[r] < b - a:
+                for f, x in verdicts(words[begin[r] : end[r]], p[r], model).items():
+                    held[f] = max(held.get(f, (0.0, 0, 0)), (x, int(begin[r]), int(end[r])))
+        for f, (x, since, until) in held.items():
+            parts = [v for v in found if a <= v[1] and v[2] <= b]
+            if f and model.whole(words[a:b], f):
+                gone = {v for v in parts if v[0] in (0, f) or model.whole(words[v[1] : v[2]], f)}
+                found = [v for v in found if v not in gone] + [(f, a, b, max([x, *(v[3] for v in gone if v[0] == f)]))]
+            elif not parts or (f and all(v[0] != f for v in parts) and _NAMES[model.families[f]].search(b" ".join(words[a:b]))):
+                found = [v for v in found if not (f and v in parts and v[0] == 0 and v[1] < until and since < v[2])] + [(f, a, b, x)]
+    found = agreed(found, words, model)
+    if not found:
         return len(first), []
-    found = []
-    for k, (a, b) in enumerate(ab for ab in units_of(low) if _WORD.search(low, *ab)):
-        if k in held:
-            start = len(text[:a].decode("utf-8", "replace"))
-            stop = start + len(text[a:b].decode("utf-8", "replace"))
-            found += [(model.families[f], start, stop, float(sure[k, f])) for f in held[k]]
-    return len(first), found
+    spots = [ab for ab in units_of(low) if _WORD.search(low, *ab)]
+    starts, stops = {int(w): ab[0] for w, ab in zip(first, spots)}, {int(w): ab[1] for w, ab in zip(after, spots)}
+    out = []
+    for f, a, b, x in sorted(found, key=lambda v: (v[1], v[2], v[0])):
+        start = len(text[: starts[a]].decode("utf-8", "replace"))
+        out.append((model.families[f] if f else UNKNOWN, start, start + len(text[starts[a] : stops[b]].decode("utf-8", "replace")), x))
+    return len(first), out
 
 
 def licence_scan(docs: DataFrame, model: Model | None = None, s: Settings | None = None) -> DataFrame:
