@@ -240,6 +240,19 @@ def test_repetition_verdict(spark):
     assert got[2]["ngram_cover"] == pytest.approx(0.4, abs=0.06) and got[3]["line_cover"] == pytest.approx(2 / 7, abs=0.05)
 
 
+def test_repetition_rejects_what_the_base_rule_lets_through():
+    fresh = lambda n, at: [f"w{at + i:06d}" for i in range(n)]
+    passage, limits = fresh(40, 0), quality.Limits()
+    twice = quality.measures(" ".join(passage + fresh(120, 100) + passage).encode(), limits)
+    assert twice[5] == pytest.approx(0.2) and not twice[7] and not twice[8]
+    lines = [" ".join(fresh(4, 10 * i)) for i in range(40)]  # too short for the n-grams within a line
+    mixed = [x for i, line in enumerate(lines) for x in (line, *([lines[i - 20]] if i >= 28 else []))]
+    of_lines = quality.measures("\n".join(mixed).encode(), limits)
+    assert of_lines[6] == pytest.approx(12 / 52) and of_lines[5] <= 0.1 and not of_lines[7] and not of_lines[8]
+    little = quality.measures(" ".join(passage[:10] + fresh(180, 100) + passage[:10]).encode(), limits)
+    assert little[5] == pytest.approx(0.05) and little[8]
+
+
 # --- language ------------------------------------------------------------------------------------
 
 

@@ -25,10 +25,13 @@ _SYMBOLS = b"#*$%&|<>"
 
 @dataclass
 class Limits:
-    """Most characters, as a share of all word characters, that may be repetition."""
+    """Most characters, as a share of all word characters, that may be repetition.
 
-    ngrams: dict[int, float] = field(default_factory=lambda: {5: 0.35, 6: 0.34, 8: 0.32, 10: 0.30})
-    lines: float = 0.35
+    The limits of usual repetition filters. Two equal copies of a passage fail the base rule, which
+    counts the first one too, only when a quarter of the text is in the later one."""
+
+    ngrams: dict[int, float] = field(default_factory=lambda: {5: 0.15, 6: 0.14, 8: 0.12, 10: 0.10})
+    lines: float = 0.20
     min_words: int = 50
     repeat_percent: int = 50
 
