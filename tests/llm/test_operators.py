@@ -110,6 +110,20 @@ def test_disguises_are_found_with_source_offsets():
         assert pii.disguised(clean, []) == []
 
 
+def disguises(text):
+    return [(kind, text[a:b]) for a, b, kind in pii.disguised(text, pii.plain(text))]
+
+
+def test_spelled_addresses_with_short_parts():
+    for ip in ("one nine two dot one six eight dot one dot one", "one two seven dot zero dot zero dot one", "one nine two.one six eight.one.one",
+               "192.168.one.one", "192.168.1.one", "one dot one dot one dot one", "One Zero Dot two [dot] three (dot) 4"):
+        assert disguises(f"host {ip} is up") == [("ip", ip)], ip
+    for clean in ("one. two. three. four.", "three nine nine dot one dot one dot one", "point one dot two is next", "version one.two.three"):
+        assert not [x for x in disguises(clean) if x[0] == "ip"], clean
+    card = "four one one one.one one one one.one one one one.one one one one"
+    assert disguises(f"card {card} ok") == [("card", card)]
+
+
 def test_pii_rows(odd, nothing):
     got = {(r["doc_id"], r["base_sha256"], r["spans"]) for r in pii.find_pii(odd).collect()}
     for d, text, *_ in ODD:

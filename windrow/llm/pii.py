@@ -110,13 +110,17 @@ _ZERO_WIDTH = "​‌‍⁠﻿­"
 _WORD_DIGIT = "zero|one|two|three|four|five|six|seven|eight|nine|oh"
 _RUN = re.compile(rf"(?<![A-Za-z0-9])(?:{_WORD_DIGIT})(?:[ ,.-]+(?:{_WORD_DIGIT}|[0-9]++)(?![A-Za-z])){{2,}}", re.I)
 _AT = re.compile(r" ?[\[({<] ?(?:at|AT|At) ?[\])}>] ?|(?<=[A-Za-z0-9]) (?:at|AT) (?=[A-Za-z0-9-]+(?: ?[\[({<] ?| )(?:dot|DOT)\b)")
-_DOT = re.compile(r" ?[\[({<] ?(?:dot|DOT|Dot) ?[\])}>] ?|(?<=[A-Za-z0-9]) (?:dot|DOT) (?=[A-Za-z0-9])")
+_DOT = re.compile(r" ?[\[({<] ?(?:dot|DOT|Dot) ?[\])}>] ?|(?<=[A-Za-z0-9]) (?:dot|DOT|Dot) (?=[A-Za-z0-9])")
 _ODD = re.compile(
     f"[{_ZERO_WIDTH}{''.join(_ALIKE)}‐-―−․。！-～\U0001d400-\U0001d7ff"
     "٠-٩۰-۹①-⑳]")
 _BRACKET_AT = re.compile(r"[\[({<] ?(?:at|dot) ?[\])}>]", re.I)
-_SPELL_HINT = re.compile(rf"\b(?:{_WORD_DIGIT})\b[ ,.-]+(?:{_WORD_DIGIT}|[0-9])", re.I)
-_DOT_WORD = re.compile(r" (?:dot|DOT) ")
+_SPELL_HINT = re.compile(rf"\b(?:{_WORD_DIGIT})\b[ ,.-]+(?:{_WORD_DIGIT}|[0-9])|[0-9]\.(?:{_WORD_DIGIT})\b", re.I)
+# Four parts of up to three digits, spelled or not, with dots between them.
+_DIGITS = rf"(?:[0-9]{{1,3}}|(?:{_WORD_DIGIT})(?:[ -](?:{_WORD_DIGIT}|[0-9](?![0-9]))(?![A-Za-z])){{0,2}})(?![A-Za-z0-9])"
+_SPELLED_IP = re.compile(rf"(?<![A-Za-z0-9]){_DIGITS}(?:\.{_DIGITS}){{3}}", re.I)
+_ONE_DIGIT = re.compile(rf"{_WORD_DIGIT}|[0-9]+|\.", re.I)
+_DOT_WORD = re.compile(r" (?:dot|DOT|Dot) ")
 
 
 def fold(ch: str) -> str:
@@ -193,6 +197,7 @@ def transduce(text: str) -> Transduced | None:
     if not (odd or spelled or worded):
         return None
     now = Transduced(text)
+    # Dots come before spelled digits, whose parts they separate.
     if odd:
         edits = []
         for m in _ODD.finditer(text):
@@ -200,14 +205,27 @@ def transduce(text: str) -> Transduced | None:
             if new != m.group():
                 edits.append((m.start(), m.end(), new))
         now = now.rewrite(edits)
-    if spelled or odd:
-        edits = []
-        for run in _RUN.finditer(now.text):
-            parts = [_SPELLED.get(w.lower(), w) for w in re.findall(rf"{_WORD_DIGIT}|[0-9]+", run.group(), re.I)]
-            edits.append((run.start(), run.end(), "".join(parts)))
-        now = now.rewrite(edits)
-    now = now.rewrite([(m.start(), m.end(), "@") for m in _AT.finditer(now.text)])
-    return now.rewrite([(m.start(), m.end(), ".") for m in _DOT.finditer(now.text)])
+    ats = [(m.start(), m.end(), "@") for m in _AT.finditer(now.text)]
+    dots = [(m.start(), m.end(), ".") for m in _DOT.finditer(now.text)]
+    now = now.rewrite(sorted(ats + dots))
+    return now.rewrite(spelled_digits(now.text))
+
+
+def spelled_digits(text: str) -> list[tuple[int, int, str]]:
+    """Edits that turn spelled digits into digits: addresses of four parts keep their dots, other runs
+    are joined."""
+    edits, at = [], 0
+    for m in _SPELLED_IP.finditer(text):
+        parts = "".join(_SPELLED.get(w.lower(), w) for w in _ONE_DIGIT.findall(m.group()))
+        if parts != m.group() and all(int(p) <= 255 for p in parts.split(".")):
+            edits += [*joined_runs(text, at, m.start()), (m.start(), m.end(), parts)]
+            at = m.end()
+    return edits + joined_runs(text, at, len(text))
+
+
+def joined_runs(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    return [(run.start(), run.end(), "".join(_SPELLED.get(w.lower(), w) for w in re.findall(rf"{_WORD_DIGIT}|[0-9]+", run.group(), re.I)))
+            for run in _RUN.finditer(text, start, end)]
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
