@@ -124,6 +124,13 @@ def test_spelled_addresses_with_short_parts():
     assert disguises(f"card {card} ok") == [("card", card)]
 
 
+def test_bare_at_with_any_dots_and_case():
+    for mail in ("jane at example.com", "jane at mail.example dot com", "Jane At Example Dot Com", "jane.doe AT mail dot example dot org", "jane at one two three dot com"):
+        assert disguises(f"mail {mail} today") == [("email", mail)], mail
+    for clean in ("we met at noon.Then we left", "it is hosted at github.com and free", "look at www.example.com now", "up at 5.30 today", "see page at v1.2.x"):
+        assert disguises(clean) == [], clean
+
+
 def test_pii_rows(odd, nothing):
     got = {(r["doc_id"], r["base_sha256"], r["spans"]) for r in pii.find_pii(odd).collect()}
     for d, text, *_ in ODD:

@@ -109,8 +109,24 @@ _ZERO_WIDTH = "​‌‍⁠﻿­"
 # ASCII by compatibility; spelled digits count in runs of three or more only.
 _WORD_DIGIT = "zero|one|two|three|four|five|six|seven|eight|nine|oh"
 _RUN = re.compile(rf"(?<![A-Za-z0-9])(?:{_WORD_DIGIT})(?:[ ,.-]+(?:{_WORD_DIGIT}|[0-9]++)(?![A-Za-z])){{2,}}", re.I)
-_AT = re.compile(r" ?[\[({<] ?(?:at|AT|At) ?[\])}>] ?|(?<=[A-Za-z0-9]) (?:at|AT) (?=[A-Za-z0-9-]+(?: ?[\[({<] ?| )(?:dot|DOT)\b)")
-_DOT = re.compile(r" ?[\[({<] ?(?:dot|DOT|Dot) ?[\])}>] ?|(?<=[A-Za-z0-9]) (?:dot|DOT|Dot) (?=[A-Za-z0-9])")
+# A bare ``at`` needs a domain after it, whose labels dots join when dot words are resolved.
+_AT = re.compile(r" ?[\[({<] ?at ?[\])}>] ?|(?<=[A-Za-z0-9]) at (?=([A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++))", re.I)
+_BARE_AT = re.compile(r"[A-Za-z0-9] at [A-Za-z0-9-]++\.[A-Za-z0-9]", re.I)
+# Ends of domains (fixed values), asked for where every dot is a literal one.
+_ENDS = frozenset(
+    "com org net edu gov mil int info biz name pro aero coop museum mobi jobs travel cat tel post xyz app dev online site shop store blog cloud tech email live news "
+    "ac ad ae af ag ai al ao aq ar au aw ax az ba bb bd bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk "
+    "dm dz ec ee eg er es et eu fi fj fk fm fo fr ga gd ge gf gg gh gi gl gm gn gp gq gr gt gu gw gy hk hn hr ht hu id ie il im io iq ir je jm jo jp ke kg kh ki km kn "
+    "kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx mz na nc ne nf ng ni nl np nr nu nz om pa pe pf pg ph "
+    "pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sk sl sm sn sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn tr tt tv tw tz ua ug uk "
+    "us uy uz va vc ve vg vi vn vu ws ye yt za zm zw".split())
+# Words after which a bare ``at`` and a literal domain name a place, not an address.
+_NO_LOCAL = frozenset(
+    "a an the is are was were be been being it us them him her me you one look looks looked looking find finds found see seen online available hosted host live lives "
+    "living work works worked working worker met meet meets arrive arrives arrived stop stopped start starts started end ends ended page pages site website blog read "
+    "more here there now and or not only also visit visited visiting shop shopping buy bought sold posted published documented described listed located based documentation "
+    "docs download downloads downloaded register registered registering sign signed stay stayed aim aimed people team everyone".split())
+_DOT = re.compile(r" ?[\[({<] ?dot ?[\])}>] ?|(?<=[A-Za-z0-9]) dot (?=[A-Za-z0-9])", re.I)
 _ODD = re.compile(
     f"[{_ZERO_WIDTH}{''.join(_ALIKE)}‐-―−․。！-～\U0001d400-\U0001d7ff"
     "٠-٩۰-۹①-⑳]")
@@ -120,7 +136,7 @@ _SPELL_HINT = re.compile(rf"\b(?:{_WORD_DIGIT})\b[ ,.-]+(?:{_WORD_DIGIT}|[0-9])|
 _DIGITS = rf"(?:[0-9]{{1,3}}|(?:{_WORD_DIGIT})(?:[ -](?:{_WORD_DIGIT}|[0-9](?![0-9]))(?![A-Za-z])){{0,2}})(?![A-Za-z0-9])"
 _SPELLED_IP = re.compile(rf"(?<![A-Za-z0-9]){_DIGITS}(?:\.{_DIGITS}){{3}}", re.I)
 _ONE_DIGIT = re.compile(rf"{_WORD_DIGIT}|[0-9]+|\.", re.I)
-_DOT_WORD = re.compile(r" (?:dot|DOT|Dot) ")
+_DOT_WORD = re.compile(r" dot ", re.I)
 
 
 def fold(ch: str) -> str:
@@ -193,11 +209,10 @@ def transduce(text: str) -> Transduced | None:
     """The text with its possible disguises resolved; None if there is nothing to resolve."""
     odd = not text.isascii() and _ODD.search(text)
     spelled = _SPELL_HINT.search(text)
-    worded = _BRACKET_AT.search(text) or _DOT_WORD.search(text)
+    worded = _BRACKET_AT.search(text) or _DOT_WORD.search(text) or _BARE_AT.search(text)
     if not (odd or spelled or worded):
         return None
     now = Transduced(text)
-    # Dots come before spelled digits, whose parts they separate.
     if odd:
         edits = []
         for m in _ODD.finditer(text):
@@ -205,10 +220,19 @@ def transduce(text: str) -> Transduced | None:
             if new != m.group():
                 edits.append((m.start(), m.end(), new))
         now = now.rewrite(edits)
-    ats = [(m.start(), m.end(), "@") for m in _AT.finditer(now.text)]
-    dots = [(m.start(), m.end(), ".") for m in _DOT.finditer(now.text)]
-    now = now.rewrite(sorted(ats + dots))
-    return now.rewrite(spelled_digits(now.text))
+    # Dots come first: they separate the parts of spelled digits and the labels after a bare ``at``.
+    now = now.rewrite([(m.start(), m.end(), ".") for m in _DOT.finditer(now.text)])
+    now = now.rewrite(spelled_digits(now.text))
+    return now.rewrite([(m.start(), m.end(), "@") for m in _AT.finditer(now.text) if addressed(now, m)])
+
+
+def addressed(now: Transduced, m: re.Match) -> bool:
+    """A bracketed ``at``, one whose domain holds a rewritten place, or a domain-shaped one after a name."""
+    if m.group(1) is None or now.changed(*m.span(1)):
+        return True
+    before = now.text[max(0, m.start() - 64) : m.start()]
+    name = before[len(before.rstrip(_LOCAL)) :].lower()
+    return m.group(1).rsplit(".", 1)[1].lower() in _ENDS and name not in _NO_LOCAL
 
 
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
