@@ -49,5 +49,5 @@ def test_empty_corpus(spark, sf):
     assert docs.count() == 0
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in registered.QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(n.split("_")[0][2:]) for n in registered.QUERIES) == list(range(1, 14))

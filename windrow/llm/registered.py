@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import ann, langid, licenses, linededup, minhash, mixing, packing, pii, quality, tokencount
+from windrow.llm import ann, langid, licenses, linededup, minhash, mixing, packing, pii, prefixtrie, quality, tokencount, toxicity, variants
 from windrow.llm.shared import table
 
 
@@ -50,12 +50,37 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixtrie.rebuilt(prefixtrie.numbered(table(spark, sf_dir, "conversations")))
+    return prefixtrie.prefix_trie(turns).drop("turn_hi", "turn_lo")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_pii, op2_minhash, op3_repetition, op4_language, op5_best_fit, op6_nearest, op7_licences, op8_line_runs, op9_token_counts, op10_mixing)}
+    op1_pii, op2_minhash, op3_repetition, op4_language, op5_best_fit, op6_nearest, op7_licences, op8_line_runs, op9_token_counts, op10_mixing,
+    op11_variants, op12_toxicity, op13_prefix_trie)}
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 (reflected polynomial 0xEDB88320) of a text of code points up to 255, bit by bit."""
+    seven = ", 0" * 7
+    units = (f"list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT{seven}] "
+             f"ELSE [195::BIGINT{seven}, unicode(c)::BIGINT - 64{seven}] END)")
+    steps = f"list_concat([4294967295::BIGINT], flatten({units}))"
+    return f"xor(list_reduce({steps}, lambda x, v: xor(xor(x, v) >> 1, 3988292384 * (xor(x, v) & 1))), 4294967295)"
+
+
 ORACLES: dict[str, str] = {
     "op2_minhash": rf"""WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS w FROM documents),
@@ -95,4 +120,34 @@ part AS (SELECT *, CASE WHEN s > 0 THEN q // s ELSE 0 END AS times, CASE WHEN s
 placed AS (SELECT d.doc_id, d.size, p.*, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id) - d.size AS ahead
   FROM docs d JOIN part p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, s AS source_size, target, (times * size + greatest(0, least(size, rest - ahead)))::BIGINT AS taken FROM placed""",
+    "op11_variants": rf"""WITH RECURSIVE runs AS (
+  SELECT doc_id, w, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents)
+  WHERE length(w) >= 6 GROUP BY ALL),
+hashed AS (SELECT w, c, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || w")} AS h FROM runs),
+spelled AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM hashed),
+vocab AS (SELECT word, sum(c)::BIGINT AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM vocab, unnest(range(1, length(word) + 1)) AS u(i)),
+shorter AS (SELECT DISTINCT less.word, d FROM less JOIN vocab v ON v.word = d),
+pairs AS (SELECT a.word, b.word AS near FROM less a JOIN less b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, d FROM shorter UNION SELECT d, word FROM shorter),
+ranked AS (SELECT p.word, p.near, v.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+  row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, p.near) AS nth FROM pairs p JOIN vocab v ON v.word = p.near),
+forms AS (SELECT v.word, v.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= 5 * v.n THEN r.near END AS form,
+  CASE WHEN r.near_n >= 5 * v.n THEN r.near_n END AS form_n FROM vocab v LEFT JOIN ranked r ON r.word = v.word AND r.nth = 1),
+follow AS (SELECT word, word AS at, form AS onto FROM forms UNION ALL SELECT f.word, g.word, g.form FROM follow f JOIN forms g ON g.word = f.onto)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN follow w ON w.word = f.word AND w.onto IS NULL""",
+    "op13_prefix_trie": rf"""WITH turns AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS w,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id AS c, list(k ORDER BY pos) AS k, list(w ORDER BY pos) AS w, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM turns GROUP BY conv_id),
+built AS (SELECT o.c, list_concat(coalesce(b.k, [])[1 : o.h], o.k[o.h + 1 :]) AS k, list_concat(coalesce(b.w, [])[1 : o.h], o.w[o.h + 1 :]) AS w
+  FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 20),
+nodes AS (SELECT k[1 : d] AS p, d AS depth, min(c) AS conv_id, count(*) AS n_convs, coalesce(any_value(w[d]), 0) AS words,
+  string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(k) = d) AS ends FROM built, unnest(range(0, len(k) + 1)) AS u(d) GROUP BY ALL),
+children AS (SELECT p[1 : depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (p)),
+above AS (SELECT p[1 : d] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved FROM counted, unnest(range(0, depth + 1)) AS u(d) GROUP BY ALL)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, a.n_leaves, a.saved AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM counted n JOIN above a USING (p) LEFT JOIN nodes up ON n.depth > 0 AND up.p = n.p[1 : n.depth - 1]""",
 }
