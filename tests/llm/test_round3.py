@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -189,7 +190,7 @@ def trie_by_force(rows):
     built = {}
     for c, turns in own.items():
         h = checksum(str(c)) % 4
-        built[c] = tuple(own.get(c - c % 20, [])[:h] + turns[h:])
+        built[c] = tuple(own.get(c - int(math.fmod(c, 20)), [])[:h] + turns[h:])  # SQL's remainder has the sign of c
     nodes = collections.defaultdict(list)
     for c, s in built.items():
         for d in range(len(s) + 1):
