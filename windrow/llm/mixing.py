@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.llm.shared import WORD, folded, small, unfolded, word_count, written
+from windrow.llm.shared import folded, small, unfolded, word_count, written
 
 # Bits of the hash that name a range, and as many more for a fine range inside it.
 _BITS = 12
@@ -169,13 +169,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0, most: int = 3, seed: int = 17) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with its own columns; a document at
-    the border of a mix gives its first words only. Documents without a word are not in the mix."""
+    """The mix itself: every document as often as it is taken, whole and with its own columns. Of a document
+    at the border of a source the last copy is whole or left out, whichever is nearer to the target, so a
+    source misses its target by half a document at most. Documents without a word are not in the mix."""
     kind, keep = docs.schema["source"].dataType, ("doc_id", "text", "source")
     kept = folded(docs, *keep).withColumn("_size", word_count(F.col("text"))).withColumn("_pattern", _pattern(F.col("source"), kind))
     done = with_taken(kept, "_size", "_pattern", "doc_id", weights, share, most, seed, (F.xxhash64("text"),)).filter("_taken > 0")
-    copies = done.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))))
-    words = F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size"))
-    cut = F.expr(f"array_join(slice(regexp_extract_all(text, '{WORD.replace(chr(92), chr(92) * 2)}', 0), 1, cast(_words as int)), ' ')")
-    copies = copies.withColumn("_words", words).withColumn("text", F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(cut))
+    # Whole copies only, as many as come nearest to the words taken.
+    times = F.floor((2 * F.col("_taken") + F.col("_size")) / (2 * F.col("_size"))).cast("int")
+    copies = done.withColumn("_times", times).filter("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return unfolded(copies, docs.columns, *keep)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from windrow.llm.shared import column, pieces, text_bytes, written
+from windrow.llm.shared import column, pieces, small_batches, text_bytes, written
 from windrow.llm.tokencount import load
 from windrow.scale import ship
 
@@ -163,7 +163,8 @@ def pack(docs: DataFrame, tokenizer_file: str, size: int = 2048, end_id: int = 0
             out.add(rows, task)
         yield out.flush()
 
-    placed = written(docs.mapInArrow(first, schema), "packed")
+    with small_batches(docs.sparkSession):
+        placed = written(docs.mapInArrow(first, schema), "packed")
     settled, left = placed.filter("task is null"), placed.filter("task is not null")
     tasks = (left.agg(F.max("task")).first()[0] or 0) + 1
     level = 0

@@ -42,6 +42,14 @@ def points(data: bytes) -> int:
     return len(raw) - int(np.count_nonzero((raw & 0xC0) == 0x80))
 
 
+_CONTINUED = bytes(range(0x80, 0xC0))
+
+
+def leading(data: bytes) -> bytes:
+    """One byte for each code point: its first."""
+    return data if data.isascii() else data.translate(None, _CONTINUED)
+
+
 def covered(keys: np.ndarray, n: int, words: int, later_only: bool) -> np.ndarray:
     """Words inside n-grams found twice or more (``later_only``: without first occurrences)."""
     edge = np.zeros(words + 1, np.int32)
@@ -69,7 +77,7 @@ def measures(data: bytes, limits: Limits) -> tuple:
     if not n:
         return 0, 0, symbols, 0, 0, 0.0, 0.0, True, False
     seq = word_ids(words)
-    lengths = np.fromiter(map(len, words), np.int64, n)
+    lengths = np.fromiter(map(len, leading(data).split()), np.int64, n)
     repeat = int(np.count_nonzero(covered(grams(seq, 3), 3, n, False)))
     failed = n < limits.min_words or 100 * repeat > limits.repeat_percent * n
     total, worst, within = int(lengths.sum()), 0.0, True
@@ -81,7 +89,7 @@ def measures(data: bytes, limits: Limits) -> tuple:
         seen: set[bytes] = set()
         for line in lines:
             if line in seen:
-                in_lines += sum(map(len, line.split()))
+                in_lines += sum(map(len, leading(line).split()))
             seen.add(line)
         in_lines /= total
     return n, size, symbols, dup_lines, repeat, worst, in_lines, failed, not failed and within and in_lines <= limits.lines

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,30 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+_BATCH_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def bound_batches(spark: SparkSession) -> dict[str, str]:
+    """Send texts to Python workers in batches of at most 1,000 rows and about 4 MB, where the session
+    has larger ones; an executor holds several batches at a time. Returns the settings before."""
+    before = {key: spark.conf.get(key) for key in _BATCH_LIMITS}
+    for key, most in _BATCH_LIMITS.items():
+        if not (before[key].isdigit() and 0 < int(before[key]) <= most):
+            spark.conf.set(key, most)
+    return before
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """``bound_batches`` for the jobs inside; the settings come back afterwards."""
+    before = bound_batches(spark)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
