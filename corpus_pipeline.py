@@ -6,7 +6,12 @@
 4. Sources are mixed to their target weights; documents repeat or go as the mix asks.
 5. The mix is packed into sequences.
 
-Stages 1 to 4 return the columns they are given. Null texts go in stage 1; empty tables pass.
+Stages 1 to 4 return the columns they are given. Null texts and texts without a letter go in stage 1;
+empty tables pass. Texts of any length are read whole, and stage 4 gives or leaves out whole
+documents. Repeated rows are one document in stage 2 (same id and text) and go in stage 3; of a group
+of near copies the smallest id stays.
+
+Stage 1 bounds the batches that go to Python workers (``shared.bound_batches``) for the session.
 """
 
 from __future__ import annotations
@@ -15,10 +20,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from windrow.llm import langid, linededup, minhash, mixing, packing
-from windrow.llm.shared import table, written
+from windrow.llm.shared import bound_batches, table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return langid.accepted(docs)
 
 
