@@ -225,3 +225,60 @@ def test_evaluation_and_reports(spark, sf, engine, tmp_path):
     sinks.append_metrics(m, str(tmp_path / "metrics"))
     sinks.append_metrics(m, str(tmp_path / "metrics"))
     assert spark.read.parquet(str(tmp_path / "metrics")).count() == 28
+
+
+def _lloyd(x, centers, tol=1e-4, most=300):
+    for _ in range(most):
+        near = ((x[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+        moved = np.array([x[near == c].mean(0) if (near == c).any() else centers[c] for c in range(len(centers))])
+        step, centers = ((moved - centers) ** 2).sum(1).max(), moved
+        if step <= tol * tol:
+            break
+    return ((x[:, None] - centers[None]) ** 2).sum(2).min(1).sum()
+
+
+def test_every_restart_is_a_plain_lloyd_from_its_seeds(spark):
+    from windrow.models import kmeans as K
+    from windrow.models.numeric import packed
+    rng = np.random.RandomState(3)
+    x = np.concatenate([rng.standard_normal((60, 12)) * 0.4 + 3 * rng.standard_normal(12) for _ in range(5)])
+    x[rng.random_sample(x.shape) < 0.3] = 0
+    rows = [([int(j) for j in np.flatnonzero(r)], [float(v) for v in r[np.flatnonzero(r)]]) for r in x]
+    df = spark.createDataFrame(rows, "idx array<int>, val array<double>").repartition(5)
+    fit = K.fit_kmeans(df, 12, k=4, restarts=6, seed=9)
+    again = K.fit_kmeans(df.repartition(2), 12, k=4, restarts=6, seed=9)
+    data, parts = packed(df.withColumn("h", F.xxhash64("idx", "val")), ["idx", "val", "h"], len(x))
+    starts = K.seeds(data, parts, 12, 4, 6, 9)
+    assert fit.converged and fit.cost == min(fit.costs) and fit.passes <= 60
+    assert fit.costs == pytest.approx([_lloyd(x, s) for s in starts])
+    assert again.costs == pytest.approx(fit.costs)  # partitions do not matter
+    few = K.fit_kmeans(df.limit(2).union(df.limit(2)), 12, k=4, restarts=2)
+    assert few.cost == pytest.approx(0) and few.centers.shape == (4, 12)
+
+
+def test_svm_gap_and_plain_newton(spark, engine):
+    e, x = engine
+    assert e.svm_slow.converged and e.svm_slow.passes <= 20 and max(e.svm_slow.gaps) <= 1e-6
+    from windrow.models import svm as S
+    from windrow.models.numeric import Rows
+    rng = np.random.RandomState(5)
+    dense = np.concatenate([rng.standard_normal((40, 6)) + 2 * c for c in range(3)])
+    y = np.repeat([0, 1, 2], 40)
+    rows = [(int(c), list(range(6)), [float(v) for v in r]) for c, r in zip(y, dense)]
+    df = spark.createDataFrame(rows, "y int, idx array<int>, val array<double>").repartition(3)
+    m = S.fit_svm(df, "y", 6, features=32, tol=1e-10)
+    offsets = np.arange(0, len(y) * 6 + 1, 6)
+    z = S.fourier_map(Rows(offsets, np.tile(np.arange(6), len(y)), dense.ravel()), 6, 32, m.gamma, 42).astype(float)
+    z = np.c_[z, np.ones(len(z))]
+    for k, (a, b) in enumerate(m.pairs):
+        own = np.isin(y, (a, b))
+        s, w = np.where(y[own] == a, 1.0, -1.0), np.append(m.coef[k], m.intercept[k])
+        miss = np.maximum(0, 1 - s * (z[own] @ w))
+        assert np.abs(w - 2 * z[own].T @ (s * miss)).max() < 1e-5  # the gradient vanishes
+    assert m.converged and not S.fit_svm(df, "y", 6, features=32, max_iter=1).converged
+
+
+def test_training_accuracy_flag_on_the_middle_corpus(spark):
+    from windrow.queries import models
+    row = models.svm_train(spark, "/root/testdata/sf0.01").first()
+    assert row["accurate"] and row["some_margin_rows"]

@@ -1,22 +1,32 @@
-"""K-Means with several seeded restarts; the one with the smallest cost is kept."""
+"""K-Means: all seeded restarts run together, the one with the smallest cost is kept.
+
+Every pass over the sparse rows serves all restarts: their centres are one matrix, a task adds up
+one partial per restart, and a restart that has settled takes no part in further passes. Centres
+start from a few rounds of distance-weighted draws (k-means||, Bahmani and others, 2012) that are
+narrowed to k on the driver. A draw needs one pass: a row's key is log(u) / distance with u from a
+hash of row, seed and round, and the largest keys win, so partitions do not matter.
+"""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from windrow.models.numeric import Rows, packed
-from windrow.operators.tfidf import with_vector
+from windrow.models.numeric import Rows, packed, sum_over_rows
+from windrow.scale import ship
 
 # Clusters, restarts, first seed.
 CLUSTERS = 7
 RESTARTS = 10
 SEED = 42
+# Rounds of draws before the centres are narrowed, and rows drawn in each, as a multiple of k.
+ROUNDS, DRAWS = 2, 2
+# Rows that a task of a pass should at least hold; every row meets the centres of all restarts.
+PASS_ROWS = 1024
 
 
 @dataclass
@@ -25,27 +35,134 @@ class KMeansFit:
     cost: float
     costs: list[float]
     converged: bool = True
+    passes: int = 0
 
     def distances(self, rows: Rows) -> np.ndarray:
         """Squared distance of every sparse row to every centre."""
-        d = rows.squared_norms()[:, None] - 2.0 * rows.dot(np.ascontiguousarray(self.centers.T)) + (self.centers**2).sum(1)
-        return np.maximum(d, 0.0)
+        return distances(rows, self.centers)
+
+
+def distances(rows: Rows, centers: np.ndarray) -> np.ndarray:
+    d = rows.squared_norms()[:, None] - 2.0 * rows.dot(np.ascontiguousarray(centers.T)) + (centers**2).sum(1)
+    return np.maximum(d, 0.0)
 
 
 def fit_kmeans(
     df: DataFrame, width: int, k: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED,
-    max_iter: int = 300, threads: int = 5,
+    max_iter: int = 300, tol: float = 1e-4,
 ) -> KMeansFit:
-    """Fit on rows with ``idx`` and ``val``. Restarts run concurrently on one cached input."""
-    data, _ = packed(with_vector(df.select("idx", "val"), width), ["features"], df.count())
+    """Fit on rows with ``idx`` and ``val``; a restart has settled once no centre moves by more than ``tol``."""
+    ship(df.sparkSession)
+    rows = df.select("idx", "val", F.xxhash64("idx", "val").alias("h"))
+    data, parts = packed(rows, ["idx", "val", "h"], df.count(), PASS_ROWS)
+    centers = seeds(data, parts, width, k, restarts, seed)
+    active, settled, passes = list(range(restarts)), set(), 0
+    while active and passes < max_iter:
+        sums = _pass(data, parts, np.stack([centers[r] for r in active]), width, ("sums", "counts"))
+        passes += 1
+        for at, r in enumerate(active):
+            n = sums["counts"][at]
+            moved = np.where(n[:, None] > 0, sums["sums"][at] / np.maximum(n, 1)[:, None], centers[r])
+            if ((moved - centers[r]) ** 2).sum(1).max() <= tol * tol:
+                settled.add(r)
+            centers[r] = moved
+        active = [r for r in active if r not in settled]
+    costs = _pass(data, parts, np.stack(centers), width, ("cost",))["cost"].tolist()
+    data.unpersist()
+    best = min(range(restarts), key=lambda r: (costs[r], r))
+    return KMeansFit(centers[best], costs[best], costs, not active, passes)
 
-    def fit(s: int):
-        m = KMeans(k=k, seed=s, maxIter=max_iter, tol=1e-4).fit(data)
-        return m.summary.trainingCost, s, np.array(m.clusterCenters()), m.summary.numIter < max_iter
 
-    data.count()
-    with ThreadPoolExecutor(threads) as pool:
-        runs = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(seed, seed + restarts)))
-    data.unpersist()
-    cost, _, centers, _ = min(runs, key=lambda r: (r[0], r[1]))
-    return KMeansFit(centers, float(cost), [float(r[0]) for r in runs], all(r[3] for r in runs))
+def _pass(data: DataFrame, parts: int, centers: np.ndarray, width: int, wanted: tuple[str, ...]) -> dict[str, np.ndarray]:
+    """One pass for all ``centers`` (restart, centre, column): the sums and counts of every centre's rows,
+    or the cost of every restart."""
+    runs, k, _ = centers.shape
+    shared = data.sparkSession.sparkContext.broadcast(centers.reshape(runs * k, width))
+
+    def add(batch):
+        rows = Rows.from_arrow(batch)
+        d = distances(rows, shared.value).reshape(len(rows), runs, k)
+        near = d.argmin(2)
+        if "cost" in wanted:
+            return {"cost": np.take_along_axis(d, near[:, :, None], 2)[:, :, 0].sum(0)}
+        at = rows.row_ids()
+        return {"counts": np.stack([np.bincount(near[:, r], minlength=k) for r in range(runs)]),
+                "sums": np.stack([np.bincount(near[at, r] * width + rows.idx, rows.val, k * width) for r in range(runs)])}
+
+    shapes = {"cost": (runs,), "counts": (runs, k), "sums": (runs, k, width)}
+    try:
+        return sum_over_rows(data, ["idx", "val"], add, {n: shapes[n] for n in wanted}, parts)
+    finally:
+        shared.destroy()
+
+
+def _uniform(h: np.ndarray, seed: int, turn: int) -> np.ndarray:
+    """Numbers in (0, 1) from row hashes, a seed and a round."""
+    x = h.astype(np.uint64) ^ np.uint64((seed * 0x9E3779B97F4A7C15 + turn * 0xD1B54A32D192ED03) % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53) + 2.0**-54
+
+
+def _draw(data: DataFrame, found: list[np.ndarray], width: int, count: int, seed: int, turn: int) -> list[np.ndarray]:
+    """``count`` rows per restart, drawn by squared distance from the rows found so far (evenly at first)."""
+    sizes = [len(f) for f in found]
+    ends = np.cumsum(sizes)
+    shared = data.sparkSession.sparkContext.broadcast(np.concatenate(found))
+
+    def best(batches):
+        for batch in batches:
+            rows = Rows.from_arrow(batch)
+            h = batch.column(batch.schema.get_field_index("h")).to_numpy(zero_copy_only=False)
+            d = distances(rows, shared.value) if len(shared.value) else None
+            for r, end in enumerate(ends):
+                own = d[:, end - sizes[r] : end].min(1) if d is not None else np.ones(len(rows))
+                key = np.where(own > 1e-12, np.log(_uniform(h, seed + r, turn)) / np.maximum(own, 1e-12), -np.inf)
+                top = np.argsort(-key, kind="stable")[:count]
+                top = top[np.isfinite(key[top])]
+                pick = batch.take(pa.array(top))
+                yield pa.RecordBatch.from_arrays([pa.array([r] * len(top), pa.int32()), pa.array(key[top]), *(pick.column(pick.schema.get_field_index(c)) for c in ("h", "idx", "val"))],
+                                                 names=["run", "key", "h", "idx", "val"])
+
+    drawn = data.mapInArrow(best, "run int, key double, h bigint, idx array<int>, val array<double>")
+    # Equal rows have equal keys: one of them is enough.
+    order = Window.partitionBy("run").orderBy(F.desc("key"), "h")
+    top = drawn.groupBy("run", "key", "h").agg(F.min(F.struct("idx", "val")).alias("row")).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= count)
+    out: list[list[np.ndarray]] = [[] for _ in found]
+    for r in sorted(top.select("run", "nth", "row.idx", "row.val").collect(), key=lambda r: (r["run"], r["nth"])):
+        dense = np.zeros(width)
+        dense[r["idx"]] = r["val"]
+        out[r["run"]].append(dense)
+    shared.destroy()
+    return [np.array(o).reshape(len(o), width) for o in out]
+
+
+def seeds(data: DataFrame, parts: int, width: int, k: int, restarts: int, seed: int) -> list[np.ndarray]:
+    """First centres of every restart: rows drawn in rounds, weighted by the rows near them, narrowed to k."""
+    found = [np.zeros((0, width)) for _ in range(restarts)]
+    for turn in range(ROUNDS + 1):
+        drawn = _draw(data, found, width, DRAWS * k if turn else 1, seed, turn)
+        found = [np.concatenate([f, d]) for f, d in zip(found, drawn)]
+    most = max(1, max(map(len, found)))
+    # Shorter lists are filled up with their first row, which then is never nearest a second time.
+    full = np.stack([np.concatenate([f, np.repeat(f[:1] if len(f) else np.zeros((1, width)), most - len(f), 0)]) for f in found])
+    weights = _pass(data, parts, full, width, ("sums", "counts"))["counts"]
+    return [narrowed(full[r], weights[r], k, seed + r) for r in range(restarts)]
+
+
+def narrowed(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Weighted k-means++ and some Lloyd steps over the few drawn rows."""
+    rng = np.random.RandomState(seed)
+    pick = [min(int(np.searchsorted(np.cumsum(weights), rng.random_sample() * weights.sum(), "right")), len(points) - 1)]
+    while len(pick) < k:
+        far = np.min([((points - points[c]) ** 2).sum(1) for c in pick], 0)
+        mass = np.cumsum(far * weights)
+        pick.append(min(int(np.searchsorted(mass, rng.random_sample() * mass[-1], "right")), len(points) - 1) if mass[-1] > 0 else pick[0])
+    centers = points[pick].copy()
+    for _ in range(30):
+        near = (((points**2).sum(1)[:, None] - 2 * points @ centers.T) + (centers**2).sum(1)).argmin(1)
+        for c in range(k):
+            own = near == c
+            if weights[own].sum() > 0:
+                centers[c] = np.average(points[own], 0, weights[own])
+    return centers

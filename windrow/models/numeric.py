@@ -19,13 +19,13 @@ TASK_ROWS = 4096
 PART_SCHEMA = "name string, block int, weight double, data binary"
 
 
-def packed(df: DataFrame, columns: list[str], n_rows: int) -> tuple[DataFrame, int]:
+def packed(df: DataFrame, columns: list[str], n_rows: int, task_rows: int = TASK_ROWS) -> tuple[DataFrame, int]:
     """Shared training rows in no more partitions than pay off, and that number.
 
     Iterative fits run many short jobs, so tasks with a handful of rows cost more than they
     do. Coalescing never adds partitions: large inputs keep theirs.
     """
-    rows = share(df.select(*columns).coalesce(max(1, -(-n_rows // TASK_ROWS))))
+    rows = share(df.select(*columns).coalesce(max(1, -(-n_rows // task_rows))))
     return rows, rows.rdd.getNumPartitions()
 
 

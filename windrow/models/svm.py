@@ -3,30 +3,33 @@
 The kernel exp(-gamma |x-y|^2) is approximated by ``features`` random cosines (Rahimi and
 Recht, 2007), so training is linear in rows. Classes are balanced by row weights; prediction
 is a one-vs-one vote, the lowest code winning ties.
+
+All pairs are fitted together by Newton steps on the squared hinge: in one pass a task adds up, for
+every pair, the loss, the gradient and the Hessian of the rows inside the margin, and the driver
+solves one small system per pair. The same sums give the dual value of the margin violations, so the
+gap between primal and dual says how far each pair is from its optimum.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.models.numeric import Rows, packed
+from windrow.models.numeric import Rows, packed, sum_over_rows
 from windrow.operators.metrics import class_weights
 from windrow.scale import ship
 
 # Fixed value: penalty of a margin violation.
 PENALTY = 1.0
 FEATURES = 512
+# Rows that a task of a pass should at least hold; every row costs features x features per pair.
+PASS_ROWS = 1024
 
 
 @lru_cache(maxsize=4)
@@ -52,6 +55,14 @@ class SvmModel:
     pairs: list[tuple[int, int]]
     coef: np.ndarray
     intercept: np.ndarray
+    # Relative distance from the optimum of every pair, the limit it was fitted to, and passes over the rows.
+    gaps: list[float] = field(default_factory=list)
+    tol: float = 0.0
+    passes: int = 0
+
+    @property
+    def converged(self) -> bool:
+        return all(g <= self.tol for g in self.gaps)
 
     def margins(self, rows: Rows) -> np.ndarray:
         """One column per class pair; positive speaks for the pair's first class."""
@@ -80,49 +91,78 @@ def scale_gamma(df: DataFrame, width: int) -> float:
 
 def fit_svm(
     df: DataFrame, label: str, width: int, features: int = FEATURES, seed: int = 42,
-    penalty: float = PENALTY, max_iter: int = 100, threads: int = 6,
+    penalty: float = PENALTY, max_iter: int = 100, tol: float = 1e-6,
 ) -> SvmModel:
-    """Fit on rows with ``idx``, ``val`` and a label code. Class pairs are fitted concurrently."""
+    """Fit on rows with ``idx``, ``val`` and a label code, until every pair's gap is at most ``tol``.
+
+    Minimises |w|^2 / 2 + penalty * sum(weight * max(0, 1 - margin)^2), the intercept being the
+    weight of a constant feature. A step that does not lower a pair's value is halved.
+    """
     ship(df.sparkSession)
     gamma = scale_gamma(df, width)
     weights = {r[label]: (r["n"], r["weight"]) for r in class_weights(df, label).collect()}
     classes = sorted(weights)
     pairs = list(combinations(classes, 2))
-
-    def lift(batches):
-        for b in batches:
-            z = fourier_map(Rows.from_arrow(b), width, features, gamma, seed).astype(np.float64)
-            values = pa.array(z.ravel())
-            offsets = pa.array(np.arange(0, len(z) * features + 1, features, dtype=np.int32))
-            y = b.column(b.schema.get_field_index(label))
-            yield pa.RecordBatch.from_arrays([y, pa.ListArray.from_arrays(offsets, values)], names=[label, "z"])
-
-    lifted, _ = packed(
-        df.select(F.col(label).cast("int").alias(label), "idx", "val")
-        .mapInArrow(lift, f"{label} int, z array<double>")
-        .select(label, array_to_vector("z").alias("features")),
-        [label, "features"], sum(n for n, _ in weights.values()),
-    )
-    lifted.count()
-
-    def fit(pair):
-        a, b = pair
-        rows = lifted.filter(F.col(label).isin(a, b)).select(
-            "features",
-            F.when(F.col(label) == a, 1.0).otherwise(0.0).alias("label"),
-            F.when(F.col(label) == a, weights[a][1]).otherwise(weights[b][1]).alias("weight"),
-        )
-        total = weights[a][0] * weights[a][1] + weights[b][0] * weights[b][1]
-        svc = LinearSVC(maxIter=max_iter, regParam=1.0 / (penalty * total), tol=1e-4,
-                        standardization=False, weightCol="weight")
-        m = svc.fit(rows)
-        return m.coefficients.toArray(), m.intercept
-
-    with ThreadPoolExecutor(threads) as pool:
-        fitted = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), pairs))
-    lifted.unpersist()
-    coef = np.array([c for c, _ in fitted]).reshape(len(pairs), features)
-    return SvmModel(width, features, gamma, seed, classes, pairs, coef, np.array([i for _, i in fitted]))
+    data, parts = packed(df.select(F.col(label).cast("int").alias("y"), "idx", "val"), ["y", "idx", "val"], sum(n for n, _ in weights.values()), PASS_ROWS)
+    size, lower = features + 1, np.tril_indices(features + 1)
+
+    def sums(at: np.ndarray, open_: list[int]) -> dict[str, np.ndarray]:
+        """Loss, violations, gradient and Hessian of the open pairs at their weights ``at``."""
+        shared = data.sparkSession.sparkContext.broadcast(at)
+
+        def add(batch):
+            w, y = shared.value, batch.column(batch.schema.get_field_index("y")).to_numpy(zero_copy_only=False)
+            got = {"loss": np.zeros(len(open_)), "miss": np.zeros(len(open_)), "pull": np.zeros((len(open_), size)),
+                   "lean": np.zeros((len(open_), size)), "hess": np.zeros((len(open_), len(lower[0])))}
+            for first, part in Rows.from_arrow(batch).parts(2048):
+                z = fourier_map(part, width, features, gamma, seed).astype(np.float64)
+                z = np.concatenate([z, np.ones((len(z), 1))], 1)
+                own = y[first : first + len(z)]
+                for i, k in enumerate(open_):
+                    p, q = pairs[k]
+                    side = np.where(own == p, 1.0, np.where(own == q, -1.0, 0.0))
+                    miss = np.where(side != 0, 1 - side * (z @ w[i]), 0.0)
+                    inside = np.flatnonzero(miss > 0)
+                    x, s, m = z[inside], side[inside], miss[inside]
+                    c = np.where(s > 0, weights[p][1], weights[q][1])
+                    got["loss"][i] += c @ (m * m)
+                    got["miss"][i] += c @ m
+                    got["pull"][i] += x.T @ (c * s)
+                    got["lean"][i] += x.T @ (c * s * m)
+                    got["hess"][i] += ((x * c[:, None]).T @ x)[lower]
+            return got
+
+        n = len(open_)
+        shapes = {"loss": (n,), "miss": (n,), "pull": (n, size), "lean": (n, size), "hess": (n, len(lower[0]))}
+        try:
+            return sum_over_rows(data, ["y", "idx", "val"], add, shapes, parts)
+        finally:
+            shared.destroy()
+
+    best = np.zeros((len(pairs), size))
+    value, gaps = np.full(len(pairs), np.inf), [np.inf] * len(pairs)
+    trial, passes = best.copy(), 0
+    while passes < max_iter and any(g > tol for g in gaps):
+        open_ = [k for k in range(len(pairs)) if gaps[k] > tol]
+        got = sums(trial[open_], open_)
+        passes += 1
+        for i, k in enumerate(open_):
+            w, c = trial[k], penalty
+            primal = w @ w / 2 + c * got["loss"][i]
+            if primal > value[k] * (1 + 1e-12):
+                trial[k] = (best[k] + w) / 2
+                continue
+            best[k], value[k] = w, primal
+            # The violations, times 2 c, are a feasible point of the dual.
+            v = 2 * c * got["lean"][i]
+            dual = 2 * c * got["miss"][i] - v @ v / 2 - c * got["loss"][i]
+            gaps[k] = float((primal - dual) / max(primal, 1e-300))
+            hess = np.zeros((size, size))
+            hess[lower] = 2 * c * got["hess"][i]
+            hess += np.tril(hess, -1).T
+            trial[k] = np.linalg.solve(hess + np.eye(size), 2 * c * got["pull"][i])
+    data.unpersist()
+    return SvmModel(width, features, gamma, seed, classes, pairs, best[:, :features].copy(), best[:, features].copy(), gaps, tol, passes)
 
 
 def predict_svm(df: DataFrame, model: SvmModel, out: str = "y_pred") -> DataFrame:

@@ -45,13 +45,16 @@ class Params:
     max_df: float = 0.60
     svm_features: int = 512
     svm_max_iter: int = 100
+    svm_tol: float = 1e-6
     epochs: int = 50
     batch: int = 64
     mlp_partitions: int = 4
     clusters: int = 7
     restarts: int = 10
     kmeans_max_iter: int = 300
+    kmeans_tol: float = 1e-4
     pca_max_passes: int = 100
+    pca_tol: float = 1e-4
     seed: int = 42
     t2_loss_weights: dict[int, float] = field(default_factory=lambda: dict(DEFAULT_T2_LOSS_WEIGHTS))
 
@@ -192,8 +195,8 @@ def fit_engine(corpus: DataFrame, taxonomy: DataFrame, params: Params, lemmas: D
     # The two fast models draw different subsets, as two independent draws would.
     fast_svm = fast_subset(x, "chunk_id", params.seed)
     fast_km = fast_subset(x, "chunk_id", params.seed + 1)
-    svm = dict(width=tfidf.width, features=params.svm_features, seed=params.seed, max_iter=params.svm_max_iter)
-    km = dict(width=tfidf.width, k=params.clusters, restarts=params.restarts, seed=params.seed, max_iter=params.kmeans_max_iter)
+    svm = dict(width=tfidf.width, features=params.svm_features, seed=params.seed, max_iter=params.svm_max_iter, tol=params.svm_tol)
+    km = dict(width=tfidf.width, k=params.clusters, restarts=params.restarts, seed=params.seed, max_iter=params.kmeans_max_iter, tol=params.kmeans_tol)
     fits = {
         "mlp": lambda: fit_mlp(x, tfidf.width, len(labels.t1), len(labels.t2), "chunk_id", epochs=params.epochs,
                                batch=params.batch, partitions=params.mlp_partitions, class_weights=params.t2_loss_weights, seed=params.seed),
@@ -201,7 +204,7 @@ def fit_engine(corpus: DataFrame, taxonomy: DataFrame, params: Params, lemmas: D
         "svm_fast": lambda: fit_svm(fast_svm, "t1_idx", **svm),
         "kmeans_slow": lambda: fit_kmeans(x, **km),
         "kmeans_fast": lambda: fit_kmeans(fast_km, **km),
-        "pca": lambda: fit_pca_wide(x, tfidf.width, seed=params.seed, max_passes=params.pca_max_passes),
+        "pca": lambda: fit_pca_wide(x, tfidf.width, seed=params.seed, max_passes=params.pca_max_passes, tol=params.pca_tol),
     }
     # The fits are independent chains of short jobs on the same shared rows: run side by side,
     # one chain's driver step overlaps another's tasks.

@@ -76,7 +76,7 @@ def build_all(spark, sf):
         ("kmeans_slow_clusters", len(e.kmeans_slow.centers)), ("kmeans_fast_clusters", len(e.kmeans_fast.centers)),
         ("vocabulary_in_bounds", 0 < e.tfidf.width <= e.params.max_features),
         ("loss_falls", e.mlp.losses[-1] < e.mlp.losses[0]), ("ratios_ordered", 1 > ratio[0] >= ratio[1] > 0),
-        ("fits_converged", e.kmeans_slow.converged and e.kmeans_fast.converged and e.pca.converged),
+        ("fits_converged", all(m.converged for m in (e.svm_slow, e.svm_fast, e.kmeans_slow, e.kmeans_fast, e.pca))),
     ]
     rows = vectors.agg(F.lit("rows").alias("part"), F.count(F.lit(1)).cast("double").alias("value"))
     return rows.unionByName(spark.createDataFrame([(k, float(v)) for k, v in facts], "part string, value double"))
@@ -89,7 +89,7 @@ def svm_train(spark, sf):
     scored = predict_svm(vectors.select(F.col("t1_idx").alias("y_true"), "idx", "val"), engine.svm_slow)
     n, right, margin = scored.agg(F.count(F.lit(1)), F.count_if(F.col("y_true") == F.col("y_pred")), F.count_if("margin_row")).first()
     macro = macro_metrics(scored).first()
-    accurate = right / n > 0.8 and abs(macro["accuracy"] - right / n) < 1e-6
+    accurate = right / n > 0.8 and abs(macro["accuracy"] - round(right / n, 4)) < 1e-9
     return _flags(spark, accurate=accurate, some_margin_rows=0 < margin <= n).select(F.lit(n).cast("bigint").alias("rows"), "*")
 
 

@@ -34,7 +34,8 @@ def _arrays(e: Engine) -> dict[str, np.ndarray]:
 
 def _svm_settings(m: SvmModel) -> dict:
     return {"width": m.width, "features": m.features, "gamma": m.gamma, "seed": m.seed,
-            "classes": [int(c) for c in m.classes], "pairs": [[int(a), int(b)] for a, b in m.pairs]}
+            "classes": [int(c) for c in m.classes], "pairs": [[int(a), int(b)] for a, b in m.pairs],
+            "gaps": m.gaps, "tol": m.tol, "passes": m.passes}
 
 
 def save(engine: Engine, spark: SparkSession, path: str) -> None:
@@ -44,8 +45,8 @@ def save(engine: Engine, spark: SparkSession, path: str) -> None:
         "tfidf": {"stop": list(engine.tfidf.stop), "ngrams": list(engine.tfidf.ngrams), "n_rows": engine.tfidf.n_rows},
         "svm_slow": _svm_settings(engine.svm_slow), "svm_fast": _svm_settings(engine.svm_fast),
         "mlp": {"n1": engine.mlp.n1, "n2": engine.mlp.n2, "losses": engine.mlp.losses},
-        "km_slow": [engine.kmeans_slow.cost, engine.kmeans_slow.costs, engine.kmeans_slow.converged],
-        "km_fast": [engine.kmeans_fast.cost, engine.kmeans_fast.costs, engine.kmeans_fast.converged],
+        "km_slow": [engine.kmeans_slow.cost, engine.kmeans_slow.costs, engine.kmeans_slow.converged, engine.kmeans_slow.passes],
+        "km_fast": [engine.kmeans_fast.cost, engine.kmeans_fast.costs, engine.kmeans_fast.converged, engine.kmeans_fast.passes],
         "pca_converged": engine.pca.converged, "lemmas": engine.lemma_map,
     }
     rows = []
@@ -79,7 +80,8 @@ def load(spark: SparkSession, path: str) -> Engine:
     def svm(name: str) -> SvmModel:
         c = s[name]
         return SvmModel(c["width"], c["features"], c["gamma"], c["seed"], c["classes"],
-                        [tuple(p) for p in c["pairs"]], a[f"{name}.coef"], a[f"{name}.intercept"])
+                        [tuple(p) for p in c["pairs"]], a[f"{name}.coef"], a[f"{name}.intercept"],
+                        c["gaps"], c["tol"], c["passes"])
 
     params = dict(s["params"])
     params["t2_loss_weights"] = {int(k): v for k, v in params["t2_loss_weights"].items()}
