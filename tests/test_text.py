@@ -1,3 +1,4 @@
+import numpy as np
 import re
 
 import pytest
@@ -122,3 +123,33 @@ def test_whole_file_reader(spark, tmp_path):
     assert got == {12: "line one\nline two", 7: "x"}
     raw = {r["source_id"]: bytes(r["content"]) for r in D.read_book_bytes(spark, str(tmp_path)).collect()}
     assert raw == {12: b"line one\nline two", 7: b"x"}
+
+
+def test_word_automaton_accepts_its_words_only():
+    from windrow.operators.lexicon import WordAutomaton
+    rng = np.random.RandomState(1)
+    words = sorted({"".join(rng.choice(list("abé漢"), rng.randint(1, 7))) for _ in range(800)})
+    inside, outside = words[::2], words[1::2]
+    made = WordAutomaton.of(inside)
+    assert made.accepts(inside).all() and not made.accepts(outside + ["", "zz", "abx"]).any()
+    assert len(made.final) < sum(map(len, inside)) / 3  # equal ends are shared
+    assert WordAutomaton.of(["", "a"]).accepts(["", "a", "b"]).tolist() == [True, True, False]
+    assert not WordAutomaton.of([]).accepts(["", "a"]).any()
+
+
+def test_lexicon_lookup_equals_the_table(spark):
+    from windrow.operators.lexicon import lexicon_lookup, read_lexicon
+    words = "cat box bus leaf wolf quiz church dish man woman city sses ssess s glass class as fly ves goose ie".split()
+    surfaces = [w + e for w in [*words, "x", "sse", "cities"] for e in ("", "s", "es", "ses", "sses", "ves", "ies", "men", "ches", "zes")]
+    surfaces += ["geese", "men", "women", "oxen", "leaves", "wolves"]
+    lexicon = spark.createDataFrame([(w,) for w in words], "word string")
+    odd = spark.createDataFrame([("geese", "goose"), ("oxen", "ox"), ("cats", "cat"), ("men", "man"), ("men", "goose")], "surface string, lemma string")
+    rows = spark.createDataFrame([(1, surfaces), (2, []), (3, None), (4, surfaces[::-1])], "id int, tokens array<string>")
+    table = lemmas.lemma_table(spark.createDataFrame([(s,) for s in surfaces], "surface string"), lexicon, odd)
+    want = {r["surface"]: r["lemma"] for r in table.collect()}
+    swap = lexicon_lookup(spark, read_lexicon(lexicon, odd))
+    got = {r["id"]: r["t"] for r in rows.select("id", swap("tokens").alias("t")).collect()}
+    assert got == {1: [want.get(s, s) for s in surfaces], 2: [], 3: None, 4: [want.get(s, s) for s in surfaces[::-1]]}
+    for form in (lemmas.lemmatize, lemmas.lemmatize_by_join):
+        assert {r["id"]: r["tokens"] for r in form(rows, "id", "tokens", table).collect()} == got | {3: []}
+    assert read_lexicon(lexicon, most=3) is None

@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.scale import BROADCAST_ROWS, ship
+from windrow.scale import ship
 
 # Published noun suffix rules, tried in this order.
 NOUN_SUFFIXES = [
@@ -71,11 +71,25 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame, exceptions: DataFrame | N
     return best.filter(F.col("lemma") != F.col("surface"))
 
 
+# Largest table of lemmas that tasks look up whole.
+LOOKUP_ROWS = 300_000
+
+
 def lemmatize(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame) -> DataFrame:
-    """Replace tokens by lemmas with joins only; any table size. Returns ``(id, tokens)``."""
-    # A word can be very frequent; a dictionary-sized table is broadcast, so no word is gathered.
-    if lemmas.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        lemmas = F.broadcast(lemmas)
+    """Replace tokens by lemmas. Returns ``(id, tokens)``.
+
+    A table of at most ``LOOKUP_ROWS`` is read once and looked up in the row; a larger one is joined.
+    """
+    found = lemmas.select("surface", "lemma").limit(LOOKUP_ROWS + 1).toArrow()
+    if found.num_rows <= LOOKUP_ROWS:
+        table = dict(zip(found.column("surface").to_pylist(), found.column("lemma").to_pylist()))
+        swapped = F.coalesce(lemma_lookup(df.sparkSession, table)(tokens), F.array().cast("array<string>"))
+        return df.select(id_col, swapped.alias(tokens))
+    return lemmatize_by_join(df, id_col, tokens, lemmas)
+
+
+def lemmatize_by_join(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """The same with joins only; any table size. A word that very many rows hold is split by the adaptive skew join."""
     cells = df.select(id_col, F.posexplode_outer(tokens).alias("_p", "surface")).filter("surface IS NOT NULL")
     found = cells.join(lemmas, "surface", "left").select(
         id_col, "_p", F.coalesce("lemma", "surface").alias("_t")

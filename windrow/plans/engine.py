@@ -21,6 +21,7 @@ from windrow.models.pca import PcaModel, fit_pca_wide
 from windrow.models.svm import SvmModel, fit_svm
 from windrow.operators import balance, integrity
 from windrow.operators.lemmas import lemma_lookup, lemmatize, relevant_lemmas
+from windrow.operators.lexicon import Lexicon, lexicon_lookup
 from windrow.operators.sampling import fast_subset
 from windrow.operators.tfidf import TfidfModel, fit_tfidf
 from windrow.plans.report import by_mode
@@ -167,12 +168,15 @@ def _lists(x: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(x.ravel()))
 
 
-def clean(df: DataFrame, text_col: str, stop: list[str], lemmas: DataFrame | None = None,
+def clean(df: DataFrame, text_col: str, stop: list[str], lemmas: DataFrame | Lexicon | None = None,
           id_col: str = "chunk_id") -> DataFrame:
-    """Add ``tokens``: lower-case letter runs without listed or short words, lemmatised by a join."""
+    """Add ``tokens``: lower-case letter runs without listed or short words, lemmatised by a lexicon
+    (narrow) or by a table of lemmas."""
     tokens = df.withColumn("tokens", T.drop_words(T.alpha_tokens(text_col), stop, T.MIN_TOKEN_CHARS))
     if lemmas is None:
         return tokens
+    if isinstance(lemmas, Lexicon):
+        return tokens.withColumn("tokens", lexicon_lookup(df.sparkSession, lemmas)("tokens"))
     return tokens.drop("tokens").join(lemmatize(tokens, id_col, "tokens", lemmas), id_col)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions import text as T
 from windrow.operators import balance, chunking, integrity, lemmas
+from windrow.operators.lexicon import read_lexicon
 from windrow.plans import engine as E
 from windrow.queries import roles as R
 from windrow.scale import checkpoint_dir, share
@@ -177,10 +178,14 @@ lemmas AS (
   SELECT s AS surface, arg_min(f, length(f) * 100 + i) AS lemma FROM forms JOIN lexicon ON f = word GROUP BY s)"""
 
 
+def lexicon_words(spark, sf):
+    return R.books(spark, sf).select(F.explode(F.array_distinct(T.alpha_tokens("text"))).alias("word"))
+
+
 def lemma_inputs(spark, sf):
     docs = R.books(spark, sf).withColumnRenamed("source_id", "doc_id")
     tokens = docs.select("doc_id", T.drop_words(T.alpha_tokens("text"), R.STOP_1, T.MIN_TOKEN_CHARS).alias("tokens"))
-    lexicon = docs.select(F.explode(F.array_distinct(T.alpha_tokens("text"))).alias("word")).distinct()
+    lexicon = lexicon_words(spark, sf).distinct()
     table = lemmas.lemma_table(tokens.select(F.explode(F.array_distinct("tokens")).alias("surface")), lexicon)
     return tokens, table
 
@@ -196,15 +201,15 @@ SELECT doc_id, coalesce(string_agg(coalesce(lemma, s), ' ' ORDER BY p), '') AS t
 FROM documents LEFT JOIN cells USING (doc_id) LEFT JOIN lemmas ON s = surface GROUP BY doc_id""")
 def clean_text(spark, sf):
     docs = R.books(spark, sf).withColumnRenamed("source_id", "doc_id")
-    done = E.clean(docs, "text", R.STOP_1, lemma_inputs(spark, sf)[1], "doc_id")
+    done = E.clean(docs, "text", R.STOP_1, read_lexicon(lexicon_words(spark, sf)), "doc_id")
     return done.select("doc_id", F.array_join("tokens", " ").alias("text"))
 
 
 @query("clean_text_join", ORACLES["clean_text"])
 def clean_text_join(spark, sf):
-    """The same from given token lists."""
+    """The same by joins alone, from given token lists and a table of lemmas."""
     tokens, table = lemma_inputs(spark, sf)
-    done = lemmas.lemmatize(tokens, "doc_id", "tokens", table)
+    done = lemmas.lemmatize_by_join(tokens, "doc_id", "tokens", table)
     return done.select("doc_id", F.array_join("tokens", " ").alias("text"))
 
 
