@@ -153,3 +153,20 @@ def test_lexicon_lookup_equals_the_table(spark):
     for form in (lemmas.lemmatize, lemmas.lemmatize_by_join):
         assert {r["id"]: r["tokens"] for r in form(rows, "id", "tokens", table).collect()} == got | {3: []}
     assert read_lexicon(lexicon, most=3) is None
+
+
+def test_pruned_stats_are_the_frequent_terms(spark, monkeypatch):
+    from windrow.operators import bitmap, tfidf as V
+    rng = np.random.RandomState(2)
+    rows = [([str(w) for w in rng.choice([*"abcdefgh", "stop", *map(str, range(60))], rng.randint(0, 25))],) for _ in range(300)] + [(None,), ([],), (["a"],), (["a", "b"],)]
+    df = spark.createDataFrame(rows, "tokens array<string>")
+    for ngrams in ((1, 3), (2, 2), (3, 3), (1, 1)):
+        want = V.term_stats(V.with_terms(df, "tokens", ["stop"], ngrams)).filter("df >= 6")
+        for most in (27, 15):
+            monkeypatch.setattr(bitmap, "MOST_BITS", most)
+            got = V.pruned_stats(df, "tokens", ["stop"], ngrams, 6)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), ngrams
+    assert V.pruned_stats(df.limit(0), "tokens").count() == 0
+    keys = rng.randint(-(1 << 62), 1 << 62, 500)
+    made = bitmap.key_bitmap(spark.createDataFrame([(int(k),) for k in keys[:250]], "k bigint"), "k", 15)
+    assert bitmap.maybe_in(made, keys[:250], 15).all() and bitmap.maybe_in(made, keys[250:], 15).mean() < 0.02

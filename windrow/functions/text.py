@@ -75,15 +75,17 @@ def drop_words(tokens, stop: list[str], min_chars: int = 1) -> Column:
     return F.filter(_col(tokens), keep)
 
 
+def ngram_at(tokens, place: Column, n: int) -> Column:
+    """The n-gram whose first token is the ``place``-th (from 1)."""
+    return F.array_join(F.slice(_col(tokens), place, n), " ")
+
+
 def ngrams(tokens, n: int) -> Column:
     """Contiguous runs of ``n`` tokens joined by a blank."""
     t = _col(tokens)
     if n == 1:
         return t
-    runs = F.transform(
-        F.sequence(F.lit(1), F.size(t) - (n - 1)),
-        lambda i: F.array_join(F.slice(t, i, n), " "),
-    )
+    runs = F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: ngram_at(t, i, n))
     return F.when(F.size(t) >= n, runs).otherwise(F.array().cast("array<string>"))
 
 

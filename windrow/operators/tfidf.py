@@ -1,6 +1,9 @@
 """1-3-gram TF-IDF with document-frequency pruning.
 
-Fitting counts terms with one shuffle of map-side combined ``(term, df, cf)`` rows.
+Fitting counts terms with map-side combined ``(term, df, cf)`` rows, one n-gram length after the
+other: an n-gram is as rare as its rarest part, so only n-grams whose two shorter parts are
+frequent enough are built and shuffled. Which parts are is known from a bitmap of bounded size;
+what it lets through by mistake has its own count and falls to the limit.
 Transforming a row needs no shuffle at all: the vocabulary (at most ``max_features``
 terms) is a broadcast hash map and everything happens inside the row, so the same code
 serves bulk tables and streams. A join form exists for vocabularies beyond the bound.
@@ -18,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from windrow.functions import text as T
-from windrow.scale import BROADCAST_ROWS
+from windrow.operators.bitmap import bits_for, key_bitmap, maybe_in_column
+from windrow.scale import BROADCAST_ROWS, share
 
 # Vocabulary size, n-gram lengths, document-frequency limits.
 MAX_FEATURES = 10_000
@@ -53,6 +57,45 @@ def term_stats(df: DataFrame, terms: str = "terms") -> DataFrame:
     )
 
 
+def pruned_stats(df: DataFrame, tokens: str = "tokens", stop=(), ngrams=NGRAMS, min_df: int = MIN_DF,
+                 held: list[DataFrame] | None = None) -> DataFrame:
+    """``(term, df, cf)`` of every n-gram that at least ``min_df`` rows hold.
+
+    The same rows as ``term_stats`` of all n-grams, filtered by ``df``. ``df`` is read once per n-gram
+    length, so it should be kept. The frequent terms of the shorter lengths are kept while the result
+    is in use; ``held`` gets these frames, for the caller to release.
+    """
+    spark, (low, high) = df.sparkSession, ngrams
+    rows = df.select((T.drop_words(tokens, list(stop)) if stop else F.col(tokens)).alias("_kept"))
+    frequent, found, good = None, None, None
+    for n in range(1, high + 1):
+        here = rows
+        if good is not None:
+            # Hashes of the shorter parts, then the places where both of them are frequent.
+            size = F.size("_kept") - (n - 2)
+            hashes = F.transform(F.sequence(F.lit(1), size), lambda i: F.xxhash64(T.ngram_at("_kept", i, n - 1)))
+            here = rows.withColumn("_h", F.when(size >= 2, hashes)).withColumn("_ok", good("_h"))
+            places = F.filter(F.sequence(F.lit(1), F.size("_ok") - 1), lambda i: F.get("_ok", i - 1) & F.get("_ok", i))
+            terms = F.when(F.size("_ok") >= 2, F.transform(places, lambda i: T.ngram_at("_kept", i, n)))
+            here = here.withColumn("_terms", terms)
+        else:
+            here = here.withColumn("_terms", T.ngrams("_kept", n))
+        frequent = term_stats(here, "_terms").filter(F.col("df") >= min_df)
+        if n < high:
+            frequent = share(frequent)
+            if held is not None:
+                held.append(frequent)
+            count = frequent.count()
+        if n >= low:
+            found = frequent if found is None else found.unionByName(frequent)
+        if n < high:
+            if not count:
+                break
+            bits = bits_for(count)
+            good = maybe_in_column(spark, key_bitmap(frequent.select(F.xxhash64("term").alias("k")), "k", bits), bits)
+    return found if found is not None else frequent.limit(0)
+
+
 def vocabulary(
     stats: DataFrame, n_rows: int, max_features=MAX_FEATURES, min_df=MIN_DF, max_df=MAX_DF
 ) -> DataFrame:
@@ -70,10 +113,14 @@ def vocabulary(
         "term",
         (F.row_number().over(Window.orderBy("term")) - 1).alias("term_idx"),
         "df", "cf",
-        (F.log(F.lit(1.0 + n_rows) / (1.0 + F.col("df"))) + 1.0).alias("idf"),
+        _idf(n_rows).alias("idf"),
     )
 
 
+def _idf(n_rows: int):
+    return F.log(F.lit(1.0 + n_rows) / (1.0 + F.col("df"))) + 1.0
+
+
 @dataclass
 class TfidfModel:
     """Fitted vocabulary and idf; ``stop`` and ``ngrams`` as used for fitting."""
@@ -171,10 +218,14 @@ def fit_tfidf(
     """
     if max_features > BROADCAST_ROWS:
         raise ValueError("vocabulary above the broadcast bound: use vocabulary() and transform_by_join()")
-    n_rows = df.count()
-    terms = with_terms(df.select(tokens), tokens, stop, ngrams)
-    vocab = vocabulary(term_stats(terms), n_rows, max_features, min_df, max_df)
-    rows = vocab.orderBy("term_idx").collect()
+    kept = share(df.select(tokens))
+    n_rows = kept.count()
+    held = [kept]
+    stats = pruned_stats(kept, tokens, stop, ngrams, max(1, min_df), held)
+    fits = stats.filter(F.col("df") <= F.lit(max_df * n_rows)).orderBy(F.desc("cf"), "term").limit(max_features)
+    rows = sorted(fits.select("term", _idf(n_rows).alias("idf")).collect())
+    for frame in held:
+        frame.unpersist()
     if not rows:
         raise ValueError("no term is left inside the document-frequency limits")
     return TfidfModel(

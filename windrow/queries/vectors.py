@@ -46,7 +46,8 @@ def term_stats(spark, sf):
 
 
 def _vocabulary(spark, sf):
-    return V.vocabulary(V.term_stats(R.chunk_terms(spark, sf)), R.chunks(spark, sf).count())
+    rows = share(R.chunk_tokens(spark, sf).select("tokens"))
+    return V.vocabulary(V.pruned_stats(rows, stop=R.STOP_2), rows.count())
 
 
 @query("vocab_topk", f"WITH {R.TERMS_CTE} SELECT term, df, cf FROM vocab")
