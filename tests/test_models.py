@@ -196,6 +196,30 @@ def test_save_and_load(spark, engine, tmp_path):
         artifacts.load(spark, str(tmp_path / "none"))
 
 
+def test_a_broken_save_leaves_the_last_one_valid(spark, engine, tmp_path, monkeypatch):
+    import copy
+    e, _ = engine
+    path = str(tmp_path / "m")
+    first = artifacts.save(e, spark, path)
+    other = copy.copy(e)
+    other.lemma_map = {"boxes": "box"}
+
+    class Broken:
+        def vocab_table(self, spark):
+            raise OSError("disk full")
+
+        stop, ngrams, n_rows = (), (1, 3), 0
+
+    broken = copy.copy(other)
+    broken.tfidf = Broken()
+    with pytest.raises(OSError):
+        artifacts.save(broken, spark, path)
+    assert artifacts.load(spark, path).lemma_map == e.lemma_map
+    second = artifacts.save(other, spark, path)
+    assert [f for _, f in artifacts.versions(spark, path)] == [first, second]
+    assert artifacts.load(spark, path).lemma_map == {"boxes": "box"} and artifacts.load(spark, path, first).lemma_map == e.lemma_map
+
+
 def test_stream_equals_batch(spark, sf, engine, tmp_path):
     e, _ = engine
     body = F.to_json(F.struct("text", F.lit("fast").alias("speed")))
@@ -222,9 +246,10 @@ def test_evaluation_and_reports(spark, sf, engine, tmp_path):
     assert ev.edge_cases.count() <= 10
     sinks.write_edge_cases(ev.edge_cases, str(tmp_path / "edge"))
     m = engine_metrics(e, x, "2024-01-01 00:00 UTC")
-    sinks.append_metrics(m, str(tmp_path / "metrics"))
-    sinks.append_metrics(m, str(tmp_path / "metrics"))
-    assert spark.read.parquet(str(tmp_path / "metrics")).count() == 28
+    for run in ("run-1", "run-1", "run-2"):
+        sinks.append_metrics(m, str(tmp_path / "metrics"), run)
+    kept = spark.read.parquet(str(tmp_path / "metrics")).groupBy("run_id").count().collect()
+    assert sorted(map(tuple, kept)) == [("run-1", 14), ("run-2", 14)]
 
 
 def _lloyd(x, centers, tol=1e-4, most=300):

@@ -1,4 +1,4 @@
-"""Saving and loading a fitted engine as tables in one folder.
+"""Saving and loading a fitted engine as tables, one folder for each save and a manifest of them.
 
 ``settings`` holds one JSON row, ``vocab`` the terms, ``weights`` every numeric array in
 blocks. All of it is model-sized; the folder can be on any file system Spark can write to.
@@ -7,6 +7,7 @@ blocks. All of it is model-sized; the folder can be on any file system Spark can
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict
 
 import numpy as np
@@ -38,8 +39,32 @@ def _svm_settings(m: SvmModel) -> dict:
             "gaps": m.gaps, "tol": m.tol, "passes": m.passes}
 
 
-def save(engine: Engine, spark: SparkSession, path: str) -> None:
-    """Write (or overwrite) the engine below ``path``."""
+def versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, folder) of every complete save below ``path``, oldest first."""
+    try:
+        rows = spark.read.schema("number bigint, folder string").json(f"{path}/manifest").collect()
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted((r["number"], r["folder"]) for r in rows)
+
+
+def save(engine: Engine, spark: SparkSession, path: str) -> str:
+    """Write the engine to a new version folder below ``path`` and return its name.
+
+    One line of the manifest names each version and is written last, so a save that breaks off
+    leaves the version before it valid. Old versions stay until somebody deletes them.
+    """
+    before = versions(spark, path)
+    folder = f"version-{uuid.uuid4().hex}"
+    _write(engine, spark, f"{path}/{folder}")
+    line = spark.createDataFrame([((before[-1][0] if before else 0) + 1, folder)], "number bigint, folder string")
+    line.coalesce(1).write.mode("append").json(f"{path}/manifest")
+    return folder
+
+
+def _write(engine: Engine, spark: SparkSession, path: str) -> None:
     settings = {
         "labels": asdict(engine.labels), "params": asdict(engine.params),
         "tfidf": {"stop": list(engine.tfidf.stop), "ngrams": list(engine.tfidf.ngrams), "n_rows": engine.tfidf.n_rows},
@@ -54,13 +79,19 @@ def save(engine: Engine, spark: SparkSession, path: str) -> None:
         flat = np.asarray(a, dtype=np.float64).ravel()
         for b in range(0, max(1, len(flat)), BLOCK):
             rows.append((name, [int(x) for x in a.shape], b // BLOCK, bytearray(flat[b : b + BLOCK].tobytes())))
-    spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
-    engine.tfidf.vocab_table(spark).write.mode("overwrite").parquet(f"{path}/vocab")
-    spark.createDataFrame(rows, "name string, shape array<int>, block int, data binary").write.mode("overwrite").parquet(f"{path}/weights")
+    spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.text(f"{path}/settings")
+    engine.tfidf.vocab_table(spark).write.parquet(f"{path}/vocab")
+    spark.createDataFrame(rows, "name string, shape array<int>, block int, data binary").write.parquet(f"{path}/weights")
 
 
-def load(spark: SparkSession, path: str) -> Engine:
-    """Restore a saved engine; a missing folder raises ``FileNotFoundError``."""
+def load(spark: SparkSession, path: str, folder: str | None = None) -> Engine:
+    """Restore the last complete save below ``path``, or the one named; none raises ``FileNotFoundError``."""
+    if folder is None:
+        known = versions(spark, path)
+        if not known:
+            raise FileNotFoundError(f"no saved engine at '{path}'")
+        folder = known[-1][1]
+    path = f"{path}/{folder}"
     try:
         settings_rows = spark.read.text(f"{path}/settings")
         vocab = spark.read.parquet(f"{path}/vocab").orderBy("term_idx").collect()

@@ -19,6 +19,7 @@ def write_edge_cases(cases: DataFrame, path: str) -> None:
     lines.coalesce(1).write.mode("overwrite").text(path)
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """One more training run in the metrics history."""
-    metrics.write.mode("append").parquet(path)
+def append_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
+    """The rows of one training run in the metrics history; a run written again replaces its rows."""
+    keyed = metrics.withColumn("run_id", F.lit(run_id))
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
