@@ -1,7 +1,9 @@
 """The pipeline's stages on the small corpus: every decision takes effect, nothing else is lost."""
 
 import corpus_pipeline
-from tests.llm.test_operators import cut_by_force, groups_by_force
+from pyspark.sql import functions as F
+
+from tests.llm.test_operators import CLASH, ODD, cut_by_force, groups_by_force
 from windrow.llm import langid, registered
 from windrow.llm.shared import table, written
 
@@ -51,3 +53,18 @@ def test_empty_corpus(spark, sf):
 
 def test_all_operators_are_registered():
     assert sorted(int(n.split("_")[0][2:]) for n in registered.QUERIES) == list(range(1, 14))
+
+
+def test_stages_in_a_row_on_odd_rows(spark, sf):
+    """Null, empty and very long texts, repeated rows, null ids and sources, extra columns with clashing names."""
+    docs = spark.createDataFrame(ODD, "doc_id bigint, text string, lang string, source string").repartition(3)
+    docs = docs.select("*", *(F.lit(i).alias(c) for i, c in enumerate(CLASH)))
+    columns, texts = docs.columns, {(d, t) for d, t, *_ in ODD}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, sf), name)
+        assert docs.columns == columns
+        now = {(r["doc_id"], r["text"]) for r in docs.collect()}
+        assert now <= texts and not any(t is None or not t.strip() for _, t in now)  # short lines repeat here, so no text is cut
+        texts = now
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    assert {r["doc_id"] for r in packed} == {d for d, _ in texts} and all(0 < r["length"] <= 2048 for r in packed)
