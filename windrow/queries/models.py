@@ -103,7 +103,7 @@ def mlp_train(spark, sf):
     return _flags(spark, within_epochs=0 < len(losses) <= engine.params.epochs, loss_falls=losses[-1] < losses[0], accurate=hit > 0.8)
 
 
-@query("mlp_score", f"WITH {_CORPUS} SELECT chunk_id AS id, true AS sums_t1, true AS sums_t2, true AS school_in_branch FROM corpus")
+@query("mlp_score", f"WITH {_CORPUS} SELECT chunk_id AS id, true AS sums_t1, true AS sums_t2, true AS school_is_likeliest FROM corpus")
 def mlp_score(spark, sf):
     """Branch and masked school probabilities of every training row."""
     engine, vectors = engine_for(spark, sf)
@@ -112,7 +112,7 @@ def mlp_score(spark, sf):
     best = F.array_max(F.map_values("tier2.probabilities"))
     known = F.col("tier2.label").isin(*lab.t2) & (F.element_at("tier2.probabilities", F.col("tier2.label")) == best)
     return p.select("id", _sums_to_one("tier1.probabilities").alias("sums_t1"), _sums_to_one("tier2.probabilities").alias("sums_t2"),
-                    known.alias("school_in_branch"))
+                    known.alias("school_is_likeliest"))
 
 
 @query("kmeans_fit", "SELECT unnest(range(10))::INTEGER AS restart, true AS kept_is_least, true AS cost_is_assignments")
