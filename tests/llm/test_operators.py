@@ -170,6 +170,58 @@ def test_bare_at_with_any_dots_and_case():
         assert disguises(clean) == [], clean
 
 
+def test_defanged_spaced_and_joined_forms():
+    for mail in ("jane[@]mail[.]com", "jane @ mail . com", "jane -at- mail -dot- com", "jane_at_mail_dot_com", "jane-at-mail-dot-co-dot-uk", "jane(@)mail.com",
+                 "jane@mail[.]com", "jane{at}mail{dot}com", "jane@mail . co . uk", "jane @ mail.com"):
+        assert disguises(f"mail {mail} today") == [("email", mail)], mail
+    for ip in ("192[.]168[.]1[.]1", "192 . 168 . 1 . 1", "192(.)168(.)1(.)1", "l92.168.1.1", "1O.0.0.1", "192.168.O.l"):
+        assert disguises(f"host {ip} is up") == [("ip", ip)], ip
+    for card in ("4lll llll llll llll", "4111-1111-1111-llll", "4ll11ll111l11l1l"):
+        assert disguises(f"card {card} ok") == [("card", card)], card
+    for phone in ("plus four nine one seven six one two three four five six seven", "plus 49 one seven six 1234567", "+49 l76 l234567", "+49 one seven six 1234567"):
+        assert disguises(f"call {phone} now") == [("phone", phone)], phone
+    for clean in ("the polka-dot-dress at home", "we stay-at-home.com", "see you @ home . it rains", "chapter 1 . 2 . 3 is long", "in 10 lo 20 Il 30", "two plus four nine one",
+                  "see us @ the shop. it is fine", "a meet_at_noon note", "v1.O and 2.l", "level 0l0 of 5", "user@host . It works", "look-at-me-dot", "(.) and [.] and [@]"):
+        assert disguises(clean) == [], clean
+
+
+WORDS = "garden river never under stone paper little winter morning yellow".split()
+SPELL = "zero one two three four five six seven eight nine".split()
+
+
+def disguise(rng, value, kind):
+    """``value`` in one of the forms the transducer knows."""
+    def pick(*forms):
+        return forms[rng.integers(len(forms))]
+
+    if kind == "email":
+        at, dot = pick(("[at]", "[dot]"), (" (at) ", " (dot) "), (" at ", " dot "), ("[@]", "[.]"), (" @ ", " . "), (" -at- ", " -dot- "), ("_at_", "_dot_"), ("@", "\u200b."), ("\uff20", "."))
+        return value.replace(".", dot).replace("@", at)
+    if kind == "ip":
+        form = pick("[.]", " dot ", " . ", " (dot) ")
+        return value.replace(".", form) if rng.random() < 0.7 else " ".join(" ".join(SPELL[int(c)] for c in p) + " dot" for p in value.split("."))[: -len(" dot")]
+    if kind == "card":
+        return value.replace("1", pick("l", "I", "\uff11")) if rng.random() < 0.5 else " ".join(SPELL[int(c)] for c in value)
+    digits = value[1:]
+    return pick("plus ", "+") + " ".join(SPELL[int(c)] for c in digits) if rng.random() < 0.5 else "+" + digits.replace("1", pick("l", "\u0661"))
+
+
+def test_random_disguises_come_back_at_their_offsets():
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        parts, want, at = [], [], 0
+        for _ in range(int(rng.integers(1, 5))):
+            words = " ".join(rng.choice(WORDS, int(rng.integers(2, 8)))) + ". note "
+            kind = str(rng.choice(["email", "ip", "card", "phone"]))
+            value = {"email": "jane@mail.com", "ip": "192.168.1.13", "card": "4111111111111111", "phone": "+49176123457"}[kind]
+            shown = disguise(rng, value, kind)
+            parts += [words, shown, ", "]
+            want.append((at + len(words), at + len(words) + len(shown), kind))
+            at += len(words) + len(shown) + 2
+        text = "".join(parts)
+        assert sorted(pii.disguised(text, pii.plain(text))) == want, (text, want, [text[a:b] for a, b, _ in pii.disguised(text, pii.plain(text))])
+
+
 def test_pii_rows(odd, nothing):
     got = {(r["doc_id"], r["base_sha256"], r["spans"]) for r in pii.find_pii(odd).collect()}
     for d, text, *_ in ODD:

@@ -1,11 +1,12 @@
 """Personal data in texts: plain identifiers, and disguised ones found behind a transducer.
 
 Plain identifiers are found by patterns on the text itself. Then a transducer rewrites only the
-places where a disguise is possible (look-alike letters and digits, spelled digits, ``at`` and
-``dot`` in words or brackets, zero-width characters) and keeps, for every character it emits, the
+places where a disguise is possible (look-alike letters and digits, letters for digits, spelled
+digits, ``at`` and ``dot`` in words, brackets, blanks or dashes, zero-width characters) and keeps, for every character it emits, the
 source span it came from. The same patterns run on the rewritten text; what they find is mapped
 back to source offsets and added if it holds at least one rewritten place and each plain span of
-its kind that it meets is a smaller part of it. Plain spans always stay.
+its kind that it meets is a smaller part of it; a card inside a phone number is not added.
+Plain spans always stay.
 
 All patterns are linear in the text: runs are entered at their start only, and matched without
 giving characters back. Texts are read whole and offsets are code points.
@@ -108,10 +109,25 @@ _ZERO_WIDTH = "​‌‍⁠﻿­"
 # A text without any of these cannot hold a disguise. Full-width and mathematical forms fold to
 # ASCII by compatibility; spelled digits count in runs of three or more only.
 _WORD_DIGIT = "zero|one|two|three|four|five|six|seven|eight|nine|oh"
-_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:{_WORD_DIGIT})(?:[ ,.-]+(?:{_WORD_DIGIT}|[0-9]++)(?![A-Za-z])){{2,}}", re.I)
-# A bare ``at`` needs a domain after it, whose labels dots join when dot words are resolved.
-_AT = re.compile(r" ?[\[({<] ?at ?[\])}>] ?|(?<=[A-Za-z0-9]) at (?=([A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++))", re.I)
-_BARE_AT = re.compile(r"[A-Za-z0-9] at [A-Za-z0-9-]++\.[A-Za-z0-9]", re.I)
+_RUN = re.compile(
+    rf"(?<![A-Za-z0-9])(?:(plus[ ,.-]+)(?:{_WORD_DIGIT}|[0-9]++)(?![A-Za-z])|(?:{_WORD_DIGIT}))"
+    rf"(?:[ ,.-]+(?:{_WORD_DIGIT}|[0-9]++)(?![A-Za-z])){{2,}}", re.I)
+# A bare ``at`` or a loose ``@`` needs a domain after it, whose labels dots join when dot words are resolved.
+_AT = re.compile(
+    r" ?[\[({<] ?(?:at|@) ?[\])}>] ?| -at- |(?<=[A-Za-z0-9])(?: at | @ ?|@ )(?=([A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++))", re.I)
+_BARE_AT = re.compile(r"[A-Za-z0-9](?: at | @ ?|@ )[A-Za-z0-9-]++\.[A-Za-z0-9]", re.I)
+# A whole address whose words a dash or an underscore joins.
+_JOINED = re.compile(r"(?<=[A-Za-z0-9])([-_])at\1(?=([A-Za-z0-9]++(?:\1dot\1[A-Za-z0-9]++)++))", re.I)
+_JOINED_DOT = re.compile(r"[-_]dot[-_]", re.I)
+# Dots between blanks: in a domain behind ``@``, or between the four parts of an address of digits.
+_LOOSE_DOMAIN = re.compile(r"(?<=[A-Za-z0-9])(?: ?@ ?| ?[\[({<] ?(?:at|@) ?[\])}>] ?| -at- )([A-Za-z0-9-]++(?: \. [A-Za-z0-9-]++)++)(?!\.?[A-Za-z0-9])", re.I)
+_LOOSE_IP = re.compile(r"(?<![0-9.])[0-9lIOo]{1,3}(?: \. [0-9lIOo]{1,3}){3}(?! ?\.? ?[0-9])(?![A-Za-z])")
+_LOOSE_DOT = re.compile(r" \. ")
+# Groups of digits among which letters stand for one and nought.
+_LETTERED = re.compile(r"(?<![A-Za-z0-9])[0-9lIOo]++(?![A-Za-z0-9])(?:[ .-][0-9lIOo]++(?![A-Za-z0-9]))*+")
+_LETTER_HINT = re.compile(r"[0-9]\.?[lIOo]|[lIOo]\.?[0-9]|[0-9][ -][lIOo]{3}|[lIOo]{3}[ -][0-9]")
+_LETTER_GROUP = re.compile(r"[0-9lIOo]+")
+_AS_DIGIT = str.maketrans("lIOo", "1100")
 # Ends of domains (fixed values), asked for where every dot is a literal one.
 _ENDS = frozenset(
     "com org net edu gov mil int info biz name pro aero coop museum mobi jobs travel cat tel post xyz app dev online site shop store blog cloud tech email live news "
@@ -126,11 +142,12 @@ _NO_LOCAL = frozenset(
     "living work works worked working worker met meet meets arrive arrives arrived stop stopped start starts started end ends ended page pages site website blog read "
     "more here there now and or not only also visit visited visiting shop shopping buy bought sold posted published documented described listed located based documentation "
     "docs download downloads downloaded register registered registering sign signed stay stayed aim aimed people team everyone".split())
-_DOT = re.compile(r" ?[\[({<] ?dot ?[\])}>] ?|(?<=[A-Za-z0-9]) dot (?=[A-Za-z0-9])", re.I)
+_DOT = re.compile(r" ?[\[({<] ?(?:dot|\.) ?[\])}>] ?|(?<=[A-Za-z0-9])(?: dot | -dot- )(?=[A-Za-z0-9])", re.I)
 _ODD = re.compile(
     f"[{_ZERO_WIDTH}{''.join(_ALIKE)}‐-―−․。！-～\U0001d400-\U0001d7ff"
     "٠-٩۰-۹①-⑳]")
-_BRACKET_AT = re.compile(r"[\[({<] ?(?:at|dot) ?[\])}>]", re.I)
+_BRACKET_AT = re.compile(r"[\[({<] ?(?:at|dot|@|\.) ?[\])}>]", re.I)
+_DASHED = re.compile(r"[-_](?:at|dot)[-_]", re.I)
 _SPELL_HINT = re.compile(rf"\b(?:{_WORD_DIGIT})\b[ ,.-]+(?:{_WORD_DIGIT}|[0-9])|[0-9]\.(?:{_WORD_DIGIT})\b", re.I)
 # Four parts of up to three digits, spelled or not, with dots between them.
 _DIGITS = rf"(?:[0-9]{{1,3}}|(?:{_WORD_DIGIT})(?:[ -](?:{_WORD_DIGIT}|[0-9](?![0-9]))(?![A-Za-z])){{0,2}})(?![A-Za-z0-9])"
@@ -209,8 +226,10 @@ def transduce(text: str) -> Transduced | None:
     """The text with its possible disguises resolved; None if there is nothing to resolve."""
     odd = not text.isascii() and _ODD.search(text)
     spelled = _SPELL_HINT.search(text)
-    worded = _BRACKET_AT.search(text) or _DOT_WORD.search(text) or _BARE_AT.search(text)
-    if not (odd or spelled or worded):
+    worded = _BRACKET_AT.search(text) or _DOT_WORD.search(text) or _BARE_AT.search(text) or _DASHED.search(text)
+    loose = " . " in text and ("@" in text or _LOOSE_IP.search(text) or _LOOSE_DOMAIN.search(text))
+    lettered = _LETTER_HINT.search(text)
+    if not (odd or spelled or worded or loose or lettered):
         return None
     now = Transduced(text)
     if odd:
@@ -222,7 +241,10 @@ def transduce(text: str) -> Transduced | None:
         now = now.rewrite(edits)
     # Dots come first: they separate the parts of spelled digits and the labels after a bare ``at``.
     now = now.rewrite([(m.start(), m.end(), ".") for m in _DOT.finditer(now.text)])
+    now = now.rewrite(joined_words(now.text))
+    now = now.rewrite(loose_dots(now.text))
     now = now.rewrite(spelled_digits(now.text))
+    now = now.rewrite(lettered_digits(now.text))
     return now.rewrite([(m.start(), m.end(), "@") for m in _AT.finditer(now.text) if addressed(now, m)])
 
 
@@ -248,8 +270,69 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
 
 
 def joined_runs(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
-    return [(run.start(), run.end(), "".join(_SPELLED.get(w.lower(), w) for w in re.findall(rf"{_WORD_DIGIT}|[0-9]+", run.group(), re.I)))
-            for run in _RUN.finditer(text, start, end)]
+    """Runs of spelled digits as one number; a spelled plus belongs to 9 to 15 digits only."""
+    edits = []
+    for run in _RUN.finditer(text, start, end):
+        at = run.end(1) if run.group(1) else run.start()
+        digits = "".join(_SPELLED.get(w.lower(), w) for w in re.findall(rf"{_WORD_DIGIT}|[0-9]+", text[at : run.end()], re.I))
+        if run.group(1) and 9 <= len(digits) <= 15:
+            edits.append((run.start(), run.end(), "+" + digits))
+        else:
+            edits.append((at, run.end(), digits))
+    return edits
+
+
+def joined_words(text: str) -> list[tuple[int, int, str]]:
+    """Edits of addresses written in one piece, as ``name_at_mail_dot_com``."""
+    edits: list[tuple[int, int, str]] = []
+    for m in _JOINED.finditer(text):
+        if edits and m.start() < edits[-1][1]:
+            continue
+        edits.append((m.start(), m.end(), "@"))
+        edits += ((d.start(), d.end(), ".") for d in _JOINED_DOT.finditer(text, m.end(), m.end(2)))
+    return edits
+
+
+def loose_dots(text: str) -> list[tuple[int, int, str]]:
+    """Edits of dots between blanks where a domain with a known end, or four parts of digits, need them."""
+    if " . " not in text:
+        return []
+    places = [m.span() for m in _LOOSE_IP.finditer(text)]
+    for m in _LOOSE_DOMAIN.finditer(text):
+        # A known end in small letters: a sentence that follows would begin with a capital.
+        labels, at = m.group(1).split(" . "), m.start(1)
+        known = [i for i, label in enumerate(labels) if i and label in _ENDS]
+        if known:
+            places.append((at, at + len(" . ".join(labels[: known[-1] + 1]))))
+    return [(d.start(), d.end(), ".") for a, b in sorted(places) for d in _LOOSE_DOT.finditer(text, a, b)]
+
+
+def lettered_digits(text: str) -> list[tuple[int, int, str]]:
+    """Edits of letters that stand for digits, where the digits make a card, an address or a phone number."""
+    edits: list[tuple[int, int, str]] = []
+    for m in _LETTERED.finditer(text):
+        run = m.group()
+        if len(run) < 7 or not _DIGIT.search(run) or run.isdigit():
+            continue
+        groups = list(_LETTER_GROUP.finditer(run))
+        # Words of one or two letters at the ends (``I``, ``lo``) are words, but for parts of an address.
+        if run.count(".") != 3:
+            while groups and short_word(groups[0].group()):
+                groups.pop(0)
+            while groups and short_word(groups[-1].group()):
+                groups.pop()
+        if not groups:
+            continue
+        start, end = m.start() + groups[0].start(), m.start() + groups[-1].end()
+        new = text[start:end].translate(_AS_DIGIT)
+        digits = "".join(_DIGIT.findall(new))
+        card = "." not in new and 12 <= len(digits) <= 19 and luhn(digits)
+        phone = start > 0 and text[start - 1] == "+" and 9 <= len(digits) <= 15
+        parts = new.split(".")
+        ip = len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+        if card or phone or (ip and len(_DIGIT.findall(text[start:end])) >= 2):
+            edits += ((start + i, start + i + 1, d) for i, d in enumerate(new) if d != text[start + i])
+    return edits
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
@@ -272,7 +355,18 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
             at += 1
         if all(start <= x and y <= end and y - x < end - start for x, y in met):
             found.append((start, end, kind))
-    return found
+    calls = sorted((a, b) for a, b, kind in [*base, *found] if kind == "phone")
+    return [s for s in found if s[2] != "card" or not within(calls, s)]
+
+
+def short_word(group: str) -> bool:
+    return len(group) < 3 and not _DIGIT.search(group)
+
+
+def within(spans: list[tuple[int, int]], span: Span) -> bool:
+    """Whether one of the ordered spans holds ``span``."""
+    at = bisect_right(spans, (span[0], float("inf"))) - 1
+    return at >= 0 and spans[at][1] >= span[1]
 
 
 def digest(spans: list[Span]) -> str:
@@ -281,13 +375,13 @@ def digest(spans: list[Span]) -> str:
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): counts and digest of the plain spans, number of
-    spans added by the transducer, all spans as ``kind:start:end`` text."""
+    spans added by the transducer and of all spans, all spans as ``kind:start:end`` text."""
     docs = docs.select("doc_id", "text")
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts: dict[str, list[int]] = {k: [] for k in KINDS}
-            hashes, added, joined = [], [], []
+            hashes, added, every, joined = [], [], [], []
             for text in texts(batch):
                 base = plain(text)
                 more = disguised(text, base)
@@ -295,17 +389,18 @@ def find_pii(docs: DataFrame) -> DataFrame:
                     counts[k].append(sum(s[2] == k for s in base))
                 hashes.append(hashlib.sha256(digest(base).encode()).hexdigest())
                 added.append(len(more))
+                every.append(len(base) + len(more))
                 joined.append(digest(ordered(base + more)))
             made = [pa.array(counts[k], pa.int64()) for k in KINDS]
-            made += [pa.array(hashes, pa.string()), pa.array(added, pa.int64()), pa.array(joined, pa.string())]
-            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "n_disguised", "spans"]
+            made += [pa.array(hashes, pa.string()), pa.array(added, pa.int64()), pa.array(every, pa.int64()), pa.array(joined, pa.string())]
+            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "n_disguised", "n_spans", "spans"]
             return pa.RecordBatch.from_arrays([column(batch, "doc_id"), *made], names=names)
 
         return step
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return per_batch(docs, make, f"doc_id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
-                     "base_sha256 string, n_disguised bigint, spans string")
+                     "base_sha256 string, n_disguised bigint, n_spans bigint, spans string")
 
 
 def redact(docs: DataFrame) -> DataFrame:
