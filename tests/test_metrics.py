@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from windrow.operators import clustering as K
 from windrow.operators import metrics as M
@@ -37,6 +38,10 @@ def test_majority_tie_takes_lowest_code(spark):
 
 
 def brute_silhouette(x, k, squared):
+    return float(np.mean(brute_silhouettes(x, k, squared)))
+
+
+def brute_silhouettes(x, k, squared):
     d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
     d = d if squared else np.sqrt(d)
     out = []
@@ -48,7 +53,7 @@ def brute_silhouette(x, k, squared):
         a = d[i, own].sum() / (own.sum() - 1)
         b = min(d[i, k == c].mean() for c in set(k) - {k[i]})
         out.append((b - a) / max(a, b))
-    return float(np.mean(out))
+    return out
 
 
 def test_silhouettes_against_brute_force(spark):
@@ -60,6 +65,13 @@ def test_silhouettes_against_brute_force(spark):
     sparse = spark.createDataFrame(
         [([int(j) for j in np.flatnonzero(r)], [float(z) for z in r[np.flatnonzero(r)]], int(c)) for r, c in zip(x, k)],
         "idx array<int>, val array<double>, cluster int")
+    for rows in (sparse, K.sparse_form(dense, "v")):
+        per_row = K.silhouette_rows(rows.withColumn("id", F.monotonically_increasing_id()), 6)
+        got = [r["silhouette"] for r in per_row.orderBy("id").collect()]
+        assert got == pytest.approx(brute_silhouettes(x, k, True))
+    odd = sparse.limit(3).unionByName(spark.createDataFrame([(None, None, 1), ([0], [1.0], None)], sparse.schema))
+    assert sorted(str(r["silhouette"]) for r in K.silhouette_rows(odd, 6).collect()) == ["0.0"] * 3 + ["None"] * 2  # one cluster only
+    assert K.silhouette_rows(sparse.limit(0), 6).count() == 0
     vectors = with_vector(sparse, 6)
     assert K.silhouette_squared(vectors, "features") == pytest.approx(brute_silhouette(x, k, True))
 

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from windrow.models.numeric import Rows, sum_over_rows
 from windrow.scale import ship
 
 
@@ -100,3 +104,63 @@ def silhouette_squared(df: DataFrame, vec: str, cluster: str = "cluster") -> flo
     features = F.col(vec) if ready_made else array_to_vector(F.col(vec).cast("array<double>"))
     ready = df.select(features.alias("features"), F.col(cluster).cast("double").alias("prediction"))
     return ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(ready)
+
+
+def sparse_form(df: DataFrame, vec: str) -> DataFrame:
+    """``df`` with the array column ``vec`` as sparse columns ``idx`` and ``val``."""
+    return df.withColumn("idx", F.sequence(F.lit(0), F.size(vec) - 1)).withColumnRenamed(vec, "val")
+
+
+def silhouette_rows(df: DataFrame, width: int, cluster: str = "cluster") -> DataFrame:
+    """Add ``silhouette`` (squared Euclidean) to every row with ``idx``, ``val`` and a cluster code.
+
+    Count, sum and sum of squares of each cluster give a row's mean squared distance to every
+    cluster, so two linear passes do: one small partial per task, then a narrow step with a matrix
+    product per batch. ``idx`` and ``val`` are dropped. Rows without a cluster or a vector get null,
+    rows of a cluster of one, or of the only cluster, 0.
+    """
+    spark, given = df.sparkSession, F.col(cluster).isNotNull() & F.col("idx").isNotNull()
+    ship(spark)
+    known = sorted((int(r[0]), r[1]) for r in df.filter(given).groupBy(cluster).count().collect())
+    codes, sizes = np.array([c for c, _ in known], dtype=np.int64), np.array([n for _, n in known], dtype=np.float64)
+    k = len(codes)
+
+    def sums(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        rows = Rows.from_arrow(batch)
+        member = np.equal.outer(batch.column(0).to_numpy(zero_copy_only=False), codes).astype(np.float64)
+        return {"sum": rows.transposed_dot(member, width).T, "square": rows.squared_norms() @ member}
+
+    total = {"sum": np.zeros((0, width)), "square": np.zeros(0)}
+    if k:
+        rows = df.filter(given).select(F.col(cluster).cast("bigint").alias("_c"), "idx", "val")
+        total = sum_over_rows(rows, ["_c", "idx", "val"], sums, {"sum": (k, width), "square": (k,)}, rows.rdd.getNumPartitions())
+    stats = spark.sparkContext.broadcast((np.ascontiguousarray((total["sum"] / sizes[:, None]).T), total["square"] / sizes))
+    keep = [c for c in df.columns if c not in ("idx", "val")]
+
+    def run(batches):
+        means, squares = stats.value
+        for b in batches:
+            code = b.column(b.schema.get_field_index(cluster))
+            ok = np.asarray(pc.and_(code.is_valid(), b.column(b.schema.get_field_index("idx")).is_valid()))
+            out, at = np.full(b.num_rows, np.nan), np.flatnonzero(ok)
+            if len(at):
+                some = b.take(pa.array(at))
+                rows = Rows.from_arrow(some)
+                own = np.searchsorted(codes, some.column(some.schema.get_field_index(cluster)).to_numpy(zero_copy_only=False))
+                out[at] = _silhouettes(rows.squared_norms()[:, None] + squares - 2 * rows.dot(means), own, sizes)
+            kept = [b.column(b.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(out, mask=~ok)], names=[*keep, "silhouette"])
+
+    target = StructType([df.schema[c] for c in keep] + [StructField("silhouette", DoubleType())])
+    return df.withColumn("idx", F.col("idx").cast("array<int>")).withColumn("val", F.col("val").cast("array<double>")).mapInArrow(run, target)
+
+
+def _silhouettes(far: np.ndarray, own: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Silhouettes from mean squared distances to every cluster, the own one with the row itself in it."""
+    at, n = np.arange(len(own)), sizes[own]
+    a = far[at, own] * n / np.maximum(n - 1, 1)
+    far[at, own] = np.inf
+    b = far.min(axis=1)
+    top = np.maximum(a, b)
+    good = (n > 1) & np.isfinite(b) & (top > 0)
+    return np.where(good, (np.where(good, b, 0.0) - a) / np.where(good, top, 1.0), 0.0)

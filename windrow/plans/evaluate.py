@@ -11,7 +11,6 @@ from windrow.functions import probs as P
 from windrow.functions import text as T
 from windrow.operators import balance, clustering
 from windrow.operators import metrics as M
-from windrow.operators.tfidf import with_vector
 from windrow.plans.engine import Engine
 from windrow.scale import share
 from windrow.sources.documents import ingest
@@ -21,18 +20,19 @@ def scatter_table(points: DataFrame, centers: DataFrame, names: DataFrame) -> Da
     """``(kind, id, cluster, name, x, y)``: projected points and, below them, the centroids.
 
     ``names(cluster, name)`` has one row per cluster in use; a cluster without points keeps
-    a plain name.
+    a plain name. A column ``silhouette`` of the points is kept; centroids have none.
     """
     lookup = F.broadcast(names)
+    more = [c for c in points.columns if c == "silhouette"]
     dots = points.join(lookup, "cluster").select(
-        F.lit("point").alias("kind"), F.col("id").cast("string").alias("id"), "cluster", "name", "x", "y"
+        F.lit("point").alias("kind"), F.col("id").cast("string").alias("id"), "cluster", "name", "x", "y", *more
     )
     spots = centers.join(lookup, "cluster", "left").select(
         F.lit("centroid").alias("kind"), F.col("cluster").cast("string").alias("id"), "cluster",
         F.coalesce("name", F.concat(F.lit("Cluster "), F.col("cluster").cast("string"))).alias("name"),
         "x", "y",
     )
-    return dots.unionByName(spots)
+    return dots.unionByName(spots, allowMissingColumns=True)
 
 
 @dataclass
@@ -74,17 +74,17 @@ def evaluate(
         report = r if report is None else report.unionByName(r)
 
     spark = books.sparkSession
-    sparse = raw.select("km_slow", "sparse.idx", "sparse.val")
-    vectors = with_vector(sparse, engine.tfidf.width)
-    silhouette = ("silhouette_sq", clustering.silhouette_squared(vectors, "features", "km_slow"))
+    sparse = raw.select(F.col("chunk_id").alias("id"), F.col("km_slow").alias("cluster"),
+                        F.col("pca_x").alias("x"), F.col("pca_y").alias("y"), "sparse.idx", "sparse.val")
+    points = share(clustering.silhouette_rows(sparse, engine.tfidf.width))
+    silhouette = ("silhouette_sq", points.agg(F.avg("silhouette")).first()[0])
+    rows.unpersist()  # all scored rows are kept by now
     both = _entropy_scores(raw)
     scores = [silhouette, ("homogeneity", both["homogeneity"]), ("completeness", both["completeness"])]
     clusters = spark.createDataFrame(scores, "metric string, value double")
 
     majority = clustering.cluster_majority(raw, "km_slow", "t2_idx")
     names = majority.select(F.col("km_slow").alias("cluster"), P.label_at(lab.t2, "majority").alias("name"))
-    points = raw.select(F.col("chunk_id").alias("id"), F.col("km_slow").alias("cluster"),
-                        F.col("pca_x").alias("x"), F.col("pca_y").alias("y"))
     spots = engine.cluster_meta(spark).select("cluster", "x", "y")
     wrong = raw.select(
         "t2_idx", "seq", "source_id", "pos", "text",

@@ -56,17 +56,32 @@ def cluster_majority(spark, sf):
     return K.cluster_majority(R.assigned(spark, sf))
 
 
-@query("silhouette", f"""{_A},
-d AS (SELECT a.vec_id, a.cluster AS ca, b.cluster AS cb, sum(power(list_distance(a.e, b.e), 2)) AS s, count(*) AS n
+_PAIR_SUMS = """d AS (SELECT a.vec_id, a.cluster AS ca, b.cluster AS cb, sum(power(list_distance(a.e, b.e), 2)) AS s, count(*) AS n
   FROM assigned a, assigned b GROUP BY ALL),
 i AS (SELECT vec_id, any_value(s / (n - 1)) AS a, any_value(n) AS n FROM d WHERE ca = cb GROUP BY vec_id),
-o AS (SELECT vec_id, min(s / n) AS b FROM d WHERE ca <> cb GROUP BY vec_id)
+o AS (SELECT vec_id, min(s / n) AS b FROM d WHERE ca <> cb GROUP BY vec_id)"""
+
+
+@query("silhouette", f"""{_A},
+{_PAIR_SUMS}
 SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_sq FROM i JOIN o USING (vec_id)""")
 def silhouette(spark, sf):
     value = K.silhouette_squared(R.assigned(spark, sf), "embedding")
     return spark.createDataFrame([(round(value, 6),)], "silhouette_sq double")
 
 
+@query("silhouette_rows", f"""{_A},
+{_PAIR_SUMS}
+SELECT vec_id, ca AS cluster, round(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette
+FROM i JOIN o USING (vec_id) JOIN (SELECT vec_id, cluster AS ca FROM assigned) USING (vec_id)""")
+def silhouette_rows(spark, sf):
+    """Silhouette of every vector under its nearest class mean."""
+    rows = share(R.assigned(spark, sf).select("vec_id", "cluster", "embedding"))
+    width = rows.select(F.max(F.size("embedding"))).first()[0] or 0
+    got = K.silhouette_rows(K.sparse_form(rows, "embedding"), width)
+    return got.select("vec_id", "cluster", F.round("silhouette", 6).alias("silhouette"))
+
+
 @query("homogeneity_completeness", f"""{_A}, t AS (SELECT count(*) AS t FROM assigned),
 ck AS (SELECT y_true AS c, cluster AS k, count(*) AS n FROM assigned GROUP BY ALL),
 c AS (SELECT c, sum(n) AS nc FROM ck GROUP BY c), k AS (SELECT k, sum(n) AS nk FROM ck GROUP BY k),
