@@ -12,6 +12,7 @@ from windrow.operators.lexicon import read_lexicon
 from windrow.plans import engine as E
 from windrow.queries import roles as R
 from windrow.scale import checkpoint_dir, share
+from windrow.sources import books as B
 from windrow.sources import catalog as C
 from windrow.sources import documents as D
 from windrow.sources import requests as Q
@@ -39,11 +40,28 @@ def catalog_scan(spark, sf):
 
 @query("read_books", "SELECT item_id AS source_id, text FROM benchmark")
 def read_books(spark, sf):
-    items = R.table(spark, sf, "benchmark")
+    return B.good(B.read_files(spark, _written_books(spark, sf), min_chars=0))
+
+
+def _written_books(spark, sf) -> str:
+    """A folder with one file per benchmark item."""
     folder = f"{checkpoint_dir(spark)}/books-{uuid.uuid4().hex}"
-    items.select("item_id", F.col("text").alias("value")).write.partitionBy("item_id").text(folder)
-    books = D.read_books(spark, folder, pattern=r"item_id=(\d+)")
-    return books.select("source_id", F.regexp_replace("text", r"\n\z", "").alias("text"))
+    items = R.table(spark, sf, "benchmark").select(F.col("item_id").alias("source_id"), F.col("text").alias("content"))
+    B.write_files(items, folder)
+    return folder
+
+
+# Bytes up to which a file counts as a reject in the query below.
+REJECT_BYTES = 300
+
+
+@query("book_rejects", f"""SELECT item_id AS source_id, CASE WHEN octet_length(encode(text)) <= {REJECT_BYTES}
+  THEN 'no more than {REJECT_BYTES} characters' ELSE '' END AS error, octet_length(encode(text)) > {REJECT_BYTES} AS has_text FROM benchmark""")
+def book_rejects(spark, sf):
+    """Books and rejects of one read, side by side."""
+    files = share(B.read_files(spark, _written_books(spark, sf), min_chars=REJECT_BYTES))
+    rejects = B.bad(files).select("source_id", "error", F.lit(False).alias("has_text"))
+    return B.good(files).select("source_id", F.lit("").alias("error"), F.lit(True).alias("has_text")).unionByName(rejects)
 
 
 @query("first_valid_candidate", """SELECT conv_id,
