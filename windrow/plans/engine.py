@@ -64,7 +64,8 @@ class Params:
 class Engine:
     """Fitted models. ``lemma_map`` holds the lemmas that can matter to the vocabulary.
 
-    ``checks`` holds the ``(name, status, detail)`` rows of the integrity gate of a build.
+    ``checks`` holds the ``(name, status, detail)`` rows of the integrity gate of a build, ``audit``
+    the rows of its audit table.
     """
 
     labels: Labels
@@ -78,6 +79,7 @@ class Engine:
     pca: PcaModel
     lemma_map: dict[str, str] = field(default_factory=dict)
     checks: list[tuple[str, str, str]] = field(default_factory=list)
+    audit: list[tuple] = field(default_factory=list)
     _lookup: object = field(default=None, repr=False, compare=False)
 
     def vectors(self, df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -229,7 +231,14 @@ def build(books: DataFrame, catalog: DataFrame, taxonomy: DataFrame, params: Par
     The cheap integrity gate runs before anything is vectorised; a warning stops the build only
     if ``strict``.
     """
-    params, books = params or Params(), ingest(books)
+    engine, vectors, counts = build_from(ingest(books), catalog, taxonomy, params or Params(), lemmas, strict)
+    counts.unpersist()
+    return engine, vectors
+
+
+def build_from(books: DataFrame, catalog: DataFrame, taxonomy: DataFrame, params: Params,
+               lemmas: DataFrame | None = None, strict: bool = False) -> tuple[Engine, DataFrame, DataFrame]:
+    """:func:`build` of ingested books; also returns the windows per source that were counted."""
     counts = balance.counts_until_full(books, catalog, params.quota, params.chunk_words)
     corpus = share(balance.balanced(books, counts, taxonomy, params.quota, params.chunk_words))
     checks = [tuple(r) for r in integrity.integrity_report(corpus).collect()]
@@ -237,6 +246,6 @@ def build(books: DataFrame, catalog: DataFrame, taxonomy: DataFrame, params: Par
         raise ValueError(f"integrity check failed: {checks}")
     engine, vectors = fit_engine(corpus, taxonomy, params, lemmas)
     engine.checks = checks
+    engine.audit = [tuple(r) for r in balance.audit_table(balance.pool_sizes(counts, taxonomy, params.quota), params.quota).collect()]
     corpus.unpersist()
-    counts.unpersist()
-    return engine, vectors
+    return engine, vectors, counts

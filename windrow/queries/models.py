@@ -7,6 +7,8 @@ tables (ids, counts, sums) next to flags, all computed from the models' output o
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from windrow.operators.metrics import macro_metrics
 from windrow.plans import engine as E
 from windrow.plans.evaluate import evaluate
 from windrow.plans.report import engine_metrics
+from windrow.plans.train import train
 from windrow.queries import corpus as C
 from windrow.queries import roles as R
 from windrow.scale import checkpoint_dir, share
@@ -62,6 +65,35 @@ def _flags(spark, **flags: bool) -> DataFrame:
     return spark.createDataFrame([tuple(bool(v) for v in flags.values())], ", ".join(f"{k} boolean" for k in flags))
 
 
+# Bytes up to which a source counts as unreadable here: too few for one window of words.
+_SHORT = 190
+
+
+@query("training_run", f"""WITH audit AS ({C.ORACLES['audit_table']}), progress AS ({C.ORACLES['ingest_progress']}),
+pairs AS (SELECT m, x FROM (SELECT unnest(['svm_slow', 'svm_fast']) AS m), (SELECT unnest(['accuracy', 'precision', 'recall', 'f1_macro', 'n_margin_rows']) AS x)
+  UNION ALL SELECT m, x FROM (SELECT unnest(['kmeans_slow', 'kmeans_fast']) AS m), (SELECT unnest(['inertia', 'n_clusters']) AS x))
+SELECT 'audit' AS part, t2 AS key, n::BIGINT AS n FROM audit UNION ALL
+SELECT 'progress', t2, sum(taken)::BIGINT FROM progress GROUP BY t2 UNION ALL
+SELECT 'reject', doc_id::VARCHAR, 1 FROM documents WHERE coalesce(octet_length(encode(text)), 0) <= {_SHORT} UNION ALL
+SELECT 'metric', m || '.' || x, (SELECT n FROM audit WHERE t2_idx = -1)::BIGINT FROM pairs""")
+def training_run(spark, sf):
+    """A whole run with short fits, from ranked copies in bytes (the better-ranked one is cut off)."""
+    whole = R.books(spark, sf).select("source_id", F.lit(1).alias("copy"), F.encode("text", "UTF-8").alias("text"))
+    cut = R.books(spark, sf).select("source_id", F.lit(0).alias("copy"), F.encode(F.substring("text", 1, 40), "UTF-8").alias("text"))
+    short = replace(settings(), epochs=4, restarts=2, svm_features=128, kmeans_max_iter=50, pca_max_passes=20)
+    folder = f"{checkpoint_dir(spark)}/training-{uuid.uuid4().hex}"
+    run = train(whole.unionByName(cut), share(R.catalog(spark, sf)), R.taxonomy(spark, sf), folder, "run-1", short,
+                candidate="copy", min_chars=_SHORT)
+    run.vectors.unpersist()
+    parts = [
+        run.audit.select(F.lit("audit").alias("part"), F.col("t2").alias("key"), "n"),
+        run.progress.groupBy("t2").agg(F.sum("taken").alias("n")).select(F.lit("progress").alias("part"), F.col("t2").alias("key"), "n"),
+        run.rejects.select(F.lit("reject").alias("part"), F.col("source_id").cast("string").alias("key"), F.lit(1).cast("bigint").alias("n")),
+        run.metrics.select(F.lit("metric").alias("part"), F.concat_ws(".", "model", "metric").alias("key"), "n"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("build_all", f"""WITH {_CORPUS}
 SELECT 'rows' AS part, count(*)::DOUBLE AS value FROM corpus UNION ALL
 SELECT unnest(['svm_slow_pairs', 'svm_fast_pairs']), {_PAIRS} UNION ALL

@@ -60,10 +60,19 @@ def ingest(books: DataFrame, content: str = "text") -> DataFrame:
 
     Bytes are decoded first. Candidate copies are reduced by :func:`first_valid_candidate` before.
     """
-    body = F.col(content)
+    return stripped(decoded(books, content), content)
+
+
+def decoded(books: DataFrame, content: str = "text", min_chars: int = T.MIN_SOURCE_CHARS) -> DataFrame:
+    """``books`` with bytes as text, null where there is none; text stays as it is."""
     if isinstance(books.schema[content].dataType, BinaryType):
-        body = decode_fallback(content)
-    return readable(books.withColumn(content, body), content).withColumn(content, T.strip_boilerplate(content))
+        return books.withColumn(content, decode_fallback(content, min_chars))
+    return books
+
+
+def stripped(books: DataFrame, content: str = "text") -> DataFrame:
+    """The readable rows, without boilerplate."""
+    return readable(books, content).withColumn(content, T.strip_boilerplate(content))
 
 
 def readable(books: DataFrame, content: str = "text") -> DataFrame:

@@ -23,3 +23,13 @@ def append_metrics(metrics: DataFrame, path: str, run_id: str) -> None:
     """The rows of one training run in the metrics history; a run written again replaces its rows."""
     keyed = metrics.withColumn("run_id", F.lit(run_id))
     keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def write_run(rows: DataFrame, path: str, run_id: str) -> DataFrame:
+    """``rows`` as the run's folder of a table that ``run_id`` partitions, and read back from there.
+
+    A run written again replaces its folder, also by no rows.
+    """
+    folder = f"{path}/run_id={run_id}"
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
