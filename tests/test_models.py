@@ -307,3 +307,28 @@ def test_training_accuracy_flag_on_the_middle_corpus(spark):
     from windrow.queries import models
     row = models.svm_train(spark, "/root/testdata/sf0.01").first()
     assert row["accurate"] and row["some_margin_rows"]
+
+
+def test_tree_of_factors_is_the_decomposition(spark):
+    """Many parts (some without rows), nulls, a large common offset and a nearly flat direction."""
+    rng = np.random.RandomState(4)
+    x = rng.randn(700, 12) * np.geomspace(30, 1e-5, 12) + 1e4
+    table = [(i, r.tolist()) for i, r in enumerate(x)] + [(-1, None)]
+    df = spark.createDataFrame(table, "id int, v array<double>")
+    want = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    for parts in (1, 3, 23):
+        model = PCA.fit_pca_narrow(df.repartition(parts, "id"), "v", k=4)
+        assert np.allclose(model.mean, x.mean(axis=0))
+        assert np.allclose(model.variance, want[1][:4] ** 2 / 699, rtol=1e-8)
+        assert np.allclose(np.abs(np.sum(model.components * want[2][:4].T, axis=0)), 1, atol=1e-9)
+        assert np.allclose(model.ratio.sum(), (want[1][:4] ** 2).sum() / (want[1] ** 2).sum())
+    few = PCA.fit_pca_narrow(df.filter("id in (1, 2)").coalesce(1), "v", k=3)
+    assert few.variance[0] > 0 and few.variance[1] < 1e-9
+    with pytest.raises(ValueError):
+        PCA.fit_pca_narrow(df.filter("id < 0"), "v")
+
+
+def test_factor_of_a_single_row():
+    one = PCA.Factor.of(np.ones((1, 3)))
+    both = one.merged(PCA.Factor.of(np.array([[3.0, 1.0, 1.0]])))
+    assert both.n == 2 and np.allclose(both.mean, [2, 1, 1]) and np.allclose(both.r.T @ both.r, np.diag([2.0, 0, 0]))

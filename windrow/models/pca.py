@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windrow.models.numeric import Rows, packed, sum_over_rows
+from windrow.scale import ship
 
 COMPONENTS = 2
 
@@ -96,15 +96,114 @@ def _moments(rows: Rows, width: int):
             "facts": np.array([len(rows), float((rows.val * rows.val).sum())])}
 
 
+# Partial factors that one task of the tree merges, and rows that are factored together.
+FAN = 4
+STRIP_ROWS = 2048
+_FACTOR = "part bigint, n bigint, width int, data binary"
+
+
+@dataclass
+class Factor:
+    """Row count, mean and triangular factor R of centred rows: R'R is their scatter matrix."""
+
+    n: int
+    mean: np.ndarray
+    r: np.ndarray
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Factor:
+        mean = x.mean(axis=0)
+        return cls(len(x), mean, np.linalg.qr(x - mean, mode="r"))
+
+    def merged(self, other: Factor) -> Factor:
+        """The factor of both row sets: the step between the means is one more row."""
+        n = self.n + other.n
+        step = other.mean - self.mean
+        bridge = step * np.sqrt(self.n * other.n / n)
+        r = np.linalg.qr(np.vstack([self.r, other.r, bridge]), mode="r")
+        return Factor(n, self.mean + step * (other.n / n), r)
+
+    def packed(self) -> bytes:
+        return np.vstack([self.mean, self.r]).tobytes()
+
+    @classmethod
+    def unpacked(cls, n: int, width: int, data: bytes) -> Factor:
+        both = np.frombuffer(data, dtype=np.float64).reshape(-1, width)
+        return cls(int(n), both[0], both[1:])
+
+
+def _strips(batches, rows: int):
+    """Dense matrices of about ``rows`` rows out of Arrow batches with one list column."""
+    held, size = [], 0
+    for b in batches:
+        lists = b.column(0).drop_null()
+        if not len(lists):
+            continue
+        flat = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+        for a in range(0, len(flat), rows):
+            held.append(flat[a : a + rows])
+            size += len(held[-1])
+            if size >= rows:
+                yield np.vstack(held)
+                held, size = [], 0
+    if held:
+        yield np.vstack(held)
+
+
+def _factors(batches):
+    from pyspark import TaskContext
+
+    total = None
+    for x in _strips(batches, STRIP_ROWS):
+        total = Factor.of(x) if total is None else total.merged(Factor.of(x))
+    if total is not None:
+        yield pa.RecordBatch.from_pydict(
+            {"part": [TaskContext.get().partitionId()], "n": [total.n], "width": [len(total.mean)], "data": [total.packed()]},
+            schema=pa.schema([("part", pa.int64()), ("n", pa.int64()), ("width", pa.int32()), ("data", pa.binary())]))
+
+
+def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("n", kind="stable")
+    total = None
+    for n, width, data in zip(pdf["n"], pdf["width"], pdf["data"]):
+        f = Factor.unpacked(n, width, data)
+        total = f if total is None else total.merged(f)
+    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "n": [total.n], "width": [len(total.mean)], "data": [total.packed()]})
+
+
 def fit_pca_narrow(df: DataFrame, vec: str, k: int = COMPONENTS) -> PcaModel:
-    """Built-in PCA for vectors of some hundred dimensions."""
-    rows = df.select(array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
-    facts = rows.select(Summarizer.metrics("mean", "variance").summary(F.col("features")).alias("s")).select(
-        vector_to_array("s.mean").alias("m"), vector_to_array("s.variance").alias("v")).first()
-    model = PCA(k=k, inputCol="features", outputCol="z").fit(rows)
-    components = _fix_signs(model.pc.toArray())
-    ratio = model.explainedVariance.toArray()
-    return PcaModel(np.array(facts["m"]), components, ratio * sum(facts["v"]), ratio)
+    """PCA of dense vectors of up to some thousand dimensions by a tree of QR factors.
+
+    Every task factors its rows strip by strip; the triangular factors are merged ``FAN`` at a time
+    and the last one is decomposed in a task, so no width x width matrix reaches the driver and the
+    condition is that of the rows, not of their covariance. Null vectors take no part; an empty table
+    raises ``ValueError``.
+    """
+    ship(df.sparkSession)
+    rows = df.select(F.col(vec).cast("array<double>").alias("v"))
+    parts, left = rows.mapInArrow(_factors, _FACTOR), rows.rdd.getNumPartitions()
+    while left > 1:
+        left = -(-left // FAN)
+        parts = parts.withColumn("part", F.floor(F.col("part") / FAN)).groupBy("part").applyInPandas(_merge, _FACTOR)
+
+    def decompose(batches):
+        for b in batches:
+            for n, width, data in zip(*(b.column(c).to_pylist() for c in ("n", "width", "data"))):
+                f = Factor.unpacked(n, width, data)
+                _, size, right = np.linalg.svd(f.r, full_matrices=False)
+                found = np.zeros((width, k))
+                variance = np.zeros(k)
+                got = min(k, len(size))
+                found[:, :got], variance[:got] = right[:got].T, size[:got] ** 2 / max(n - 1, 1)
+                out = [f.mean.tolist(), found.ravel().tolist(), variance.tolist(), float((size**2).sum() / max(n - 1, 1))]
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in out], names=["mean", "components", "variance", "total"])
+
+    last = parts.mapInArrow(decompose, "mean array<double>, components array<double>, variance array<double>, total double").first()
+    if last is None:
+        raise ValueError("no vectors to decompose")
+    variance = np.array(last["variance"])
+    components = _fix_signs(np.array(last["components"]).reshape(-1, k))
+    return PcaModel(np.array(last["mean"]), components, variance, variance / (last["total"] or 1.0))
 
 
 def project(df: DataFrame, vec: str, model: PcaModel) -> DataFrame:
