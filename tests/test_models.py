@@ -174,6 +174,12 @@ def test_kmeans_cost_is_the_assignments_cost(engine):
 def test_prediction_rows(spark, sf, engine):
     e, _ = engine
     docs = R.books(spark, sf).withColumn("speed", F.lit("fast"))
+    mixed = docs.withColumn("speed", F.when(F.col("source_id") % 3 == 0, "fast").when(F.col("source_id") % 3 == 1, "slow"))
+    marked = e.vectors(mixed.select("source_id", "speed", "text")).drop("text")
+    whole = e.predictions(e.raw_scores(marked), "source_id", "speed")
+    part = e.predictions(e.raw_scores(marked, False, "speed"), "source_id", "speed")
+    same = ["id", "svm_label", "cluster", "tier1.label", "tier2.label"]
+    assert whole.select(*same).exceptAll(part.select(*same)).isEmpty() and whole.count() == part.count()
     p = e.score(docs, "source_id", mode_col="speed").persist()
     assert p.count() == docs.count()
     total = F.aggregate(F.map_values("tier2.probabilities"), F.lit(0.0), lambda a, x: a + x)

@@ -72,24 +72,29 @@ def macro_metrics(scored: DataFrame, y="y_true", p="y_pred") -> DataFrame:
 
 def classification_report(scored: DataFrame, y="y_true", p="y_pred") -> DataFrame:
     """``(label, precision, recall, f1, support)`` per class, then accuracy and both averages."""
-    s = class_scores(confusion_long(scored, y, p))
-    total = F.sum("support")
+    return report_of(class_scores(confusion_long(scored, y, p)))
 
-    def row(name, a, b, c):
-        return F.struct(F.lit(name).alias("label"), a.alias("precision"), b.alias("recall"),
-                        c.alias("f1"), total.alias("support"))
+
+def report_of(scores: DataFrame, by: list[str] = ()) -> DataFrame:
+    """The report of :func:`class_scores`, one per group of ``by``, in one pass over the counts."""
+    by, total = list(by), F.sum("support")
+
+    def row(name, a, b, c, n):
+        return F.struct(name.cast("string").alias("label"), a.alias("precision"), b.alias("recall"), c.alias("f1"), n.alias("support"))
 
     def weighted(m):
         return F.sum(F.col(m) * F.col("support")) / total
 
     acc = F.sum("tp") / total
-    summary = s.agg(F.array(
-        row("accuracy", acc, acc, acc),
-        row("macro avg", F.avg("precision"), F.avg("recall"), F.avg("f1")),
-        row("weighted avg", weighted("precision"), weighted("recall"), weighted("f1")),
-    ).alias("r")).select(F.explode("r").alias("r")).select("r.*")
-    per_class = s.select(F.col("label").cast("string").alias("label"), "precision", "recall", "f1", "support")
-    return per_class.unionByName(summary)
+    classes = F.collect_list(row(*[F.col(c) for c in ("label", "precision", "recall", "f1", "support")]))
+    summary = F.array(
+        row(F.lit("accuracy"), acc, acc, acc, total),
+        row(F.lit("macro avg"), F.avg("precision"), F.avg("recall"), F.avg("f1"), total),
+        row(F.lit("weighted avg"), weighted("precision"), weighted("recall"), weighted("f1"), total),
+    )
+    # A group has as many entries as there are classes.
+    grouped = scores.groupBy(*by).agg(classes.alias("c"), summary.alias("s"))
+    return grouped.select(*by, F.explode(F.concat("c", "s")).alias("r")).select(*by, "r.*")
 
 
 def edge_cases(scored: DataFrame, order: list[str], limit: int = 10) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,8 +95,12 @@ class Engine:
             self._lookup = lemma_lookup(spark, self.lemma_map)
         return self._lookup
 
-    def raw_scores(self, vectors: DataFrame) -> DataFrame:
-        """All model outputs of rows with ``idx`` and ``val``: one pass, one row out per row in."""
+    def raw_scores(self, vectors: DataFrame, every: bool = True, mode_col: str | None = None) -> DataFrame:
+        """All model outputs of rows with ``idx`` and ``val``: one pass, one row out per row in.
+
+        With ``every`` off, a row meets only the SVM and the K-Means its mode names (slow without a
+        mode column); the other two are null.
+        """
         spark = vectors.sparkSession
         ship(spark)
         shared = spark.sparkContext.broadcast(
@@ -107,16 +112,16 @@ class Engine:
             svm_slow, svm_fast, mlp, km_slow, km_fast, pca = shared.value
             for b in batches:
                 rows = Rows.from_arrow(b)
-                d_slow, d_fast = km_slow.distances(rows), km_fast.distances(rows)
+                slow = fast = np.ones(len(rows), dtype=bool)
+                if not every:
+                    fast = np.zeros(len(rows), dtype=bool)
+                    if mode_col is not None:
+                        fast = pc.fill_null(pc.equal(b.column(b.schema.get_field_index(mode_col)), "fast"), False).to_numpy(zero_copy_only=False)
+                    slow = ~fast
+                (v_slow, c_slow, d_slow), (v_fast, c_fast, d_fast) = _chosen(svm_slow, km_slow, rows, slow), _chosen(svm_fast, km_fast, rows, fast)
                 z1, z2 = mlp.logits(rows)
                 xy = pca.project(rows)
-                cols = [
-                    pa.array(svm_slow.vote(svm_slow.margins(rows)), pa.int32()),
-                    pa.array(svm_fast.vote(svm_fast.margins(rows)), pa.int32()),
-                    pa.array(d_slow.argmin(axis=1), pa.int32()), pa.array(d_fast.argmin(axis=1), pa.int32()),
-                    pa.array(d_slow.min(axis=1)), pa.array(d_fast.min(axis=1)),
-                    _lists(z1), _lists(z2), pa.array(xy[:, 0]), pa.array(xy[:, 1]),
-                ]
+                cols = [v_slow, v_fast, c_slow, c_fast, d_slow, d_fast, _lists(z1), _lists(z2), pa.array(xy[:, 0]), pa.array(xy[:, 1])]
                 kept = [b.column(b.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays([*kept, *cols], names=[*keep, *_RAW_NAMES])
 
@@ -147,7 +152,7 @@ class Engine:
         """Clean, vectorise and classify every passage. ``mode_col`` = "fast" picks the fast models."""
         keep = [id_col] + ([mode_col] if mode_col else [])
         vectors = self.vectors(df.select(*keep, text_col), text_col).drop(text_col)
-        return self.predictions(self.raw_scores(vectors), id_col, mode_col)
+        return self.predictions(self.raw_scores(vectors, False, mode_col), id_col, mode_col)
 
     def cluster_meta(self, spark) -> DataFrame:
         """``clusters(cluster, x, y, t1, t2)``: centroids through the other models."""
@@ -155,7 +160,7 @@ class Engine:
         rows = [(i, [int(j) for j in np.flatnonzero(c)], [float(x) for x in c[np.flatnonzero(c)]])
                 for i, c in enumerate(dense)]
         table = spark.createDataFrame(rows, "cluster int, idx array<int>, val array<double>")
-        got = self.predictions(self.raw_scores(table.withColumnRenamed("cluster", "k")), "k")
+        got = self.predictions(self.raw_scores(table.withColumnRenamed("cluster", "k"), False), "k")
         return got.select(
             F.col("id").alias("cluster"), F.col("pca_x").alias("x"), F.col("pca_y").alias("y"),
             F.col("svm_label").alias("t1"), F.col("tier2.label").alias("t2"),
@@ -165,6 +170,17 @@ class Engine:
 _RAW_NAMES = [part.split()[0] for part in RAW_SCHEMA.split(", ")]
 
 
+def _chosen(svm: SvmModel, km: KMeansFit, rows: Rows, wanted: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Vote, cluster and squared distance of the wanted rows, null elsewhere."""
+    at = np.flatnonzero(wanted)
+    vote, cluster, far = np.zeros(len(wanted), np.int32), np.zeros(len(wanted), np.int32), np.zeros(len(wanted))
+    if len(at):
+        some = rows if len(at) == len(wanted) else rows.take(at)
+        d = km.distances(some)
+        vote[at], cluster[at], far[at] = svm.vote(svm.margins(some)), d.argmin(axis=1), d.min(axis=1)
+    return tuple(pa.array(x, mask=~wanted) for x in (vote, cluster, far))
+
+
 def _lists(x: np.ndarray) -> pa.ListArray:
     n, k = x.shape
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(x.ravel()))
