@@ -508,6 +508,32 @@ def test_licence_notices_inside_longer_sentences(licence_model):
         assert not {f[0] for f in licenses.scan_text(clean.encode(), licence_model)[1]} & set(licenses.TEMPLATES), clean
 
 
+def test_licence_labels(licence_model):
+    cases = {
+        "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3", "License: BSD-3-Clause": "bsd",
+        "Sous licence MIT, voir le fichier LICENSE.": "mit", "// SPDX-License-Identifier: LGPL-2.1-only": "lgpl", "Licence : MIT": "mit",
+        "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: BSL-1.0": "boost", "# License: CC-BY-SA-4.0": "cc-by-sa",
+        "SPDX-License-Identifier: Zlib": "unknown", "Licensed under CC BY-NC-SA 4.0.": "unknown",
+    }
+    for text, want in cases.items():
+        assert [f[0] for f in licenses.scan_text(text.encode(), licence_model)[1]] == [want], text
+    for clean in ("The licence MIT gave to the firm ended.", "He lost his driving license in May.", "The team won the BSD 3 cup.", "My driving license mit dem Auto",
+                  "A license to sell beer was granted to the shop."):
+        assert licenses.scan_text(clean.encode(), licence_model)[1] == [], clean
+
+
+def test_ambiguous_licence_text(licence_model):
+    shared = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED'
+    assert [f[0] for f in licenses.scan_text(shared.encode(), licence_model)[1]] == ["ambiguous"]
+    # The family that the rest of the text shows takes it.
+    for family, text in licenses.full_texts().items():
+        found = {f[0] for f in licenses.scan_text(text.encode(), licence_model)[1]}
+        assert family in found and found <= {family, "all-rights-reserved", "unknown"}, (family, found)
+    # The calibrated probability of the class, not a phrase, says unknown.
+    _, found = licenses.scan_text(b"The drug was distributed under the terms of this license.", licence_model)
+    assert all(f[0] == "unknown" and f[3] < 0.95 for f in found)
+
+
 def test_licence_paragraphs_and_unknown_licences(spark, licence_model):
     wrapped = "A tool for maps.\n\nThe code of this tool is licensed under the Apache\nLicense, Version 2.0. Have fun\nwith it.\n\nOther words follow."
     _, found = licenses.scan_text(wrapped.encode(), licence_model)

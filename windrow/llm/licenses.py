@@ -3,18 +3,22 @@
 A text falls into units: sentences within lines, sentences over line ends, and paragraphs (blocks
 between blank lines, their lines joined). A unit is a sparse vector of hashed word
 1- and 2-grams; multinomial logistic regression, trained in numpy, names its licence family or
-``none``. Probabilities are calibrated by a temperature chosen on held-out rows, and a unit whose
-best family stays under ``least`` is of no known family: ``unknown`` if it speaks of a licence and is not
-``none`` either, as is one that no family bears out. Long units are
+``none``, or ``unknown``: notices of made-up licences and general clauses are a class of their own.
+Probabilities are calibrated by a temperature chosen on held-out rows. A unit that no family bears out
+is ``unknown`` with the calibrated probability of that class, if it reaches ``least`` and a word of
+licences, permission or copying is in the unit, or with that of not being ``none``, if a usual phrase puts it
+under a licence. Long units are
 classified as a whole and in overlapping stretches of ``window`` words, the likeliest of which counts.
 A prediction stands if the unit names the family and grants something by it, or is a notice of it (enough
 word pairs of the unit lie in its notices, or of a notice in the unit), or shares ``stretch`` words in a
-row with the family's full text. A paragraph nearly all in a family's text takes the place of the finer
+row with the family's full text. A unit that names no family and shares its longest stretch with the texts
+of several goes to the one that the rest of the text shows, and is ``ambiguous`` otherwise. A paragraph nearly all in a family's text takes the place of the finer
 units found in it; otherwise a coarse unit adds what the finer ones do not show. Every unit of every text
 is classified.
 
-Training rows are the templates and full texts (whole, in sentences, shortened, with other words around) and, as
-``none``, units of a bounded hash-chosen sample of at most ``sample_docs`` documents.
+Training rows are the templates, labels (``SPDX-License-Identifier: X``, ``License: X``) and full texts (whole, in
+sentences, shortened, with other words around) and, as ``none``, sentences that mention a licence without granting
+anything and units of a bounded hash-chosen sample of at most ``sample_docs`` documents.
 
 Null or empty text: nothing found. Null or repeated ``doc_id``: rows stay as they are. Other columns
 are ignored. An empty table gives an empty result.
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from windrow.llm.shared import column, mixed, per_batch, text_bytes, word_ids
 
-NONE, UNKNOWN = "none", "unknown"
+NONE, UNKNOWN, AMBIGUOUS = "none", "unknown", "ambiguous"
 
 # Usual notices of each family (fixed values).
 TEMPLATES: dict[str, list[str]] = {
@@ -93,10 +97,56 @@ TEMPLATES: dict[str, list[str]] = {
     "boost": ["Distributed under the Boost Software License, Version 1.0."],
 }
 
+# Names and SPDX identifiers of each family (fixed values).
+TITLES: dict[str, list[str]] = {
+    "apache-2.0": ["Apache License, Version 2.0", "Apache-2.0"],
+    "mit": ["MIT License", "MIT"],
+    "gpl-3": ["GNU General Public License, version 3", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "gpl-2": ["GNU General Public License, version 2", "GPL-2.0-only", "GPL-2.0-or-later"],
+    "lgpl": ["GNU Lesser General Public License", "LGPL-2.1-or-later", "LGPL-3.0-only"],
+    "bsd": ["BSD License", "BSD-2-Clause", "BSD-3-Clause"],
+    "mpl-2.0": ["Mozilla Public License, Version 2.0", "MPL-2.0"],
+    "cc-by": ["Creative Commons Attribution 4.0 International License", "CC-BY-4.0"],
+    "cc-by-nc": ["Creative Commons Attribution-NonCommercial 4.0 International License", "CC-BY-NC-4.0"],
+    "cc-by-sa": ["Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0"],
+    "public-domain": ["public domain", "CC0-1.0", "Unlicense"],
+    "all-rights-reserved": [],
+    "isc": ["ISC License", "ISC"],
+    "agpl-3": ["GNU Affero General Public License, version 3", "AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "boost": ["Boost Software License, Version 1.0", "BSL-1.0"],
+}
+LABELS = ["SPDX-License-Identifier: {}", "License: {}", "Sous licence {}."]
+# Notices of a licence by name, whatever it is called, and clauses that several licences hold.
+NOTICES = [
+    "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "Distributed under the terms of the {}.",
+    "This program and its parts are made available under the terms of the {}.", "You may use this library under the terms of the {} as approved by its authors.",
+    "Use of this source code is governed by the {}.", "All files of this project are covered by the {}.",
+]
+# Names close to those of a family, with other terms.
+UNLISTED = ["Apache License, Version 1.1", "CC BY-NC-SA 4.0", "CC BY-ND 4.0", "CC BY-NC-ND 4.0",
+            "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "Creative Commons Attribution-NoDerivatives 4.0 International License"]
+CLAUSES = [
+    "Permission is granted to anyone to use, alter and redistribute this software for any purpose.",
+    "Permission to use, copy and modify this software for commercial applications is granted if this notice stays in place.",
+    "You may redistribute this work freely as long as you name its authors.",
+    "Modified versions must be marked as such and must not be misrepresented as the original software.",
+    "Redistribution of this data is allowed under the terms of its licence only.",
+]
+# Licences that are mentioned, and licences of other kinds: nothing is granted.
+MENTIONS = ["A history of the {} appeared last year.", "He read about the {} on the train.", "Many people discuss the wording of the {}.",
+            "The {} is older than its authors thought.", "What does the {} say about this?"]
+EVERYDAY = [
+    "Her driving licence ran out in May.", "The council granted a licence to sell beer to the shop.", "Doctors are licensed by the state.",
+    "We were licensed to fly across the lake.", "The medicine was distributed under the terms of this contract.", "Food was distributed under the terms of this law.",
+    "The film was released under another title.", "The number of the license plate is unknown.", "She lost her fishing license.", "The book is available under the counter.",
+    "Permission to enter was granted by the guard.", "Everyone is permitted to sing.", "The shop sold goods under license until the war.",
+    "The vaccine was distributed under this license by the ministry.",
+]
+
 # How a text names a family, on words joined by single spaces.
 _NAMES = {family: re.compile(pattern) for family, pattern in {
     "apache-2.0": rb"\bapache (?:software |public )?licen[cs]e (?:version |v )?(?:2|v2)\b|\bapache 2(?: 0)? (?:software )?licen[cs]e|\bapache 2 0\b|apache org licenses license 2 0",
-    "mit": rb"\b(?:mit|expat) (?:style )?licen[cs]ed?\b|under mit\b",
+    "mit": rb"\b(?:mit|expat) (?:style )?licen[cs]ed?\b|under mit\b|(?:\blicen[cs]e identifier|\bsous licen[cs]e|^licen[cs]e) mit\b",
     "gpl-3": rb"(?<!lesser )(?<!affero )general public licen[cs]e (?:\w+ ){0,10}?(?:version |v )?(?:3|v3)\b|\bgpl ?(?:version ?|v ?)?3\b",
     "gpl-2": rb"(?<!lesser )(?<!affero )general public licen[cs]e (?:\w+ ){0,10}?(?:version |v )?(?:2|v2)\b|\bgpl ?(?:version ?|v ?)?2\b",
     "lgpl": rb"\b(?:lesser|library) general public licen[cs]e|\blgpl",
@@ -107,12 +157,12 @@ _NAMES = {family: re.compile(pattern) for family, pattern in {
     "cc-by-sa": rb"\b(?:cc by sa|creative commons attribution share ?alike)\b",
     "public-domain": rb"\bcc0\b|\bpublic domain\b|\bunlicense\b",
     "all-rights-reserved": rb"\ball rights reserved\b",
-    "isc": rb"\bisc licen[cs]e\b",
+    "isc": rb"\bisc licen[cs]e\b|(?:\blicen[cs]e identifier|\bsous licen[cs]e|^licen[cs]e) isc\b",
     "agpl-3": rb"\baffero general public licen[cs]e|\bagpl",
-    "boost": rb"\bboost software licen[cs]e\b",
+    "boost": rb"\bboost software licen[cs]e\b|\bbsl 1 0\b",
 }.items()}
 # Words by which a sentence puts something under the licence it names.
-_GRANT = re.compile(rb"\b(?:licen[cs]ed|licen[cs]ing|(?:re)?distributed|redistribute|released|available|published|provided|offered|covered|governed|subject|terms|under|dedicated|spdx)\b")
+_GRANT = re.compile(rb"\b(?:licen[cs]ed|licen[cs]ing|(?:re)?distributed|redistribute|released|available|published|provided|offered|covered|governed|subject|terms|under|sous licen[cs]e|dedicated|spdx)\b")
 # A licence named by none of the words that name a family: its clauses may be those of a family.
 _OTHER = re.compile(
     rb"\b(?:licen[cs]ed|released|distributed|available|redistribute \w+|terms(?: and conditions)?) (?:under|of) (?:the |a |an )?(?:terms of (?:the |a |an )?)?"
@@ -120,13 +170,16 @@ _OTHER = re.compile(
     rb"(?:(?!apache|mit |expat|x11|gnu|gpl|general|lesser|library|bsd|berkeley|mozilla|mpl|creative|cc|isc|boost|affero|agpl|licen[cs]e)[a-z0-9]+ ){1,6}(?:public )?licen[cs]e\b")
 _TEXTS = Path(__file__).parent / "licence_texts"
 
-# How texts talk of their licence, whichever it is.
+# How texts talk of their licence, whichever it is: such units of the sample are no examples of ``none``.
 _LIKE = re.compile(
     rb"\b(?:licen[cs]ed|licen[cs]ing|released|(?:re)?distributed|available|published|provided|offered|covered|governed)(?: \w+){0,3}? (?:under|by|to)(?: \w+){0,9}? (?:licen[cs]es?|gpl|lgpl|cc)\b"
     rb"|\blicen[cs]ed under\b|\bterms (?:and conditions )?of (?:\w+ ){1,8}?licen[cs]e|\bpublic licen[cs]e\b|\bspdx licen[cs]e\b|\bthis licen[cs]e\b|\bcopy of the licen[cs]e\b"
     rb"|\bpermission (?:\w+ ){0,20}?(?:is )?(?:hereby )?granted\b|\bredistributions?\b|\bredistribute\b|\bwithout (?:any )?(?:express or implied )?warrant(?:y|ies)\b"
     rb"|\bas is without\b|\brights? reserved\b")
 
+# What speaks of no licence, permission or copying at all is no unknown licence, however likely.
+_TALK = re.compile(rb"\b(?:sub)?licen[cs]|\bpermi(?:ssion|tted)|\bredistribut|\bspdx\b|\bcop(?:y|ies)\b|\bcopyright")
+
 _TOKEN = re.compile(rb"[a-z0-9]+|\n(?:[ \t\r]*\n)+|\n|[.!?](?=\s|$)")
 _UNIT = re.compile(rb"[^\n]+?(?:[.!?](?=\s)|(?=\n)|$)")
 _WORD = re.compile(rb"[a-z0-9]+")
@@ -169,9 +222,10 @@ class Model:
         self.notices: list[list[set]] = []
         self.runs: dict[bytes, int] = {}
         for k, f in enumerate(families):
-            given = [_WORD.findall(t.lower().encode()) for t in TEMPLATES.get(f, [])]
+            labels = [label.format(t) for t in TITLES.get(f, []) for label in LABELS]
+            given = [_WORD.findall(t.lower().encode()) for t in (*TEMPLATES.get(f, []), *labels)]
             self.notices.append([pairs_of(w) for w in given])
-            clauses = [w for w in given if not _NAMES[f].search(b" ".join(w))]
+            clauses = [w for w in given if f in _NAMES and not _NAMES[f].search(b" ".join(w))]
             for words in [*clauses, _WORD.findall(full.get(f, "").lower().encode())]:
                 for run in runs_of(words):
                     self.runs[run] = self.runs.get(run, 0) | 1 << k
@@ -213,14 +267,19 @@ class Model:
 
     def confirmed(self, words: list[bytes], candidates: list[int]) -> list[int]:
         """Those of ``candidates`` (likeliest first) that the words bear out: all they name or, if they
-        name none, the first one whose texts share a long enough stretch with them."""
+        name none, the one whose texts share the longest stretch with them; -1 if several share it."""
         phrase, own = b" ".join(words), pairs_of(words)
         named = [k for k in candidates if self.named(phrase, own, k)]
         if named or _OTHER.search(phrase):
             return named
-        shared = self.stretches(words)
-        return [k for k in candidates if shared.get(k, 0) >= self.s.stretch][:1]
+        alike = self.alike(words)
+        return [] if not alike or not set(alike) & set(candidates) else alike if len(alike) == 1 else [-1]
 
+    def alike(self, words: list[bytes]) -> list[int]:
+        """The families whose texts share the longest stretch, of ``stretch`` words or more, with the words."""
+        shared = self.stretches(words)
+        longest = max(shared.values(), default=0)
+        return [k for k, n in shared.items() if n == longest] if longest >= self.s.stretch else []
 
     def whole(self, words: list[bytes], family: int) -> bool:
         """Nearly all words lie in runs shared with the family's texts."""
@@ -248,16 +307,26 @@ def units_of(text: bytes) -> list[tuple[int, int]]:
 def train(negatives: list[bytes], s: Settings) -> Model:
     """Softmax regression by full-batch Adam on sparse rows; a fifth of the rows sets the temperature."""
     rng = np.random.default_rng(s.seed)
-    families = [NONE, *TEMPLATES]
+    families = [NONE, *TEMPLATES, UNKNOWN]
     spare = [w for n in negatives[:2000] for w in _WORD.findall(n.lower())] or [b"a"]
     rows: list[tuple[list[bytes], int]] = []
     full = full_texts()
-    for k, family in enumerate(families[1:], 1):
+
+    def invented(short: bool) -> str:
+        """A licence of a made-up name, or a made-up identifier."""
+        if short:
+            return spare[rng.integers(0, len(spare))].decode() + (f"-{rng.integers(1, 5)}.{rng.integers(0, 3)}" if rng.integers(0, 2) else "")
+        name = " ".join(spare[j].decode() for j in rng.integers(0, len(spare), rng.integers(1, 4)))
+        kind = ("License", "Public License", "Licence", "Community License")[rng.integers(0, 4)]
+        return f"{name} {kind}" + (f", Version {rng.integers(1, 5)}.{rng.integers(0, 3)}" if rng.integers(0, 2) else "")
+
+    for k, family in enumerate(families[1:-1], 1):
         blocks = [" ".join(x.split()) for x in re.split(r"\n\s*\n", full.get(family, ""))]
         parts = [x for block in blocks for x in re.split(r"(?<=[.;!?])\s", block)]
-        for text, copies in [*((t, s.copies) for t in TEMPLATES[family]), *((t, 2) for t in parts)]:
+        labels = [label.format(t) for t in TITLES[family] for label in LABELS]
+        for text, copies in [*((t, s.copies) for t in TEMPLATES[family]), *((t, s.copies // 4) for t in labels), *((t, 2) for t in parts)]:
             words = _WORD.findall(text.lower().encode())
-            if copies < s.copies and len(words) < 8:
+            if copies == 2 and len(words) < 8:
                 continue
             rows += [(words, k)] * (copies // 4)
             for i in range(copies):
@@ -265,9 +334,19 @@ def train(negatives: list[bytes], s: Settings) -> Model:
                 b = len(words) - rng.integers(0, max(1, len(words) // 4))
                 noise = [spare[j] for j in rng.integers(0, len(spare), rng.integers(0, s.window - 7 if i % 2 else 3))]
                 at = rng.integers(0, len(noise) + 1) if i % 2 else len(noise) * rng.integers(0, 2)
-                rows.append((noise[:at] + words[a:b] + noise[at:], k))
+                # A label is kept whole: its last words are the name.
+                rows.append((noise[:at] + (words if text in labels else words[a:b]) + noise[at:], k))
+    for text, copies, k in [*((t, 4 * s.copies, len(families) - 1) for t in (*NOTICES, *LABELS)), *((t, s.copies, len(families) - 1) for t in CLAUSES),
+                            *((t.format(x), 6, len(families) - 1) for t in NOTICES for x in UNLISTED),
+                            *((t, 2, 0) for t in EVERYDAY), *((m.format(t), 1, 0) for m in MENTIONS for f in TITLES.values() for t in f)]:
+        for i in range(copies):
+            words = _WORD.findall(text.format(invented(text in LABELS)).lower().encode())
+            words = words[rng.integers(0, max(1, len(words) // 4)) if k and text not in LABELS else 0 :]
+            noise = [spare[j] for j in rng.integers(0, len(spare), rng.integers(0, s.window - 7) if i % 2 else 0)]
+            at = rng.integers(0, len(noise) + 1)
+            rows.append((noise[:at] + words + noise[at:], k))
     known = Model(families, np.zeros((1 << s.bits, 1)), np.zeros(1), 1.0, s, full)
-    everyone = list(range(1, len(families)))
+    everyone = list(range(1, len(families) - 1))
     for n in negatives:
         words = _WORD.findall(n.lower())
         if words and not _LIKE.search(b" ".join(words)) and not known.confirmed(words, everyone):
@@ -346,30 +425,40 @@ def ranges(cuts: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def verdicts(words: list[bytes], p: np.ndarray, model: Model) -> dict[int, float]:
-    """Probabilities of the families that the words bear out; of ``UNKNOWN`` (family 0) if there is none
-    and they talk of a licence all the same."""
-    likely = [int(f) for f in np.argsort(-p, kind="stable") if f and p[f] >= model.s.least]
-    held = {f: float(p[f]) for f in model.confirmed(words, likely)} if likely else {}
-    return held or ({0: float(1 - p[0])} if _LIKE.search(b" ".join(words)) else {})
+    """Probabilities of the families that the words bear out (-1: several alike, their sum); of ``UNKNOWN``
+    as 0 if there is none."""
+    last = len(p) - 1
+    likely = [int(f) for f in np.argsort(-p, kind="stable") if 0 < f < last and p[f] >= model.s.least]
+    if likely:
+        held = model.confirmed(words, likely)
+    else:
+        held = [-1] if p[1:last].sum() >= model.s.least and len(model.alike(words)) > 1 else []
+    if held:
+        return {f: float(min(1.0, p[model.alike(words)].sum()) if f < 0 else p[f]) for f in held}
+    phrase = b" ".join(words)
+    if p[last] >= model.s.least:
+        return {0: float(p[last])} if _TALK.search(phrase) else {}
+    # Put under a licence by a usual phrase, like a family's but borne out by none.
+    return {0: float(1 - p[0])} if p[0] <= 1 - model.s.least and _LIKE.search(phrase) else {}
 
 
 def agreed(found: list[tuple[int, int, int, float]], words: list[bytes], model: Model) -> list[tuple[int, int, int, float]]:
     """A passage that several families' texts hold goes to one that the rest of the text shows, if its own
-    family is shown by no passage of its own."""
+    family is shown by no passage of its own or is open."""
     if len({v[0] for v in found}) < 2:
         return found
-    fits = [[f for f in range(1, len(model.families)) if model.whole(words[v[1] : v[2]], f)] for v in found]
-    own = Counter(v[0] for v, f in zip(found, fits) if v[0] and f in ([], [v[0]]))
+    fits = [[f for f in range(1, len(model.families) - 1) if model.whole(words[v[1] : v[2]], f)] for v in found]
+    own = Counter(v[0] for v, f in zip(found, fits) if v[0] > 0 and f in ([], [v[0]]))
     out = []
     for v, f in zip(found, fits):
-        others = [g for g in f if own[g]] if v[0] and not own[v[0]] else []
+        others = [g for g in f if own[g]] if v[0] and not own.get(v[0]) else []
         out.append((max(others, key=lambda g: own[g]), *v[1:]) if others else v)
     return out
 
 
 def scan_text(text: bytes, model: Model) -> tuple[int, list[tuple[str, int, int, float]]]:
-    """Number of classified units with a word, and (family, start, end, probability) of the confirmed
-    and unknown ones; offsets are code points."""
+    """Number of classified units with a word, and (family, start, end, probability) of the confirmed,
+    ambiguous and unknown ones; offsets are code points."""
     low = text.lower()
     tokens = _TOKEN.findall(low)
     if not tokens:
@@ -411,11 +500,11 @@ def scan_text(text: bytes, model: Model) -> tuple[int, list[tuple[str, int, int,
                     held[f] = max(held.get(f, (0.0, 0, 0)), (x, int(begin[r]), int(end[r])))
         for f, (x, since, until) in held.items():
             parts = [v for v in found if a <= v[1] and v[2] <= b]
-            if f and model.whole(words[a:b], f):
-                gone = {v for v in parts if v[0] in (0, f) or model.whole(words[v[1] : v[2]], f)}
+            if f > 0 and model.whole(words[a:b], f):
+                gone = {v for v in parts if v[0] in (0, -1, f) or model.whole(words[v[1] : v[2]], f)}
                 found = [v for v in found if v not in gone] + [(f, a, b, max([x, *(v[3] for v in gone if v[0] == f)]))]
-            elif not parts or (f and all(v[0] != f for v in parts) and _NAMES[model.families[f]].search(b" ".join(words[a:b]))):
-                found = [v for v in found if not (f and v in parts and v[0] == 0 and v[1] < until and since < v[2])] + [(f, a, b, x)]
+            elif not parts or (f > 0 and all(v[0] != f for v in parts) and _NAMES[model.families[f]].search(b" ".join(words[a:b]))):
+                found = [v for v in found if not (f and v in parts and v[0] <= 0 and v[1] < until and since < v[2])] + [(f, a, b, x)]
     found = agreed(found, words, model)
     if not found:
         return len(first), []
@@ -424,7 +513,7 @@ def scan_text(text: bytes, model: Model) -> tuple[int, list[tuple[str, int, int,
     out = []
     for f, a, b, x in sorted(found, key=lambda v: (v[1], v[2], v[0])):
         start = len(text[: starts[a]].decode("utf-8", "replace"))
-        out.append((model.families[f] if f else UNKNOWN, start, start + len(text[starts[a] : stops[b]].decode("utf-8", "replace")), x))
+        out.append((AMBIGUOUS if f < 0 else model.families[f] if f else UNKNOWN, start, start + len(text[starts[a] : stops[b]].decode("utf-8", "replace")), x))
     return len(first), out
 
 
