@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from windrow.models import exchange as X
 from windrow.models import mlp as N
 from windrow.models import pca as PCA
 from windrow.models.numeric import Rows, part_rows, reduce_parts
@@ -163,6 +164,68 @@ def test_partitioned_training_also_learns(spark, engine):
     assert np.allclose(m.losses, again.losses)
 
 
+def test_one_barrier_stage_gives_the_weights_of_one_job_per_epoch(spark, engine):
+    e, x = engine
+    fit = lambda **how: N.fit_mlp(x, e.tfidf.width, len(e.labels.t1), len(e.labels.t2), "chunk_id", epochs=4, partitions=3, batch=8, **how)
+    spark.sparkContext.setJobGroup("one-stage", "network")
+    one = fit(barrier=True)
+    ran = spark.sparkContext.statusTracker().getJobIdsForGroup("one-stage")
+    spark.sparkContext.setJobGroup("jobs", "network")
+    many = fit(barrier=False)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert np.allclose(one.losses, many.losses, rtol=1e-4)
+    for k, w in one.weights.items():
+        assert np.allclose(w, many.weights[k], atol=2e-4), k
+    # Placing the rows, the barrier stage and reading the result may be jobs of their own; there is none per epoch.
+    assert len(ran) <= 3
+    slow = fit(barrier=True, rate=N.LEARNING_RATE)
+    assert len(slow.losses) == 4 and not np.allclose(slow.losses, one.losses)
+
+
+def test_a_failed_stage_goes_on_after_the_last_round(spark, tmp_path):
+    folder, log = X.new_folder(spark, "rounds"), str(tmp_path / "log")
+
+    def run(batches, log=log, folder=folder):
+        import os
+
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import BarrierTaskContext
+
+        from windrow.models.exchange import Exchange, Held
+
+        side = Exchange(folder, BarrierTaskContext.get())
+        held = Held(side, batches)
+        number, facts, flat = side.resume()
+        flat = np.zeros(5, np.float32) if flat is None else flat
+        while number < 4:
+            number += 1
+            with open(f"{log}-{side.part}", "a") as f:
+                f.write(f"{number} ")
+            if number == 3 and side.part == 1 and not os.path.exists(log):
+                open(log, "w").close()
+                raise RuntimeError("lost on purpose")
+            rows = sum(b.num_rows for b in held)
+            flat, told = side.mean(number, flat + np.float32(side.part + 1), rows, [number])
+            side.finish(number, {"rows": sum(t[0] for t in told)})
+        yield pa.RecordBatch.from_arrays([pa.array([float(x) for x in flat])], names=["x"])
+
+    got = [r["x"] for r in spark.range(0, 30, 1, 3).mapInArrow(run, "x double", barrier=True).repartition(1).collect()]
+    # Ten rows a part, so every round adds 2; all three parts end with the same five numbers.
+    assert got == [8.0] * 15
+    assert (tmp_path / "log-1").read_text().split() == ["1", "2", "3", "3", "4"]
+    X.drop_folder(folder)
+
+
+def test_parts_without_rows_do_not_count(spark, engine):
+    e, x = engine
+    few = x.limit(2)
+    fit = lambda how: N.fit_mlp(few, e.tfidf.width, len(e.labels.t1), len(e.labels.t2), "chunk_id", epochs=2, partitions=6, barrier=how)
+    assert np.allclose(fit(True).losses, fit(False).losses, rtol=1e-4)
+    none = N.fit_mlp(x.limit(0), e.tfidf.width, len(e.labels.t1), len(e.labels.t2), "chunk_id", epochs=2, barrier=True)
+    assert all(np.isfinite(w).all() for w in none.weights.values())
+
+
 def test_kmeans_cost_is_the_assignments_cost(engine):
     e, x = engine
     raw = e.raw_scores(x.select("chunk_id", "idx", "val"))

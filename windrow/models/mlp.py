@@ -1,8 +1,11 @@
 """Two-head network over sparse rows: width -> 128 -> 32 -> {branches, schools}.
 
-One Spark job per epoch. Every partition starts from the shared weights, runs mini-batch
-AdamW on its own rows, and the weights are averaged by row count (Zinkevich et al., 2010).
-The driver only sees the averaged weights and the loss.
+Every partition starts from the shared weights, runs mini-batch AdamW on its own rows, and the
+weights are averaged by row count after every epoch (Zinkevich et al., 2010). Where all partitions
+run at the same time, a fit is one job: a barrier stage whose tasks keep weights and moments and
+exchange them among themselves (``exchange.py``); the driver sees the losses and the final weights.
+Elsewhere there is one job per epoch, and the driver sees the averaged weights. Both give the same
+weights but for rounding.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from windrow.models.exchange import Exchange, Held, drop_folder, new_folder, room_for
 from windrow.models.numeric import PART_SCHEMA, Rows, part_rows, reduce_parts
 from windrow.scale import share, ship
 
@@ -179,62 +183,138 @@ def train_batch(w: dict, opt: AdamW, rows: Rows, y1, y2, class_w, batch: int, rn
     return total
 
 
+@dataclass
+class Epochs:
+    """What a task needs to know of a fit."""
+
+    start: dict[str, np.ndarray]
+    class_w: np.ndarray
+    epochs: int
+    batch: int
+    rate: float
+    stop_loss: float
+    seed: int
+
+    def run(self, w: dict, opt: AdamW, batches, epoch: int, part: int) -> tuple[int, float]:
+        """One epoch over a partition's windows of rows; returns its rows and summed loss."""
+        rng = np.random.RandomState((self.seed * 100003 + epoch * 1009 + part) % (1 << 32))
+        n, total = 0, 0.0
+        for b in batches:
+            data = Rows.from_arrow(b)
+            data.val = data.val.astype(np.float32)
+            total += train_batch(w, opt, data, b.column(0).to_numpy(), b.column(1).to_numpy(), self.class_w, self.batch, rng)
+            n += len(data)
+        return n, total
+
+
 def fit_mlp(
     df: DataFrame, width: int, n1: int, n2: int, id_col: str, t1="t1_idx", t2="t2_idx",
     epochs: int = EPOCHS, batch: int = BATCH, class_weights: dict[int, float] | None = None,
     stop_loss: float = STOP_LOSS, partitions: int = 4, seed: int = 42,
+    rate: float | None = None, barrier: bool | None = None,
 ) -> MlpModel:
     """Train on rows with ``idx``, ``val`` and both label codes.
 
     ``partitions`` is a parameter of the model, like the batch size: neither cores, rows nor the
     size of Arrow batches change the result. Rows are placed and ordered by a seeded hash of
-    their id. Moments travel with the weights, and the step grows with the number of partitions,
-    because averaging makes each partition's steps count by its share.
+    their id. Moments travel with the weights. Without a ``rate`` the step grows with the number of
+    partitions, because averaging makes each partition's steps count by its share. ``barrier`` asks
+    for one job with a barrier stage, or for one job per epoch; by default the cores decide.
     """
     spark = df.sparkSession
     ship(spark)
     rows = df.select(F.col(id_col), F.col(t1).cast("int").alias("y1"), F.col(t2).cast("int").alias("y2"), "idx", "val")
     rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), id_col))
-    placed = share(rows.repartition(partitions, "_h").sortWithinPartitions("_h", id_col).drop("_h", id_col))
+    placed = rows.repartition(partitions, "_h").sortWithinPartitions("_h", id_col).drop("_h", id_col)
     cw = np.ones(n2, dtype=np.float32)
     for k, v in (class_weights or {}).items():
         if k < n2:
             cw[k] = v
-    start = start_weights(width, n1, n2, seed)
+    plan = Epochs(start_weights(width, n1, n2, seed), cw, epochs, batch, LEARNING_RATE * partitions if rate is None else rate, stop_loss, seed)
+    folder = new_folder(spark, "network") if (room_for(spark, partitions) if barrier is None else barrier) else None
+    if folder is None:
+        weights, losses = _by_jobs(placed, plan, partitions)
+    else:
+        try:
+            weights, losses = _in_one_stage(placed, plan, folder)
+        finally:
+            drop_folder(folder)
+    return MlpModel(width, n1, n2, weights, losses)
+
+
+def _in_one_stage(placed: DataFrame, plan: Epochs, folder: str) -> tuple[dict[str, np.ndarray], list[float]]:
+    """All epochs in the tasks of one barrier stage. The first task hands the final weights out."""
+    shared = placed.sparkSession.sparkContext.broadcast(plan)
+
+    def run(batches):
+        from pyspark import BarrierTaskContext
+
+        fit, exchange = shared.value, Exchange(folder, BarrierTaskContext.get())
+        keys, held = list(fit.start), Held(exchange, mixed_windows(batches))
+        sizes = [fit.start[k].size for k in keys] * 3
+
+        def split(flat):
+            parts = np.split(flat, np.cumsum(sizes)[:-1])
+            named = [{k: x.reshape(fit.start[k].shape) for k, x in zip(keys, parts[a : a + len(keys)])} for a in range(0, len(parts), len(keys))]
+            return named[0], named[1], named[2]
+
+        epoch, facts, flat = exchange.resume()
+        losses, steps = facts.get("losses", []), facts.get("steps", 0)
+        if flat is None:
+            first = np.concatenate([fit.start[k].ravel() for k in keys])
+            flat = np.concatenate([first, np.zeros(2 * len(first), np.float32)])
+        while epoch < fit.epochs and not (losses and losses[-1] < fit.stop_loss):
+            epoch += 1
+            flat = flat.copy()
+            w, m, v = split(flat)
+            opt = AdamW(m, v, steps, fit.rate)
+            n, total = fit.run(w, opt, held, epoch, exchange.part)
+            flat, told = exchange.mean(epoch, flat, n, [total, opt.t])
+            seen = sum(t[0] for t in told) or 1
+            steps = int(round(sum(t[0] * t[2] for t in told) / seen))
+            losses.append(sum(t[1] for t in told) / seen)
+            exchange.finish(epoch, {"losses": losses, "steps": steps})
+        if exchange.part == 0:
+            yield part_rows({**split(flat)[0], "losses": np.array(losses, np.float32)}, 1.0, np.float32)
+
+    shape = {k: v.shape for k, v in plan.start.items()} | {"losses": (-1,)}
+    # Spark runs a failed barrier stage again only if a shuffle follows it; here it carries one model.
+    trained = placed.mapInArrow(run, PART_SCHEMA, barrier=True).repartition(1)
+    got = reduce_parts(trained, shape, 1, dtype=np.float32)
+    shared.unpersist()
+    return {k: got[k].astype(np.float32) for k in plan.start}, [float(x) for x in got["losses"]]
+
+
+def _by_jobs(placed: DataFrame, plan: Epochs, partitions: int) -> tuple[dict[str, np.ndarray], list[float]]:
+    """One job per epoch; the averaged weights and moments go through the driver."""
+    spark, placed = placed.sparkSession, share(placed)
     carry = "wmv"
-    state = {"w": start, "t": 0}
-    shape = {f"{p}.{k}": v.shape for p in carry for k, v in start.items()} | {"facts": (3,)}
+    state = {"w": plan.start, "t": 0}
+    shape = {f"{p}.{k}": v.shape for p in carry for k, v in plan.start.items()} | {"facts": (3,)}
     losses: list[float] = []
-    for epoch in range(1, epochs + 1):
-        shared = spark.sparkContext.broadcast(state)
+    for epoch in range(1, plan.epochs + 1):
+        shared = spark.sparkContext.broadcast((plan, state))
 
         def run(batches, shared=shared, epoch=epoch):
             from pyspark import TaskContext
 
-            part = TaskContext.get().partitionId()
-            rng = np.random.RandomState((seed * 100003 + epoch * 1009 + part) % (1 << 32))
-            start = shared.value
+            fit, start = shared.value
             w = {k: v.copy() for k, v in start["w"].items()}
             m, v = ({k: x.copy() for k, x in start.get(p, {}).items()} or {k: np.zeros_like(x) for k, x in w.items()}
                     for p in "mv")
-            opt = AdamW(m, v, start["t"], LEARNING_RATE * partitions)
-            n, total = 0, 0.0
-            for b in mixed_windows(batches):
-                data = Rows.from_arrow(b)
-                data.val = data.val.astype(np.float32)
-                total += train_batch(w, opt, data, b.column(0).to_numpy(), b.column(1).to_numpy(), cw, batch, rng)
-                n += len(data)
+            opt = AdamW(m, v, start["t"], fit.rate)
+            n, total = fit.run(w, opt, mixed_windows(batches), epoch, TaskContext.get().partitionId())
             if n:
-                out = {f"{p}.{k}": x * n for p, d in (("w", w), ("m", opt.m), ("v", opt.v)) if p in carry for k, x in d.items()}
+                out = {f"{p}.{k}": x * n for p, d in (("w", w), ("m", opt.m), ("v", opt.v)) for k, x in d.items()}
                 out["facts"] = np.array([total, n, opt.t * n])
                 yield part_rows(out, n, np.float32)
 
         got = reduce_parts(placed.mapInArrow(run, PART_SCHEMA), shape, partitions, mean=True, dtype=np.float32)
-        state = {p: {k: got[f"{p}.{k}"].astype(np.float32) for k in start} for p in carry}
-        state["t"] = int(round(got["facts"][2])) if "m" in state else 0
+        state = {p: {k: got[f"{p}.{k}"].astype(np.float32) for k in plan.start} for p in carry}
+        state["t"] = int(round(got["facts"][2]))
         losses.append(float(got["facts"][0]))
         shared.unpersist()
-        if losses[-1] < stop_loss:
+        if losses[-1] < plan.stop_loss:
             break
     placed.unpersist()
-    return MlpModel(width, n1, n2, state["w"], losses)
+    return state["w"], losses

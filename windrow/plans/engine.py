@@ -51,6 +51,7 @@ class Params:
     epochs: int = 50
     batch: int = 64
     mlp_partitions: int = 4
+    mlp_rate: float | None = None
     clusters: int = 7
     restarts: int = 10
     kmeans_max_iter: int = 300
@@ -221,7 +222,7 @@ def fit_engine(corpus: DataFrame, taxonomy: DataFrame, params: Params, lemmas: D
     km = dict(width=tfidf.width, k=params.clusters, restarts=params.restarts, seed=params.seed, max_iter=params.kmeans_max_iter, tol=params.kmeans_tol)
     fits = {
         "mlp": lambda: fit_mlp(x, tfidf.width, len(labels.t1), len(labels.t2), "chunk_id", epochs=params.epochs,
-                               batch=params.batch, partitions=params.mlp_partitions, class_weights=params.t2_loss_weights, seed=params.seed),
+                               batch=params.batch, partitions=params.mlp_partitions, rate=params.mlp_rate, class_weights=params.t2_loss_weights, seed=params.seed),
         "svm_slow": lambda: fit_svm(x, "t1_idx", **svm),
         "svm_fast": lambda: fit_svm(fast_svm, "t1_idx", **svm),
         "kmeans_slow": lambda: fit_kmeans(x, **km),
