@@ -2,8 +2,9 @@
 
 The tasks pass arrays through a folder that all of them reach, never through the driver: every task
 writes its array, averages one slice of all of them, and reads the other slices. A task so moves three
-times the model per round, however many tasks there are. Only small facts go through the barrier's own
-messages. A round counts once its mark is written; a stage that is run again goes on after the last one.
+times the model per round, however many tasks there are. The barrier starts the tasks together; within a
+round they wait for each other's files, because every barrier message takes about a second. A file appears
+under its name only when it is whole. If a task fails, Spark ends the others of its attempt. A round counts once its mark is written; a stage that is run again goes on after the last one.
 Every attempt of a stage writes files of its own, and the last two rounds stay, because tasks of a failed
 attempt may still finish the round they are in.
 """
@@ -11,6 +12,7 @@ attempt may still finish the round they are in.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -57,8 +59,22 @@ class Exchange:
         self.attempt, self.made = context.allGather(uuid.uuid4().hex)[0], []
 
     def _put(self, path: str, data: bytes) -> None:
-        with self.files.open_output_stream(path) as out:
+        with self.files.open_output_stream(f"{path}.part") as out:
             out.write(data)
+        self.files.move(f"{path}.part", path)
+
+    def _wait(self, paths: list[str]) -> list[str]:
+        from pyarrow import fs
+
+        left, pause = paths, 0.002
+        while left := [f.path for f in self.files.get_file_info(left) if f.type != fs.FileType.File]:
+            time.sleep(pause)
+            pause = min(0.25, pause * 1.2)
+        return paths
+
+    def _told(self, path: str) -> list[float]:
+        with self.files.open_input_file(path) as f:
+            return json.loads(f.read())
 
     def _array(self, path: str, first: int = 0, count: int | None = None) -> np.ndarray:
         with self.files.open_input_file(path) as f:
@@ -71,7 +87,7 @@ class Exchange:
         if self.part == 0:
             from pyarrow import fs
 
-            marks = [f.base_name for f in self.files.get_file_info(fs.FileSelector(self.root)) if f.base_name.startswith("done-")]
+            marks = [f.base_name for f in self.files.get_file_info(fs.FileSelector(self.root)) if f.base_name.startswith("done-") and not f.base_name.endswith(".part")]
             if marks:
                 with self.files.open_input_file(f"{self.root}/{max(marks)}") as f:
                     found = f.read().decode()
@@ -93,7 +109,8 @@ class Exchange:
         self.files.create_dir(folder)
         if weight:
             self._put(f"{folder}/part-{self.part}", (flat * np.float32(weight)).tobytes())
-        told = [json.loads(x) for x in self.context.allGather(json.dumps([weight, *facts]))]
+        self._put(f"{folder}/facts-{self.part}", json.dumps([weight, *facts]).encode())
+        told = [self._told(p) for p in self._wait([f"{folder}/facts-{i}" for i in range(self.parts)])]
         total = sum(t[0] for t in told)
         first, after = size * self.part // self.parts, size * (self.part + 1) // self.parts
         if total:
@@ -105,7 +122,7 @@ class Exchange:
         else:
             mine = flat[first:after]
         self._put(f"{folder}/mean-{self.part}", mine.astype(np.float32).tobytes())
-        self.context.barrier()
+        self._wait([f"{folder}/mean-{i}" for i in range(self.parts)])
         return self._means(folder), told
 
     def finish(self, number: int, facts: dict) -> None:

@@ -275,14 +275,16 @@ def _in_one_stage(placed: DataFrame, plan: Epochs, folder: str) -> tuple[dict[st
             losses.append(sum(t[1] for t in told) / seen)
             exchange.finish(epoch, {"losses": losses, "steps": steps})
         if exchange.part == 0:
-            yield part_rows({**split(flat)[0], "losses": np.array(losses, np.float32)}, 1.0, np.float32)
+            told = np.full(fit.epochs, np.nan, np.float32)
+            told[: len(losses)] = losses
+            yield part_rows({**split(flat)[0], "losses": told}, 1.0, np.float32)
 
-    shape = {k: v.shape for k, v in plan.start.items()} | {"losses": (-1,)}
+    shape = {k: v.shape for k, v in plan.start.items()} | {"losses": (plan.epochs,)}
     # Spark runs a failed barrier stage again only if a shuffle follows it; here it carries one model.
     trained = placed.mapInArrow(run, PART_SCHEMA, barrier=True).repartition(1)
     got = reduce_parts(trained, shape, 1, dtype=np.float32)
     shared.unpersist()
-    return {k: got[k].astype(np.float32) for k in plan.start}, [float(x) for x in got["losses"]]
+    return {k: got[k].astype(np.float32) for k in plan.start}, [float(x) for x in got["losses"] if not np.isnan(x)]
 
 
 def _by_jobs(placed: DataFrame, plan: Epochs, partitions: int) -> tuple[dict[str, np.ndarray], list[float]]:
