@@ -401,3 +401,61 @@ def test_factor_of_a_single_row():
     one = PCA.Factor.of(np.ones((1, 3)))
     both = one.merged(PCA.Factor.of(np.array([[3.0, 1.0, 1.0]])))
     assert both.n == 2 and np.allclose(both.mean, [2, 1, 1]) and np.allclose(both.r.T @ both.r, np.diag([2.0, 0, 0]))
+
+
+def _sent_to_driver(spark, monkeypatch, fit) -> int:
+    """Bytes of the rows and Arrow tables that a fit collects."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    seen, collect, to_arrow = [0], Frame.collect, Frame.toArrow
+
+    def rows(self):
+        got = collect(self)
+        seen[0] += sum(len(v) if isinstance(v, bytes | bytearray | str | list) else 8 for r in got for v in r)
+        return got
+
+    def table(self):
+        got = to_arrow(self)
+        seen[0] += got.nbytes
+        return got
+
+    monkeypatch.setattr(Frame, "collect", rows)
+    monkeypatch.setattr(Frame, "toArrow", table)
+    fit()
+    monkeypatch.undo()
+    return seen[0]
+
+
+def test_passes_of_the_fits_send_no_model_sized_sums_to_the_driver(spark, monkeypatch):
+    from windrow.models.kmeans import fit_kmeans
+    from windrow.models.pca import fit_pca_wide
+    from windrow.models.svm import fit_svm
+
+    rng = np.random.RandomState(5)
+    width, n = 3_000, 240
+    rows = [(i % 3, sorted(int(c) for c in rng.choice(width, 20, replace=False)), [float(v) for v in rng.rand(20)]) for i in range(n)]
+    df = spark.createDataFrame(rows, "y int, idx array<int>, val array<double>").repartition(6).cache()
+    monkeypatch.setattr("windrow.models.kmeans.PASS_ROWS", 32)
+    monkeypatch.setattr("windrow.models.svm.PASS_ROWS", 32)
+    for fit, one in ((lambda: fit_kmeans(df, width, k=4, restarts=3), 4 * 3 * width * 8), (lambda: fit_svm(df, "y", width, 128), 3 * 129 * 130 // 2 * 8)):
+        fits = []
+        assert _sent_to_driver(spark, monkeypatch, lambda: fits.append(fit())) < one  # not even one pass of one task
+        monkeypatch.setattr("windrow.models.kmeans.PASS_ROWS", 32)
+        monkeypatch.setattr("windrow.models.svm.PASS_ROWS", 32)
+        assert fits[0].passes > 1 and fits[0].converged
+    parts = spark.range(6, numPartitions=6).mapInArrow(lambda bs: (part_rows({"a": np.ones(90_000)}, 1.0) for b in bs if b.num_rows), "name string, block int, weight double, data binary")
+    sums = []
+    assert _sent_to_driver(spark, monkeypatch, lambda: sums.append(reduce_parts(parts, {"a": (90_000,)}, 6))) < 1.5 * 90_000 * 8
+    assert (sums[0]["a"] == 6).all()
+    df.unpersist()
+
+
+def test_one_job_per_epoch_keeps_the_weights_from_the_driver(spark, engine, monkeypatch):
+    e, vectors = engine
+    args = (vectors, e.tfidf.width, len(e.labels.t1), len(e.labels.t2), "chunk_id")
+    fits = []
+    sent = _sent_to_driver(spark, monkeypatch, lambda: fits.append(N.fit_mlp(*args, epochs=2, partitions=2, barrier=False)))
+    assert sent < fits[0].weights["w1"].nbytes
+    monkeypatch.setattr(N.Shelf, "new", classmethod(lambda cls, spark, name, dtype: cls(None, dtype)))
+    other = N.fit_mlp(*args, epochs=2, partitions=2, barrier=False)
+    assert all(np.allclose(fits[0].weights[k], other.weights[k], atol=1e-6) for k in other.weights)
