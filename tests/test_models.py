@@ -459,3 +459,29 @@ def test_one_job_per_epoch_keeps_the_weights_from_the_driver(spark, engine, monk
     monkeypatch.setattr(N.Shelf, "new", classmethod(lambda cls, spark, name, dtype: cls(None, dtype)))
     other = N.fit_mlp(*args, epochs=2, partitions=2, barrier=False)
     assert all(np.allclose(fits[0].weights[k], other.weights[k], atol=1e-6) for k in other.weights)
+
+
+def test_wide_products_gather_one_row_at_a_time():
+    import tracemalloc
+
+    rng = np.random.RandomState(3)
+    rows = sparse(rng.rand(256, 400))
+    dense = rng.rand(400, 512).astype(np.float32)
+    tracemalloc.start()
+    got = rows.dot(dense)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * dense.nbytes and np.allclose(got[7], rows.take([7]).dot(dense)[0])
+
+
+def test_join_form_places_tokens_and_not_their_ngrams(spark):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]
+    df = spark.createDataFrame([(str(i), words[i : i + 60]) for i in range(40)], "id string, tokens array<string>")
+    vocab = V.vocabulary(V.pruned_stats(df), 40, max_df=1.0)
+    form = V.transform_by_join(df, "id", "terms", vocab, lambda placed: V.with_terms(placed, "tokens", ()))
+    given = V.transform_by_join(V.with_terms(df, "tokens", ()), "id", "terms", vocab)
+    key = lambda r: (r["id"], r["term_idx"])
+    assert [(key(r), round(r["w"], 9)) for r in sorted(form.collect(), key=key)] == [(key(r), round(r["w"], 9)) for r in sorted(given.collect(), key=key)]
+    plan = form._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression") :].splitlines()[1:]
+    assert not any("zip_with" in line for line in below)

@@ -75,9 +75,10 @@ def tfidf_transform(spark, sf):
 @query("tfidf_transform_join", f"WITH {R.WEIGHTS_CTE} SELECT chunk_id, term_idx, round(w, 6) AS w FROM (SELECT source_id || '-' || pos AS chunk_id, term_idx, w FROM weights)")
 def tfidf_transform_join(spark, sf):
     """The same weights through joins, the form for vocabularies too large to broadcast."""
-    terms = R.chunk_terms(spark, sf).select(F.concat_ws("-", "source_id", "pos").alias("chunk_id"), "terms")
-    vocab = V.vocabulary(V.term_stats(terms), R.chunks(spark, sf).count())
-    return V.transform_by_join(terms, "chunk_id", "terms", vocab).select(
+    rows = share(R.chunk_tokens(spark, sf))
+    vocab = V.vocabulary(V.pruned_stats(rows, stop=R.STOP_2), rows.count())
+    named = rows.select(F.concat_ws("-", "source_id", "pos").alias("chunk_id"), "tokens")
+    return V.transform_by_join(named, "chunk_id", "terms", vocab, lambda placed: V.with_terms(placed, "tokens", R.STOP_2)).select(
         "chunk_id", "term_idx", F.round("w", 6).alias("w"))
 
 
