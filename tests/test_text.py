@@ -170,3 +170,24 @@ def test_pruned_stats_are_the_frequent_terms(spark, monkeypatch):
     keys = rng.randint(-(1 << 62), 1 << 62, 500)
     made = bitmap.key_bitmap(spark.createDataFrame([(int(k),) for k in keys[:250]], "k bigint"), "k", 15)
     assert bitmap.maybe_in(made, keys[:250], 15).all() and bitmap.maybe_in(made, keys[250:], 15).mean() < 0.02
+
+
+def test_ngrams_are_joined_from_shorter_ones(spark):
+    lists = [["a", "b", "c", "d"], ["a", "b"], [], None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lists)], "i int, t array<string>")
+    got = {r["i"]: tuple(r)[1:] for r in df.select("i", T.ngrams("t", 1), T.ngrams("t", 2), T.ngrams("t", 3), T.all_ngrams("t", 2, 3)).collect()}
+    assert got[0] == (lists[0], ["a b", "b c", "c d"], ["a b c", "b c d"], ["a b", "b c", "c d", "a b c", "b c d"])
+    assert got[1] == (["a", "b"], ["a b"], [], ["a b"]) and got[2] == ([], [], [], []) and got[3] == (None, [], [], [])
+    assert "sequence" not in df.select(T.all_ngrams("t"))._jdf.queryExecution().analyzed().toString()
+
+
+def test_clean_text_keeps_its_lemmas_above_the_automatons_bound(spark, monkeypatch, tmp_path):
+    from windrow.operators import lexicon
+    from windrow.queries import corpus
+
+    rows = [(1, "two cats and a cat"), (2, "many dogs, one dog"), (2, "many dogs, one dog"), (2, "cats"), (3, None), (None, "dogs"), (4, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    below = sorted((tuple(r) for r in corpus.clean_text(spark, str(tmp_path)).collect()), key=str)
+    monkeypatch.setattr(corpus, "read_lexicon", lambda words: lexicon.read_lexicon(words, most=2))
+    assert sorted((tuple(r) for r in corpus.clean_text(spark, str(tmp_path)).collect()), key=str) == below
+    assert (1, "two cat cat") in below and below.count((2, "many dog one dog")) == 2 and len(below) == len(rows)
