@@ -77,8 +77,8 @@ def tfidf_transform_join(spark, sf):
     """The same weights through joins, the form for vocabularies too large to broadcast."""
     rows = share(R.chunk_tokens(spark, sf))
     vocab = V.vocabulary(V.pruned_stats(rows, stop=R.STOP_2), rows.count())
-    named = rows.select(F.concat_ws("-", "source_id", "pos").alias("chunk_id"), "tokens")
-    return V.transform_by_join(named, "chunk_id", "terms", vocab, lambda placed: V.with_terms(placed, "tokens", R.STOP_2)).select(
+    terms = V.with_terms(rows, "tokens", R.STOP_2).select(F.concat_ws("-", "source_id", "pos").alias("chunk_id"), "terms")
+    return V.transform_by_join(terms, "chunk_id", "terms", vocab).select(
         "chunk_id", "term_idx", F.round("w", 6).alias("w"))
 
 
