@@ -46,6 +46,24 @@ class Evaluation:
     edge_cases: DataFrame
 
 
+def scored_windows(
+    engine: Engine, books: DataFrame, catalog: DataFrame, taxonomy: DataFrame,
+    quota: int = balance.EVAL_QUOTA, offset: int = T.SHIFT_WORDS,
+) -> DataFrame:
+    """The balanced shifted windows with their vectors (``sparse``) and all outputs of the engine's models."""
+    size, books = engine.params.chunk_words, ingest(books)
+    counts = balance.counts_until_full(books, catalog, quota, size, offset)
+    corpus = balance.balanced(books, counts, taxonomy, quota, size, offset)
+    return engine.raw_scores(engine.vectors(corpus).withColumn("sparse", F.struct("idx", "val")))
+
+
+def silhouette_points(raw: DataFrame, engine: Engine) -> DataFrame:
+    """``(id, cluster, x, y, silhouette)`` of every scored window."""
+    sparse = raw.select(F.col("chunk_id").alias("id"), F.col("km_slow").alias("cluster"),
+                        F.col("pca_x").alias("x"), F.col("pca_y").alias("y"), "sparse.idx", "sparse.val")
+    return clustering.silhouette_rows(sparse, engine.tfidf.width)
+
+
 def evaluate(
     engine: Engine, books: DataFrame, catalog: DataFrame, taxonomy: DataFrame,
     quota: int = balance.EVAL_QUOTA, offset: int = T.SHIFT_WORDS,
@@ -56,12 +74,8 @@ def evaluate(
     network's logits: the branch mask is not applied here.
     """
     lab = engine.labels
-    size, books = engine.params.chunk_words, ingest(books)
-    counts = balance.counts_until_full(books, catalog, quota, size, offset)
-    corpus = balance.balanced(books, counts, taxonomy, quota, size, offset)
-    rows = share(engine.vectors(corpus))
     raw = share(
-        engine.raw_scores(rows.withColumn("sparse", F.struct("idx", "val")))
+        scored_windows(engine, books, catalog, taxonomy, quota, offset)
         .withColumn("mlp_t1", P.argmax("z1")).withColumn("mlp_t2", P.argmax("z2"))
     )
     runs = [("svm_fast", "t1_idx", "svm_fast"), ("svm_slow", "t1_idx", "svm_slow"),
@@ -73,11 +87,8 @@ def evaluate(
     report = M.report_of(M.class_scores(confusion, by=["model"]), by=["model"])
 
     spark = books.sparkSession
-    sparse = raw.select(F.col("chunk_id").alias("id"), F.col("km_slow").alias("cluster"),
-                        F.col("pca_x").alias("x"), F.col("pca_y").alias("y"), "sparse.idx", "sparse.val")
-    points = share(clustering.silhouette_rows(sparse, engine.tfidf.width))
+    points = share(silhouette_points(raw, engine))
     silhouette = ("silhouette_sq", points.agg(F.avg("silhouette")).first()[0])
-    rows.unpersist()  # all scored rows are kept by now
     both = _entropy_scores(raw)
     scores = [silhouette, ("homogeneity", both["homogeneity"]), ("completeness", both["completeness"])]
     clusters = spark.createDataFrame(scores, "metric string, value double")
