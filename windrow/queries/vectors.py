@@ -42,7 +42,7 @@ def ngrams(spark, sf):
 
 @query("term_stats", f"WITH {R.TERMS_CTE} SELECT term, df, cf FROM stats")
 def term_stats(spark, sf):
-    return V.term_stats(R.chunk_terms(spark, sf))
+    return V.ngram_stats(R.chunk_tokens(spark, sf), stop=R.STOP_2)
 
 
 def _vocabulary(spark, sf):
