@@ -250,15 +250,25 @@ def _near(left: str, right: str):
     return (F.col(left) != F.col(right)) & (F.levenshtein(left, right, 1) == 1)
 
 
+def _merged(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join of sides that grow with the vocabulary, never a broadcast.
+
+    Spark sizes neighbourhoods as the words they are made from, and written words by their compressed files;
+    both are far too low.
+    """
+    return left.join(right.hint("merge"), key, how)
+
+
 def _meet(generated: DataFrame, words: DataFrame, key: str, s: Settings, *keep: str) -> DataFrame:
     """(word, n, near, near_n) for generated keys that meet a word of the vocabulary one edit away."""
     other = words.select(F.col(key).alias("key"), F.when(F.length("word") <= s.carried, F.col("word")).alias("near"), F.col("n").alias("near_n"),
                          F.xxhash64("word").alias("near_id"), *keep)
-    met = generated.join(other, "key")
+    met = _merged(generated, other, "key")
     short = met.filter(_near("word", "near"))
     long = met.filter("word is null or near is null")
     ids = words.filter(F.length("word") >= s.carried).select("word", F.xxhash64("word").alias("id"))
-    long = long.drop("word", "near").join(ids, "id").join(ids.select(F.col("word").alias("near"), F.col("id").alias("near_id")), "near_id").filter(_near("word", "near"))
+    long = _merged(long.drop("word", "near"), ids, "id")
+    long = _merged(long, ids.select(F.col("word").alias("near"), F.col("id").alias("near_id")), "near_id").filter(_near("word", "near"))
     cols = ["word", "n", "near", "near_n", *keep]
     return short.select(*cols).unionByName(long.select(*cols).distinct())
 
@@ -289,13 +299,13 @@ def variants(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     # Largest count first, then the smaller word: the least struct of (-count, word).
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near"))).alias("best")
     near = links.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best)
-    rows = vocab.join(near, "word", "left")
+    rows = _merged(vocab, near, "word", "left")
     fits = -F.col("best.less") >= s.ratio * F.col("n")
     rows = rows.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(fits, F.col("best.near")).alias("form"),
                        F.when(fits, -F.col("best.less")).cast("bigint").alias("form_n"))
     rows = written(rows, "forms")
     roots = _roots(rows.filter("form is not null").select("word", "form"))
-    return rows.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return _merged(rows, roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -303,6 +313,6 @@ def _roots(forms: DataFrame) -> DataFrame:
     at = written(forms.select("word", F.col("form").alias("root"), F.lit(False).alias("moved")), "roots")
     while True:
         ahead = at.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        at = written(at.join(ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
+        at = written(_merged(at, ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
         if not at.filter("moved").take(1):
             return at.drop("moved")
