@@ -9,7 +9,7 @@ from windrow.functions import text as T
 from windrow.operators import metrics as M
 from windrow.operators import tfidf as V
 from windrow.queries import roles as R
-from windrow.scale import share
+from windrow.scale import stored
 from windrow.sources.requests import render_responses as render
 
 QUERIES, ORACLES = {}, {}
@@ -46,7 +46,7 @@ def term_stats(spark, sf):
 
 
 def _vocabulary(spark, sf):
-    rows = share(R.chunk_tokens(spark, sf).select("tokens"))
+    rows = stored(R.chunk_tokens(spark, sf).select("tokens"), "tokens")
     return V.vocabulary(V.pruned_stats(rows, stop=R.STOP_2), rows.count())
 
 
@@ -61,7 +61,7 @@ def tfidf_fit(spark, sf):
 
 
 def _fitted(spark, sf):
-    rows = share(R.chunk_tokens(spark, sf))
+    rows = stored(R.chunk_tokens(spark, sf), "tokens")
     return V.fit_tfidf(rows, stop=R.STOP_2), rows
 
 
@@ -75,7 +75,7 @@ def tfidf_transform(spark, sf):
 @query("tfidf_transform_join", f"WITH {R.WEIGHTS_CTE} SELECT chunk_id, term_idx, round(w, 6) AS w FROM (SELECT source_id || '-' || pos AS chunk_id, term_idx, w FROM weights)")
 def tfidf_transform_join(spark, sf):
     """The same weights through joins, the form for vocabularies too large to broadcast."""
-    rows = share(R.chunk_tokens(spark, sf))
+    rows = stored(R.chunk_tokens(spark, sf), "tokens")
     vocab = V.vocabulary(V.pruned_stats(rows, stop=R.STOP_2), rows.count())
     terms = V.with_terms(rows, "tokens", R.STOP_2).select(F.concat_ws("-", "source_id", "pos").alias("chunk_id"), "terms")
     return V.transform_by_join(terms, "chunk_id", "terms", vocab).select(
