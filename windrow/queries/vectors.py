@@ -9,7 +9,7 @@ from windrow.functions import text as T
 from windrow.operators import metrics as M
 from windrow.operators import tfidf as V
 from windrow.queries import roles as R
-from windrow.scale import stored
+from windrow.scale import share, stored
 from windrow.sources.requests import render_responses as render
 
 QUERIES, ORACLES = {}, {}
@@ -76,7 +76,7 @@ def tfidf_transform(spark, sf):
 def tfidf_transform_join(spark, sf):
     """The same weights through joins, the form for vocabularies too large to broadcast."""
     rows = stored(R.chunk_tokens(spark, sf), "tokens")
-    vocab = V.vocabulary(V.pruned_stats(rows, stop=R.STOP_2), rows.count())
+    vocab = share(V.vocabulary(V.pruned_stats(rows, stop=R.STOP_2), rows.count()))
     terms = V.with_terms(rows, "tokens", R.STOP_2).select(F.concat_ws("-", "source_id", "pos").alias("chunk_id"), "terms")
     return V.transform_by_join(terms, "chunk_id", "terms", vocab).select(
         "chunk_id", "term_idx", F.round("w", 6).alias("w"))
