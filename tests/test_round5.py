@@ -32,7 +32,7 @@ def assert_tokens_not_cached(spark, folder, monkeypatch, name):
     assert not any("tokens" in columns or "terms" in columns for columns in seen), seen
 
 
-@pytest.mark.parametrize("name", ["tfidf_transform", "tfidf_fit", "vocab_topk", "term_label_assoc"])
+@pytest.mark.parametrize("name", ["tfidf_transform", "tfidf_fit", "vocab_topk", "term_label_assoc", "gamma_scale"])
 def test_tokens_of_a_fit_are_stored(spark, folder, monkeypatch, name):
     assert_tokens_not_cached(spark, folder, monkeypatch, name)
 
